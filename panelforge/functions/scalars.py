@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the source data model.
 MISSING_EVENT_ORDINAL = 800000          # ordinal used for "event never happened"
+TWO_DIGIT_YEAR_PIVOT = 2069
 DATE_FORMATS = {"iso": "yyyy-MM-dd", "us_short": "M/d/yy", "compact": "yyyyMMdd"}
 
 
@@ -46,7 +47,11 @@ def suffix_key(c, n: int = 5) -> Column:
 def parse_date(c, fmt: str, strict: bool = True) -> Column:
     """Parse text in one of the source formats (or any Spark pattern)."""
     pattern = DATE_FORMATS.get(fmt, fmt)
-    return F.to_date(_c(c), pattern) if strict else F.try_to_date(_c(c), F.lit(pattern))
+    d = F.to_date(_c(c), pattern) if strict else F.try_to_date(_c(c), F.lit(pattern))
+    if "yy" in pattern and "yyy" not in pattern:
+        # two-digit years: 69-99 -> 19xx, 00-68 -> 20xx (POSIX %y); Spark maps all to 20xx
+        d = F.when(F.year(d) >= TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)
+    return d
 
 
 def nonneg_numeric(c, strict: bool = True) -> Column:
