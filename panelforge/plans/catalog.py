@@ -28,5 +28,5 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from . import (  # noqa: F401
         panel_queries, column_queries, filter_join_queries, profile_queries,
-        reshape_queries, source_queries, geo_queries, ml_queries,
+        source_queries, geo_queries, ml_queries,
     )
