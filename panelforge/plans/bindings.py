@@ -78,6 +78,32 @@ PANEL_N_SQL = """SELECT n.n_nationkey AS entity, n.n_regionkey AS parent, CAST(o
 
 def with_ctes(body: str, *names: str) -> str:
     """Prefix a query with the named shared inputs as CTEs."""
-    defs = {"ev": EV_SQL, "panel_e": PANEL_E_SQL, "panel_n": PANEL_N_SQL}
+    defs = {"ev": EV_SQL, "panel_e": PANEL_E_SQL, "panel_n": PANEL_N_SQL, "mf": MODEL_FRAME_SQL}
     parts = [f"{n} AS ({defs[n]})" for n in names]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+
+
+# ---- model frame for the forecasting study --------------------------------
+# Target: nation-day revenue in units of 10,000 (cents / 1e6); features: the
+# previous row's value (x) and the mean of the previous 7 rows (x7). Rows
+# without a previous value are dropped (drop rows with a missing feature).
+Y_SCALE = 1e6
+
+
+def model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+    p = panel_n(spark, sf_dir)
+    w = Window.partitionBy("entity").orderBy("d")
+    y = F.col("y") / Y_SCALE
+    f = p.select("entity", "parent", "d", y.alias("y"),
+                 F.lag(y, 1).over(w).alias("x"),
+                 (F.avg("y").over(w.rowsBetween(-7, -1)) / Y_SCALE).alias("x7"))
+    return f.dropna(subset=["x", "x7"])
+
+
+MODEL_FRAME_SQL = f"""SELECT * FROM (
+  SELECT entity, parent, d, y / 1e6 AS y,
+         lag(y / 1e6, 1) OVER (PARTITION BY entity ORDER BY d) AS x,
+         avg(y) OVER (PARTITION BY entity ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) / 1e6 AS x7
+    FROM ({PANEL_N_SQL}) pn) t
+ WHERE x IS NOT NULL AND x7 IS NOT NULL"""
