@@ -48,27 +48,31 @@ def _cfg_values(grid) -> str:
     return "SELECT * FROM (VALUES " + ", ".join(rows) + ") t(model, params, alpha)"
 
 
-def _one_feature_sql(train_rel: str, eval_rel: str, feat: str, grid, by_fold: bool = True) -> str:
-    """Closed-form one-feature fits (least squares, ridge, lasso) + predictions."""
+def _one_feature_sql(train_rel: str, eval_rel: str, feat: str, grid, by_fold: bool = True,
+                     sfx: str = "") -> str:
+    """Closed-form one-feature fits (least squares, ridge, lasso) + predictions.
+    CTE names get ``sfx`` so several variants can share one query."""
     fk = "fold, " if by_fold else ""
     join = "t.fold = w.fold AND " if by_fold else ""
-    return f"""st AS (SELECT {fk}regr_count(y, {feat}) AS n, regr_avgx(y, {feat}) AS mx, regr_avgy(y, {feat}) AS my,
-              regr_sxx(y, {feat}) AS sxx, regr_sxy(y, {feat}) AS sxy FROM {train_rel} GROUP BY ALL),
-cfg AS ({_cfg_values(grid)}),
-wt AS (SELECT st.*, cfg.model, cfg.params,
+    gb = "GROUP BY fold" if by_fold else ""
+    return f"""st{sfx} AS (SELECT {fk}regr_count(y, {feat}) AS n, regr_avgx(y, {feat}) AS mx, regr_avgy(y, {feat}) AS my,
+              regr_sxx(y, {feat}) AS sxx, regr_sxy(y, {feat}) AS sxy FROM {train_rel} {gb}),
+cfg{sfx} AS ({_cfg_values(grid)}),
+wt{sfx} AS (SELECT st.*, cfg.model, cfg.params,
               CASE cfg.model WHEN 'linear' THEN sxy / sxx
                              WHEN 'ridge' THEN sxy / (sxx + cfg.alpha)
                              ELSE sign(sxy / n) * greatest(abs(sxy / n) - cfg.alpha, 0) / (sxx / n) END AS w
-         FROM st, cfg),
-pred AS (SELECT {'w.fold, ' if by_fold else ''}w.model, w.params, t.entity, t.d, t.y,
+         FROM st{sfx} st, cfg{sfx} cfg),
+pred{sfx} AS (SELECT {'w.fold, ' if by_fold else ''}w.model, w.params, t.entity, t.d, t.y,
                 w.w * t.{feat} + (w.my - w.w * w.mx) AS y_hat
-           FROM {eval_rel} t JOIN wt w ON {join}TRUE)"""
+           FROM {eval_rel} t JOIN wt{sfx} w ON {join}TRUE)"""
 
 
 def linear_predictions(spark, sf_dir, feature: str = "x", grid=None) -> DataFrame:
+    """All linear grid points on all folds from one pass of sufficient statistics."""
     grid = grid or G.linear_grid()
     f = folded(spark, sf_dir)
-    return G.run_grid(f, grid, features=[feature], label="y")
+    return L.linear_grid_predictions(f, grid, features=[feature], label="y")
 
 
 def _grid_results(spark, sf_dir, feature="x", digits=6):
@@ -206,9 +210,9 @@ def pca_project(spark, sf_dir):
 
 def _fit_sql(kind: str, alpha: float | None) -> str:
     grid = [(kind, {"alpha": alpha} if alpha is not None else {})]
-    return with_ctes(", " + _one_feature_sql("mf", "mf", "x", grid, by_fold=False).replace("GROUP BY ALL", "")
+    return with_ctes(", " + _one_feature_sql("mf", "mf", "x", grid, by_fold=False)
                      + "\nSELECT model, params, round(w, 6) AS slope, round(my - w * mx, 6) AS intercept FROM wt",
-                     "mf").replace("\n, st AS", ", st AS")
+                     "mf")
 
 
 def _fit_spark(spark, sf_dir, kind, alpha):
@@ -337,13 +341,9 @@ def _test_predictions(spark, sf_dir, feature: str) -> DataFrame:
     return G.run_grid(fr, _TEST_GRID, features=[feature], target="test")
 
 
-_TEST_CTES = _fold_sql_ctes() + ", " + "\n".join(
-    _one_feature_sql("trainlast", "testset", feat, _TEST_GRID, by_fold=False)
-    .replace("st AS", f"st_{feat} AS").replace("FROM st,", f"FROM st_{feat} st,")
-    .replace("cfg AS", f"cfg_{feat} AS").replace(", cfg", f", cfg_{feat} cfg").replace("wt AS", f"wt_{feat} AS")
-    .replace("JOIN wt w", f"JOIN wt_{feat} w").replace("pred AS", f"pred_{feat} AS")
-    .replace("GROUP BY ALL", "") + ("," if feat == "x" else "")
-    for feat in ("x", "x7")) + "\n"
+_TEST_CTES = (_fold_sql_ctes() + ", "
+              + _one_feature_sql("trainlast", "testset", "x", _TEST_GRID, by_fold=False, sfx="_x") + ",\n"
+              + _one_feature_sql("trainlast", "testset", "x7", _TEST_GRID, by_fold=False, sfx="_x7") + "\n")
 
 
 @register("score_test", _TEST_CTES + """
@@ -397,8 +397,8 @@ _PT_NAMES = {"linear": "linear", "lasso": "lasso_0_1", "ridge": "ridge_10"}
                              "x", _PT_GRID) + """,
 gm AS (SELECT avg(y) AS g FROM folded WHERE split = 'train' AND fold = '""" + LAST_FOLD + """')
 SELECT entity, d, max(y) AS y, """
-          + ", ".join(f"max(CASE WHEN model = '{k}' THEN y_hat END) AS {v}" for k, v in _PT_NAMES.items())
-          + ", max(g) AS global_mean FROM pred, gm GROUP BY entity, d")
+          + ", ".join(f"round(max(CASE WHEN model = '{k}' THEN y_hat END), 6) AS {v}" for k, v in _PT_NAMES.items())
+          + ", round(max(g), 6) AS global_mean FROM pred, gm GROUP BY entity, d")
 def prediction_table(spark, sf_dir):
     f = folded(spark, sf_dir).where(F.col("fold") == LAST_FOLD)
     lin = G.run_grid(f, _PT_GRID, features=["x"]).withColumn(
@@ -407,6 +407,7 @@ def prediction_table(spark, sf_dir):
     nul = E.null_predictions(f).where(F.col("model") == "global_mean")
     cols = ["fold", "model", "entity", "d", "y", "y_hat"]
     pred = lin.select(*cols).unionByName(nul.select(*cols))
+    pred = pred.withColumn("y_hat", F.round("y_hat", 6))
     return E.prediction_table(pred, keys=["entity", "d"], models=list(_PT_NAMES.values()) + ["global_mean"])
 
 
@@ -414,11 +415,8 @@ def _variant_sql() -> str:
     bodies = []
     for feat in ("x", "x7"):
         b = _one_feature_sql("(SELECT * FROM folded WHERE split = 'train')",
-                             "(SELECT * FROM folded WHERE split = 'validation')", feat, G.linear_grid())
-        b = (b.replace("st AS", f"st_{feat} AS").replace("FROM st,", f"FROM st_{feat} st,")
-              .replace("cfg AS", f"cfg_{feat} AS").replace(", cfg", f", cfg_{feat} cfg")
-              .replace("wt AS", f"wt_{feat} AS").replace("JOIN wt w", f"JOIN wt_{feat} w")
-              .replace("pred AS", f"pred_{feat} AS"))
+                             "(SELECT * FROM folded WHERE split = 'validation')", feat, G.linear_grid(),
+                             sfx=f"_{feat}")
         bodies.append(b + f""",
 avg_{feat} AS (SELECT model, params, round(avg(mse), 6) AS mse, round(avg(mae), 6) AS mae FROM (
   SELECT fold, model, params, avg((y - y_hat) * (y - y_hat)) AS mse, avg(abs(y - y_hat)) AS mae
@@ -445,7 +443,7 @@ def best_by_variant(spark, sf_dir):
 def flagship_leaderboard(spark, sf_dir) -> DataFrame:
     """Mean validation error over 3 expanding folds: linear family + null models, sorted."""
     f = folded(spark, sf_dir)
-    lin = G.run_grid(f, G.linear_grid(), features=["x"])
+    lin = L.linear_grid_predictions(f, G.linear_grid(), features=["x"])
     cols = ["fold", "model", "params", "entity", "d", "y", "y_hat"]
     pred = lin.select(*cols).unionByName(E.null_predictions(f).select(*cols))
     return E.leaderboard(E.fold_average(E.score(pred, digits=None)))
