@@ -448,3 +448,36 @@ def flagship_leaderboard(spark, sf_dir) -> DataFrame:
     pred = lin.select(*cols).unionByName(E.null_predictions(f).select(*cols))
     return E.leaderboard(E.fold_average(E.score(pred, digits=None)))
 
+
+
+# ---- k nearest neighbours on the embeddings ------------------------------------
+
+from ..ml import knn as KNN  # noqa: E402
+
+KNN_KS = list(range(5, 20))
+_QUERY_CUT = int(0.2 * 2 ** 52)      # hash split: about 20% of the vectors are queries
+
+
+def _knn_split(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    h = S.key_hash(["vec_id"], seed=7)
+    return e.where(h >= _QUERY_CUT), e.where(h < _QUERY_CUT)
+
+
+@register("fit_knn", f"""
+WITH e AS (SELECT vec_id, embedding, label, ('0x' || substr(md5('7|' || CAST(vec_id AS VARCHAR)), 1, 13))::BIGINT AS h
+             FROM embeddings),
+q AS (SELECT vec_id, embedding FROM e WHERE h < {_QUERY_CUT}),
+t AS (SELECT vec_id, embedding, label FROM e WHERE h >= {_QUERY_CUT}),
+dd AS (SELECT q.vec_id AS qid, t.vec_id AS tid, t.label,
+              list_sum(list_transform(range(1, len(q.embedding) + 1),
+                       lambda i: (CAST(q.embedding[i] AS DOUBLE) - CAST(t.embedding[i] AS DOUBLE))
+                               * (CAST(q.embedding[i] AS DOUBLE) - CAST(t.embedding[i] AS DOUBLE)))) AS dist
+         FROM q, t),
+r AS (SELECT qid, label, row_number() OVER (PARTITION BY qid ORDER BY dist, tid) AS rn FROM dd),
+ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(5, 20))
+SELECT r.qid AS vec_id, ks.k, avg(r.label) AS y_hat FROM r JOIN ks ON r.rn <= ks.k GROUP BY r.qid, ks.k""")
+def fit_knn(spark, sf_dir):
+    train, query = _knn_split(spark, sf_dir)
+    neigh = KNN.knn_neighbours(train, query, id_col="vec_id", vec_col="embedding", label="label", kmax=max(KNN_KS))
+    return KNN.knn_predict(neigh, id_col="vec_id", ks=KNN_KS)
