@@ -481,3 +481,72 @@ def fit_knn(spark, sf_dir):
     train, query = _knn_split(spark, sf_dir)
     neigh = KNN.knn_neighbours(train, query, id_col="vec_id", vec_col="embedding", label="label", kmax=max(KNN_KS))
     return KNN.knn_predict(neigh, id_col="vec_id", ks=KNN_KS)
+
+
+# ---- forest, AdaBoost, SVR (rows-only checks: no SQL equivalent) ---------------
+
+from ..ml import svr as SVR  # noqa: E402
+from ..ml import trees as TR  # noqa: E402
+from ..operators import columns as C  # noqa: E402
+from .. import functions as X  # noqa: E402
+
+TREE_FEATURES = ["x", "x7"] + [f"dow_{k}" for k in range(7)]
+
+
+def tree_frame(spark, sf_dir) -> DataFrame:
+    f = folded(spark, sf_dir)
+    return f.select("*", *C.one_hot(X.weekday_monday0("d"), range(7), "dow"))
+
+
+def _fold_scores(spark, sf_dir, fit_predict, model: str, params: dict, folds=None) -> DataFrame:
+    """Fit on each fold's train rows, predict its validation rows, score all in one job."""
+    tf = tree_frame(spark, sf_dir)
+    preds = []
+    for fold in folds or FOLD_NAMES:
+        tr = tf.where((F.col("fold") == fold) & (F.col("split") == "train"))
+        va = tf.where((F.col("fold") == fold) & (F.col("split") == "validation"))
+        p = fit_predict(tr, va).select("fold", F.lit(model).alias("model"),
+                                       F.lit(G.params_text(params)).alias("params"), "entity", "d", "y", "y_hat")
+        preds.append(p)
+    out = preds[0]
+    for p in preds[1:]:
+        out = out.unionByName(p)
+    return E.score(out)
+
+
+@register("fit_forest")
+def fit_forest(spark, sf_dir):
+    params = {"n_estimators": 100, "max_features": "log2"}
+
+    def fp(tr, va):
+        m = TR.fit_forest(tr, features=TREE_FEATURES, n_estimators=100, max_features="log2", seed=0)
+        return TR.predict(m, va, TREE_FEATURES)
+    return _fold_scores(spark, sf_dir, fp, "forest", params)
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    tf = tree_frame(spark, sf_dir)
+    tr = tf.where((F.col("fold") == LAST_FOLD) & (F.col("split") == "train"))
+    m = TR.fit_forest(tr, features=TREE_FEATURES, n_estimators=100, max_features="log2", seed=0)
+    return TR.importances(spark, m, TREE_FEATURES, top=50)
+
+
+@register("fit_adaboost")
+def fit_adaboost(spark, sf_dir):
+    params = {"n_estimators": 50}
+
+    def fp(tr, va):
+        ens = TR.fit_adaboost(tr, features=TREE_FEATURES, n_estimators=50, seed=0)
+        return TR.predict_adaboost(ens, va, TREE_FEATURES)
+    return _fold_scores(spark, sf_dir, fp, "adaboost", params, folds=[LAST_FOLD])
+
+
+@register("fit_svr")
+def fit_svr(spark, sf_dir):
+    params = {"C": 0.1, "epsilon": 0.1}
+
+    def fp(tr, va):
+        w, _ = SVR.fit_linear_svr(tr, features=["x", "x7"], C=0.1, epsilon=0.1)
+        return SVR.predict_svr(w, va, ["x", "x7"])
+    return _fold_scores(spark, sf_dir, fp, "svr", params)
