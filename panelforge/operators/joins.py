@@ -59,15 +59,16 @@ def share_of_total(df: DataFrame, *, entity, code: str, value: str, total_code:
                    out: str = "share") -> DataFrame:
     """Value divided by the entity's own total row (code == total_code).
 
-    The totals are filtered out and joined back on the entity key; a missing
-    or zero total gives NULL.
+    One pass: the total is picked by a window per entity, whose partition
+    holds one row per code of the level (bounded by the code list, e.g. the
+    industry sectors), so no self-join re-reads the table. A missing or zero
+    total gives NULL; the total rows themselves are dropped.
     """
-    ent = _keys(entity)
-    totals = df.where(F.col(code) == total_code).select(*ent, F.col(value).alias("__total"))
-    return (df.where(F.col(code) != total_code)
-              .join(totals, ent, "left")
-              .withColumn(out, F.try_divide(F.col(value).cast("double"), F.col("__total").cast("double")))
-              .drop("__total"))
+    from pyspark.sql import Window
+    w = Window.partitionBy(*_keys(entity))
+    total = F.max(F.when(F.col(code) == total_code, F.col(value))).over(w)
+    return (df.withColumn(out, F.try_divide(F.col(value).cast("double"), total.cast("double")))
+              .where(F.col(code) != total_code))
 
 
 # ---- filters ------------------------------------------------------------

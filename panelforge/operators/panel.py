@@ -64,28 +64,38 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 
 def fill_parent_mean(df: DataFrame, *, parent, date: str, columns: Sequence[str],
-                     then_zero: bool = False) -> DataFrame:
+                     then_zero: bool = False, method: str = "window") -> DataFrame:
     """Fill gaps with the mean over all entities of the same parent and day.
 
-    The means are one partial (map-side combined) aggregate per (parent, day)
-    for all columns, joined back on those keys. Its size is parents x days,
-    so AQE broadcasts it from run-time statistics; a hot parent never lands
-    in one window task. ``then_zero`` fills what is still missing with 0.
+    ``window`` (default): one window spec (parent, day) for every column, a
+    single pass over the panel; a window partition holds the children of one
+    parent on one day, bounded by the hierarchy (not by the data volume).
+    ``join``: the means as one partial aggregate joined back (AQE broadcasts
+    the parents x days table); it re-reads the input, so it suits a
+    materialised panel. ``then_zero`` fills what is still missing with 0.
     """
     keys = [*_keys(parent), date]
     cols = [c for c in df.columns if c in set(columns)]
-    means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"__pm_{c}") for c in cols])
-    j = df.join(means, keys, "left")
+    if method == "window":
+        w = Window.partitionBy(*keys)
+        means = {c: F.avg(c).over(w) for c in cols}
+        src = df
+    elif method == "join":
+        agg = df.groupBy(*keys).agg(*[F.avg(c).alias(f"__pm_{c}") for c in cols])
+        src = df.join(agg, keys, "left")
+        means = {c: F.col(f"__pm_{c}") for c in cols}
+    else:
+        raise ValueError(f"unknown method {method!r}")
     sel = []
     for c in df.columns:
         if c in cols:
-            filled = F.coalesce(F.col(c).cast("double"), F.col(f"__pm_{c}"))
+            filled = F.coalesce(F.col(c).cast("double"), means[c])
             if then_zero:
                 filled = F.coalesce(filled, F.lit(0.0))
             sel.append(filled.alias(c))
         else:
             sel.append(F.col(c))
-    return j.select(*sel)
+    return src.select(*sel)
 
 
 def fill_from_parent_table(df: DataFrame, parent_df: DataFrame, *, on, columns: Sequence[str],

@@ -38,10 +38,11 @@ def ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entity-day panel; the pivot is one aggregate with map-side combine."""
+    # conditional aggregation: one grouped aggregate, one shuffle (Spark's
+    # pivot() would aggregate per (keys, type) first and shuffle twice)
     return (ev(spark, sf_dir)
             .groupBy("entity", "parent", "d")
-            .pivot("event_type", EVENT_TYPES)
-            .agg(F.sum("cents")))
+            .agg(*[F.sum(F.when(F.col("event_type") == t, F.col("cents"))).alias(t) for t in EVENT_TYPES]))
 
 
 def panel_n(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,10 +159,11 @@ def share_of_total(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    rev = j.groupBy(F.col("s_nationkey").alias("nk"), _brand_code().alias("code")).agg(F.sum(cents).alias("cents"))
-    # the table carries an industry-style total row per entity with code '00'
-    tot = rev.groupBy("nk").agg(F.sum("cents").alias("cents")).withColumn("code", F.lit("00"))
-    long = rev.unionByName(tot)
+    # the table carries an industry-style total row per entity with code '00':
+    # every line counts for its brand code and for the total (one aggregate)
+    codes = F.explode(F.array(_brand_code(), F.lit("00"))).alias("code")
+    long = (j.select(F.col("s_nationkey").alias("nk"), cents.alias("c"), codes)
+             .groupBy("nk", "code").agg(F.sum("c").alias("cents")))
     return J.share_of_total(long, entity="nk", code="code", value="cents")
 
 
