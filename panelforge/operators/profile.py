@@ -178,3 +178,99 @@ def histogram(df: DataFrame, columns: Sequence[str], n_bins: int = 40) -> DataFr
                                                      edge.alias("lo"))))
     long = df.select(F.explode(F.array(*cells)).alias("s")).where(F.col("s").isNotNull())
     return long.groupBy("s.column", "s.bin", "s.lo").agg(F.count(F.lit(1)).alias("count"))
+
+
+# ---- exact quantiles by selection (no per-group map of distinct values) ----
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by: str | None = None,
+                    n_buckets: int = 4096, small: int = 50_000, max_levels: int = 12) -> dict:
+    """Exact linearly interpolated quantile of each column (per group of ``by``).
+
+    Selection instead of sorting or a map of distinct values: each pass is
+    ONE grouped aggregate of (count, min, max) over equal-width buckets of
+    the current candidate interval of every target order statistic; the
+    bucket holding the wanted rank becomes the next interval (membership is
+    the chain of bucket conditions, so it is exact). A bucket whose min equals
+    its max resolves at once (a hot value); a small bucket (<= ``small``
+    values) is fetched and sorted on the driver. Returns {(group, column): value}
+    (group is None without ``by``); all-missing columns give None.
+    """
+    import math as _m
+    gcol = F.col(by) if by else F.lit(None).cast("string")
+    long = (df.select(gcol.alias("__g"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])).alias("s"))
+              .select("__g", F.col("s.c").alias("__c"), F.col("s.v").alias("__v"))
+              .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    stats = long.groupBy("__g", "__c").agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"),
+                                           F.max("__v").alias("hi")).collect()
+    targets = {}          # id -> dict(key, rank, chain, lo, hi, value)
+    keys = {}
+    for r in stats:
+        key = (r["__g"], r["__c"])
+        pos = (r["n"] - 1) * q
+        ranks = sorted({int(_m.floor(pos)), int(_m.ceil(pos))})
+        keys[key] = (pos, ranks)
+        for rk in ranks:
+            t = dict(key=key, rank=rk, orig=rk, chain=[], lo=r["lo"], hi=r["hi"], value=None)
+            if r["lo"] == r["hi"]:
+                t["value"] = r["lo"]
+            targets[len(targets)] = t
+
+    def member(t):
+        cond = (F.col("__c") == t["key"][1])
+        cond = cond & (F.col("__g").isNull() if t["key"][0] is None else (F.col("__g") == F.lit(t["key"][0])))
+        for lo, w, b in t["chain"]:
+            cond = cond & (F.least(F.floor((F.col("__v") - F.lit(lo)) / F.lit(w)), F.lit(n_buckets - 1)) == b)
+        return cond
+
+    for _ in range(max_levels):
+        open_t = {i: t for i, t in targets.items() if t["value"] is None and not t.get("fetch")}
+        if not open_t:
+            break
+        cells = []
+        for i, t in open_t.items():
+            w = (t["hi"] - t["lo"]) / n_buckets
+            b = F.least(F.floor((F.col("__v") - F.lit(t["lo"])) / F.lit(w)), F.lit(n_buckets - 1)).cast("int")
+            cells.append(F.when(member(t), F.struct(F.lit(i).alias("t"), b.alias("b"))))
+        hist = (long.select(F.explode(F.array(*cells)).alias("x"), "__v").where(F.col("x").isNotNull())
+                    .groupBy("x.t", "x.b").agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("mn"),
+                                                F.max("__v").alias("mx"))
+                    .collect())
+        by_t: dict = {}
+        for r in hist:
+            by_t.setdefault(r["t"], []).append(r)
+        for i, t in open_t.items():
+            run = 0
+            for r in sorted(by_t.get(i, []), key=lambda r: r["b"]):
+                if run + r["n"] > t["rank"]:
+                    w = (t["hi"] - t["lo"]) / n_buckets
+                    t["chain"].append((t["lo"], w, r["b"]))
+                    t["rank"] -= run
+                    if r["mn"] == r["mx"]:
+                        t["value"] = r["mn"]
+                    elif r["n"] <= small:
+                        t["fetch"] = True
+                    else:
+                        t["lo"], t["hi"] = r["mn"], r["mx"]
+                    break
+                run += r["n"]
+    fetch = {i: t for i, t in targets.items() if t["value"] is None}
+    if fetch:
+        cells = [F.when(member(t), F.lit(i)) for i, t in fetch.items()]
+        rows = (long.select(F.explode(F.array(*cells)).alias("t"), "__v").where(F.col("t").isNotNull())
+                    .collect())
+        vals: dict = {}
+        for r in rows:
+            vals.setdefault(r["t"], []).append(r["__v"])
+        for i, t in fetch.items():
+            t["value"] = sorted(vals[i])[t["rank"]]
+    found = {(t["key"], t["orig"]): t["value"] for t in targets.values()}
+    out = {}
+    for key, (pos, ranks) in keys.items():
+        lo_v, hi_v = found[(key, ranks[0])], found[(key, ranks[-1])]
+        frac = pos - ranks[0]
+        out[key] = lo_v + (hi_v - lo_v) * frac if frac else lo_v
+    for c in columns:
+        for g in {k[0] for k in keys} or {None}:
+            out.setdefault((g, c), None)
+    return out

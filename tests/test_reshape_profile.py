@@ -90,3 +90,15 @@ def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "x double")
     got = {r["bin"]: r["count"] for r in A.histogram(df, ["x"], n_bins=5).collect()}
     assert sum(got.values()) == 11 and got[4] == 3          # 8, 9, 10 (max falls in the last bin)
+
+
+def test_exact_quantiles_match_pandas(spark):
+    from panelforge.operators.profile import exact_quantiles
+    rng = np.random.default_rng(0)
+    n = 3001
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], n), "x": rng.normal(size=n),
+                        "y": np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n))})   # a hot value
+    got = exact_quantiles(spark.createDataFrame(pdf), ["x", "y"], 0.5, by="g", n_buckets=8, small=20)
+    for (g, c), v in got.items():
+        assert v == pdf[pdf.g == g][c].median()
+    assert exact_quantiles(spark.createDataFrame(pdf), ["x"], 0.3)[(None, "x")] == pdf.x.quantile(0.3)
