@@ -274,3 +274,104 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
         for g in {k[0] for k in keys} or {None}:
             out.setdefault((g, c), None)
     return out
+
+
+# ---- Kendall tau-b without a table of pairs --------------------------------
+
+def _weighted_inversions(xs, ys, ws) -> int:
+    """Weighted count of pairs with x_i < x_j and y_i > y_j (cells are distinct (x, y))."""
+    import numpy as np
+    order = np.lexsort((ys, xs))
+    ys, ws = np.asarray(ys)[order], np.asarray(ws)[order]
+    ranks = np.searchsorted(np.unique(ys), ys) + 1
+    size = int(ranks.max()) if len(ranks) else 0
+    tree = [0] * (size + 1)
+    total, seen = 0, 0
+    for r, w in zip(ranks.tolist(), ws.tolist()):
+        le, i = 0, r                       # weight already inserted with rank <= r
+        while i > 0:
+            le += tree[i]
+            i -= i & -i
+        total += w * (seen - le)
+        i = r
+        while i <= size:
+            tree[i] += w
+            i += i & -i
+        seen += w
+    return total
+
+
+def _bucket(col: str, bounds: list[float]):
+    """Monotone bucket id: values equal to a bound get their own (odd) bucket."""
+    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    v = F.col(col).cast("double")
+    return (F.size(F.filter(arr, lambda b: b < v)) * 2 + F.array_contains(arr, v).cast("int")).cast("int")
+
+
+def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int = 32) -> float | None:
+    """Kendall's tau-b of two columns over their complete rows.
+
+    Discordant pairs = pairs in different x- and y-buckets (from the bucket
+    count matrix, (2B+1)^2 cells, with 2-D prefix sums on the driver) + pairs
+    inside one y-bucket + pairs inside one x-bucket - pairs inside one
+    (x, y)-bucket cell. The inside counts are weighted inversion counts over
+    distinct (x, y) cells of one bucket (``applyInPandas``); quantile buckets
+    bound their size, and a hot value sits alone in an exact-value bucket
+    (which holds no discordant pair, so it is never shipped).
+    """
+    import numpy as np
+    import pandas as pd
+    sub = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
+            .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    cells = sub.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bx, by = sub.approxQuantile(["x", "y"], qs, 0.001)
+    bx, by = sorted(set(bx)), sorted(set(by))
+    cells = cells.withColumn("xb", _bucket("x", bx)).withColumn("yb", _bucket("y", by))
+    tx = cells.groupBy("x").agg(F.sum("c").alias("t"))
+    ty = cells.groupBy("y").agg(F.sum("c").alias("t"))
+    st = cells.agg(F.sum("c").alias("n"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("n3")).first()
+    n = int(st["n"] or 0)
+    if n < 2:
+        return None
+    n1 = tx.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0
+    n2 = ty.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0
+    n3 = st["n3"] or 0
+    # grid term
+    size_x, size_y = 2 * len(bx) + 1, 2 * len(by) + 1
+    m = np.zeros((size_x, size_y))
+    for r in cells.groupBy("xb", "yb").agg(F.sum("c").alias("c")).collect():
+        m[r["xb"], r["yb"]] = r["c"]
+    before = np.cumsum(m, axis=0) - m                              # sum over a < b
+    above = np.cumsum(before[:, ::-1], axis=1)[:, ::-1] - before   # sum over c > d
+    grid = float((m * above).sum())
+    # inside terms: kind 0 = x-bucket, 1 = y-bucket, 2 = (x, y) cell; odd (exact) buckets hold none
+    keys = F.array(
+        F.when(F.col("xb") % 2 == 0, F.struct(F.lit(0).alias("k"), F.col("xb").alias("i"))),
+        F.when(F.col("yb") % 2 == 0, F.struct(F.lit(1).alias("k"), F.col("yb").alias("i"))),
+        F.when((F.col("xb") % 2 == 0) & (F.col("yb") % 2 == 0),
+               F.struct(F.lit(2).alias("k"), (F.col("xb") * F.lit(size_y) + F.col("yb")).alias("i"))))
+    grouped = (cells.select("x", "y", "c", F.explode(keys).alias("g")).where(F.col("g").isNotNull())
+               .select(F.col("g.k").alias("k"), F.col("g.i").alias("i"), "x", "y", "c"))
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        d = _weighted_inversions(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["c"].to_numpy())
+        return pd.DataFrame({"k": [int(pdf["k"].iat[0])], "d": [float(d)]})
+    parts = {r["k"]: r["d"] for r in grouped.groupBy("k", "i").applyInPandas(inside, "k int, d double")
+             .groupBy("k").agg(F.sum("d").alias("d")).collect()}
+    n_d = grid + parts.get(0, 0.0) + parts.get(1, 0.0) - parts.get(2, 0.0)
+    n0 = n * (n - 1) / 2
+    den = ((n0 - n1) * (n0 - n2)) ** 0.5
+    return None if den == 0 else (n0 - n1 - n2 + n3 - 2 * n_d) / den
+
+
+def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6, n_buckets: int = 32) -> DataFrame:
+    """Kendall tau-b matrix (pairwise-complete rows) as (a, b, r)."""
+    cols = list(columns)
+    vals = {}
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            vals[(a, b)] = vals[(b, a)] = kendall_tau_b(df, a, b, n_buckets)
+    rows = [(a, b, 1.0 if a == b else vals[(a, b)]) for a in cols for b in cols]
+    out = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    return out.withColumn("r", F.round("r", digits)) if digits is not None else out

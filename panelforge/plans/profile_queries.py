@@ -206,3 +206,25 @@ SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_retailprice DESC, p
 def top_n(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     return R.top_n(p, 50, "p_retailprice", ["p_partkey"])
+
+
+_K_COLS = ["s_acctbal", "s_nationkey", "s_suppkey"]
+
+
+def _kendall_sql():
+    parts = []
+    for a in _K_COLS:
+        for b in _K_COLS:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS a, '{b}' AS b, CAST(1.0 AS DOUBLE) AS r")
+            else:
+                parts.append(f"""SELECT '{a}' AS a, '{b}' AS b,
+       round(sum(sign(p.{a} - q.{a}) * sign(p.{b} - q.{b})) / sqrt(CAST(sum(abs(sign(p.{a} - q.{a}))) AS DOUBLE)
+             * CAST(sum(abs(sign(p.{b} - q.{b}))) AS DOUBLE)), 6) AS r
+  FROM supplier p JOIN supplier q ON p.s_suppkey < q.s_suppkey""")
+    return " UNION ALL ".join(parts)
+
+
+@register("corr_kendall", _kendall_sql())
+def corr_kendall(spark, sf_dir):
+    return A.corr_kendall(table(spark, sf_dir, "supplier"), _K_COLS)

@@ -102,3 +102,17 @@ def test_exact_quantiles_match_pandas(spark):
     for (g, c), v in got.items():
         assert v == pdf[pdf.g == g][c].median()
     assert exact_quantiles(spark.createDataFrame(pdf), ["x"], 0.3)[(None, "x")] == pdf.x.quantile(0.3)
+
+
+def test_kendall_tau_b_matches_pandas(spark):
+    rng = np.random.default_rng(11)
+    n = 400
+    pdf = pd.DataFrame({"a": rng.integers(0, 12, n).astype(float),            # many ties
+                        "b": np.where(rng.random(n) < 0.35, 3.0, rng.normal(size=n)),   # a hot value
+                        "c": rng.normal(size=n)})
+    pdf.loc[::13, "c"] = np.nan
+    got = {(r["a"], r["b"]): r["r"] for r in A.corr_kendall(spark.createDataFrame(pdf), ["a", "b", "c"],
+                                                            n_buckets=4).collect()}
+    exp = pdf.corr(method="kendall")
+    for (x, y), v in got.items():
+        assert abs(v - round(exp.loc[x, y], 6)) < 1e-6
