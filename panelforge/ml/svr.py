@@ -34,64 +34,97 @@ def _dot(w: np.ndarray, xs: Sequence[Column]) -> Column:
     return e
 
 
-def _terms(w, xs, y, eps, mu, C):
-    """Smoothed loss, gradient-weight and Hessian-weight expressions at w."""
-    r = y - _dot(w, xs[:-1])
-    u = F.abs(r) - eps
-    loss = F.when(u <= 0, 0.0).when(u <= mu, u * u / (2 * mu)).otherwise(u - mu / 2)
-    d1 = F.when(u <= 0, 0.0).when(u <= mu, u / mu).otherwise(1.0) * F.signum(r)
-    d2 = F.when((u > 0) & (u <= mu), 1.0 / mu).otherwise(0.0)
-    true_loss = F.greatest(u, F.lit(0.0))
-    return loss, d1, d2, true_loss
+def _coef(ws: dict, by: str | None, i: int) -> Column:
+    """Coefficient i of each group's vector (a CASE over the group column)."""
+    e = None
+    for g, w in ws.items():
+        hit = F.col(by) == F.lit(g)
+        e = F.when(hit, F.lit(float(w[i]))) if e is None else e.when(hit, F.lit(float(w[i])))
+    return e
 
 
-def fit_linear_svr(train: DataFrame, *, features: Sequence[str], label: str = "y", C: float = 1.0,
-                   epsilon: float = 0.0, max_iter: int = 30, tol: float = 1e-10,
-                   mu_schedule: Sequence[float] = MU_SCHEDULE) -> tuple[np.ndarray, list[float]]:
-    """Returns (w with intercept last, history of the true objective)."""
-    data = train.select(*[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)],
+def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: str = "y", by: str | None = None,
+                          C: float = 1.0, epsilon: float = 0.0, max_iter: int = 30, tol: float = 1e-10,
+                          mu_schedule: Sequence[float] = MU_SCHEDULE) -> dict:
+    """One SVR per group of ``by`` (e.g. every fold) fitted together: each
+    Newton iteration is ONE grouped aggregate for all groups.
+    Returns {group: (w with intercept last, history of the true objective)}."""
+    gcol = F.col(by).cast("string") if by else F.lit("all")
+    data = train.select(gcol.alias("__g"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)],
                         F.col(label).cast("double").alias("__y")).dropna()
     data = data.persist(StorageLevel.MEMORY_AND_DISK)   # one pass per iteration reads the cache
+    groups = sorted(r[0] for r in data.select("__g").distinct().collect())
     xs = [F.col(f"__x{i}") for i in range(len(features))] + [F.lit(1.0)]
     y = F.col("__y")
     k = len(xs)
-    w = np.zeros(k)
-    step = np.zeros(k)
-    history = []
+    w = {g: np.zeros(k) for g in groups}
+    step = {g: np.zeros(k) for g in groups}
+    hist = {g: [] for g in groups}
     for mu in mu_schedule:
-        prev = None
+        active = set(groups)
+        prev = {g: None for g in groups}
         for _ in range(max_iter):
+            if not active:
+                break
             aggs = []
             for si, t in enumerate(STEPS):
-                loss, d1, d2, tl = _terms(w + t * step, xs, y, epsilon, mu, C)
-                aggs += [F.sum(loss).alias(f"l{si}"), F.sum(tl).alias(f"t{si}")]
+                wt = {g: w[g] + t * step[g] for g in groups}
+                coefs = [_coef(wt, "__g", i) for i in range(k)]
+                r = y - coefs[-1]
+                for i in range(k - 1):
+                    r = r - coefs[i] * xs[i]
+                u = F.abs(r) - epsilon
+                loss = F.when(u <= 0, 0.0).when(u <= mu, u * u / (2 * mu)).otherwise(u - mu / 2)
+                d1 = F.when(u <= 0, 0.0).when(u <= mu, u / mu).otherwise(1.0) * F.signum(r)
+                d2 = F.when((u > 0) & (u <= mu), 1.0 / mu).otherwise(0.0)
+                aggs += [F.sum(loss).alias(f"l{si}"), F.sum(F.greatest(u, F.lit(0.0))).alias(f"t{si}")]
                 aggs += [F.sum(d1 * xs[i]).alias(f"g{si}_{i}") for i in range(k)]
                 aggs += [F.sum(d2 * xs[i] * xs[j]).alias(f"h{si}_{i}_{j}") for i in range(k) for j in range(i, k)]
-            row = data.agg(*aggs).first()
-            objs = []
-            for si, t in enumerate(STEPS):
-                wt = w + t * step
-                objs.append(0.5 * float(wt @ wt) + C * float(row[f"l{si}"] or 0.0))
-            si = int(np.argmin(objs))
-            w = w + STEPS[si] * step
-            history.append(0.5 * float(w @ w) + C * float(row[f"t{si}"] or 0.0))
-            g = w - C * np.array([row[f"g{si}_{i}"] or 0.0 for i in range(k)])
-            h = np.eye(k)
-            for i in range(k):
-                for j in range(i, k):
-                    h[i, j] += C * (row[f"h{si}_{i}_{j}"] or 0.0)
-                    h[j, i] = h[i, j]
-            step = np.linalg.solve(h, -g)
-            obj = objs[si]
-            if STEPS[si] == 0.0 or (prev is not None and prev - obj <= tol * max(1.0, abs(obj))):
-                break
-            prev = obj
+            for row in data.groupBy("__g").agg(*aggs).collect():
+                g = row["__g"]
+                if g not in active:
+                    continue
+                objs = []
+                for si, t in enumerate(STEPS):
+                    wt = w[g] + t * step[g]
+                    objs.append(0.5 * float(wt @ wt) + C * float(row[f"l{si}"] or 0.0))
+                si = int(np.argmin(objs))
+                w[g] = w[g] + STEPS[si] * step[g]
+                hist[g].append(0.5 * float(w[g] @ w[g]) + C * float(row[f"t{si}"] or 0.0))
+                grad = w[g] - C * np.array([row[f"g{si}_{i}"] or 0.0 for i in range(k)])
+                h = np.eye(k)
+                for i in range(k):
+                    for j in range(i, k):
+                        h[i, j] += C * (row[f"h{si}_{i}_{j}"] or 0.0)
+                        h[j, i] = h[i, j]
+                step[g] = np.linalg.solve(h, -grad)
+                obj = objs[si]
+                if STEPS[si] == 0.0 or (prev[g] is not None and prev[g] - obj <= tol * max(1.0, abs(obj))):
+                    active.discard(g)
+                    step[g] = np.zeros(k)
+                prev[g] = obj
     data.unpersist()
-    return w, history
+    return {g: (w[g], hist[g]) for g in groups}
 
 
-def predict_svr(w: np.ndarray, df: DataFrame, features: Sequence[str], out: str = "y_hat") -> DataFrame:
-    return df.withColumn(out, _dot(w, [F.col(c).cast("double") for c in features]))
+def fit_linear_svr(train: DataFrame, *, features: Sequence[str], label: str = "y", C: float = 1.0,
+                   epsilon: float = 0.0, max_iter: int = 30, tol: float = 1e-10,
+                   mu_schedule: Sequence[float] = MU_SCHEDULE) -> tuple[np.ndarray, list[float]]:
+    """Returns (w with intercept last, history of the true objective)."""
+    return fit_linear_svr_groups(train, features=features, label=label, by=None, C=C, epsilon=epsilon,
+                                 max_iter=max_iter, tol=tol, mu_schedule=mu_schedule)["all"]
+
+
+def predict_svr(w, df: DataFrame, features: Sequence[str], out: str = "y_hat", by: str | None = None) -> DataFrame:
+    """Predict with one vector, or with each group's vector ({group: w}) when ``by`` is given."""
+    xs = [F.col(c).cast("double") for c in features]
+    if by is None:
+        return df.withColumn(out, _dot(w, xs))
+    ws = {g: v[0] if isinstance(v, tuple) else v for g, v in w.items()}
+    e = _coef(ws, by, len(features))
+    for i, x in enumerate(xs):
+        e = e + _coef(ws, by, i) * x
+    return df.withColumn(out, e)
 
 
 # The reference's SVR grid (C x epsilon = 18 points).

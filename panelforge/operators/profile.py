@@ -114,43 +114,70 @@ def average_rank(df: DataFrame, col: str, out: str = "rank", n_buckets: int = 64
     return df.join(ranked, col, "left")
 
 
+def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_buckets: int = 64) -> DataFrame:
+    """Average ranks of several columns with shared jobs (same method as
+    ``average_rank``: distinct values, quantile ranges, per-range offsets)."""
+    cols = list(cols)
+    long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
+                                          for c in cols])).alias("s"))
+              .select("s.c", "s.v").where(F.col("v").isNotNull()))
+    vals = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("__cnt"))
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, qs, 0.001)
+    bucket = None
+    for c, bs in zip(cols, bounds):
+        arr = F.array(*[F.lit(float(b)) for b in sorted(set(bs))]) if bs else F.array().cast("array<double>")
+        e = F.size(F.filter(arr, lambda b: b < F.col("v")))
+        bucket = F.when(F.col("c") == c, e) if bucket is None else bucket.when(F.col("c") == c, e)
+    vals = vals.withColumn("__b", bucket)
+    totals = vals.groupBy("c", "__b").agg(F.sum("__cnt").alias("t")).collect()
+    offsets, run = {}, {}
+    for r in sorted(totals, key=lambda r: (r["c"], r["__b"])):
+        offsets[f"{r['c']}|{r['__b']}"] = run.get(r["c"], 0)
+        run[r["c"]] = run.get(r["c"], 0) + r["t"]
+    off_map = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in offsets.items()))
+    w = Window.partitionBy("c", "__b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = vals.select("c", "v", (off_map[F.concat_ws("|", F.col("c"), F.col("__b").cast("string"))]
+                                    + F.coalesce(F.sum("__cnt").over(w), F.lit(0))
+                                    + (F.col("__cnt") + 1) / 2.0).alias("__rank"))
+    out = df
+    for c in cols:
+        rc = ranked.where(F.col("c") == c).select(F.col("v").alias(f"__v_{c}"), F.col("__rank").alias(prefix + c))
+        out = (out.join(rc, F.col(c).cast("double") == F.col(f"__v_{c}"), "left").drop(f"__v_{c}"))
+    return out
+
+
 def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
                   n_buckets: int = 64) -> DataFrame:
     """Spearman correlation = Pearson correlation of average ranks.
 
-    Columns without missing values are ranked once; a pair involving a column
-    with gaps is ranked on its own complete rows (pairwise-complete, as the
-    reference's correlation does).
+    Columns without missing values are ranked together once (shared jobs); a
+    pair involving a column with gaps is ranked on its own complete rows
+    (pairwise-complete, as the reference's correlation does).
     """
     cols = list(columns)
     nulls = df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
     complete = [c for c in cols if not nulls[c]]
     pairs = {}
-    if complete:
-        ranked = df.select(*complete)
-        for c in complete:
-            ranked = average_rank(ranked, c, f"__r_{c}", n_buckets)
+    if len(complete) > 1:
+        ranked = average_ranks(df.select(*complete), complete, "__r_", n_buckets)
         exprs = [F.corr(f"__r_{a}", f"__r_{b}").alias(f"{a}|{b}")
                  for i, a in enumerate(complete) for b in complete[i + 1:]]
-        if exprs:
-            row = ranked.agg(*exprs).first()
-            pairs.update({tuple(k.split("|")): row[k] for k in row.asDict()})
+        row = ranked.agg(*exprs).first()
+        pairs.update({tuple(k.split("|")): row[k] for k in row.asDict()})
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
             if (a, b) in pairs:
                 continue
             sub = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-            sub = average_rank(average_rank(sub, a, "__ra", n_buckets), b, "__rb", n_buckets)
-            pairs[(a, b)] = sub.agg(F.corr("__ra", "__rb")).first()[0]
-    spark = df.sparkSession
+            sub = average_ranks(sub, [a, b], "__r_", n_buckets)
+            pairs[(a, b)] = sub.agg(F.corr(f"__r_{a}", f"__r_{b}")).first()[0]
     rows = []
     for a in cols:
         for b in cols:
             r = 1.0 if a == b else pairs.get((a, b), pairs.get((b, a)))
-            if r is not None and digits is not None:
-                r = float(r)
-            rows.append((a, b, r))
-    out = spark.createDataFrame(rows, "a string, b string, r double")
+            rows.append((a, b, None if r is None else float(r)))
+    out = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     return out.withColumn("r", F.round("r", digits)) if digits is not None else out
 
 

@@ -338,7 +338,7 @@ def _test_predictions(spark, sf_dir, feature: str) -> DataFrame:
     day = S.day_number("d")
     lab = F.when(day <= cut[0.8], "train").when(day > cut[0.9], "test")
     fr = mf.withColumn("split", lab).withColumn("fold", F.lit(LAST_FOLD)).where(F.col("split").isNotNull())
-    return G.run_grid(fr, _TEST_GRID, features=[feature], target="test")
+    return L.linear_grid_predictions(fr, _TEST_GRID, features=[feature], target="test")
 
 
 _TEST_CTES = (_fold_sql_ctes() + ", "
@@ -401,7 +401,7 @@ SELECT entity, d, max(y) AS y, """
           + ", round(max(g), 6) AS global_mean FROM pred, gm GROUP BY entity, d")
 def prediction_table(spark, sf_dir):
     f = folded(spark, sf_dir).where(F.col("fold") == LAST_FOLD)
-    lin = G.run_grid(f, _PT_GRID, features=["x"]).withColumn(
+    lin = L.linear_grid_predictions(f, _PT_GRID, features=["x"]).withColumn(
         "model", F.when(F.col("model") == "lasso", "lasso_0_1").when(F.col("model") == "ridge", "ridge_10")
         .otherwise(F.col("model")))
     nul = E.null_predictions(f).where(F.col("model") == "global_mean")
@@ -544,9 +544,12 @@ def fit_adaboost(spark, sf_dir):
 
 @register("fit_svr")
 def fit_svr(spark, sf_dir):
+    """All folds fitted together: each Newton step is one aggregate grouped by fold."""
     params = {"C": 0.1, "epsilon": 0.1}
-
-    def fp(tr, va):
-        w, _ = SVR.fit_linear_svr(tr, features=["x", "x7"], C=0.1, epsilon=0.1)
-        return SVR.predict_svr(w, va, ["x", "x7"])
-    return _fold_scores(spark, sf_dir, fp, "svr", params)
+    f = folded(spark, sf_dir)
+    fits = SVR.fit_linear_svr_groups(f.where(F.col("split") == "train"), features=["x", "x7"], by="fold",
+                                     C=0.1, epsilon=0.1)
+    va = f.where(F.col("split") == "validation")
+    p = SVR.predict_svr(fits, va, ["x", "x7"], by="fold").select(
+        "fold", F.lit("svr").alias("model"), F.lit(G.params_text(params)).alias("params"), "entity", "d", "y", "y_hat")
+    return E.score(p)
