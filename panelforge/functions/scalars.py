@@ -98,7 +98,7 @@ def threshold_flag(c, threshold: float) -> Column:
 
 def ordinal_to_date(c, missing: int = MISSING_EVENT_ORDINAL) -> Column:
     """Proleptic Gregorian ordinal (day 1 = 0001-01-01) to a date."""
-    n = F.coalesce(_c(c).cast("int"), F.lit(missing))
+    n = F.coalesce(_c(c).cast("double").cast("int"), F.lit(missing))
     return F.date_add(F.lit("0001-01-01").cast("date"), n - 1)
 
 
