@@ -124,11 +124,3 @@ def best_per_group(df: DataFrame, *, group, metric: str, keep_ties: bool = True)
     out = (df.join(best, g).filter(F.col(metric) == F.col("__best")).drop("__best")
              .select(*df.columns))
     return out.distinct() if keep_ties else out.dropDuplicates(g)
-
-
-def with_null_gaps(df: DataFrame, *, entity: str, date: str, columns: Sequence[str],
-                   base: str = "1995-01-01", modulo: int = 10) -> DataFrame:
-    """Deterministic gaps: NULL where (entity*31 + days since base) % modulo == 0."""
-    gap = ((F.col(entity) * 31 + F.datediff(F.col(date), F.lit(base).cast("date"))) % modulo) == 0
-    return df.select(*[F.when(~gap, F.col(c)).alias(c) if c in columns else F.col(c)
-                       for c in df.columns])

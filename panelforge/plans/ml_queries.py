@@ -500,14 +500,17 @@ def tree_frame(spark, sf_dir) -> DataFrame:
 
 def _fold_scores(spark, sf_dir, fit_predict, model: str, params: dict, folds=None) -> DataFrame:
     """Fit on each fold's train rows, predict its validation rows, score all in one job."""
+    from concurrent.futures import ThreadPoolExecutor
     tf = tree_frame(spark, sf_dir)
-    preds = []
-    for fold in folds or FOLD_NAMES:
+
+    def one(fold):
         tr = tf.where((F.col("fold") == fold) & (F.col("split") == "train"))
         va = tf.where((F.col("fold") == fold) & (F.col("split") == "validation"))
-        p = fit_predict(tr, va).select("fold", F.lit(model).alias("model"),
-                                       F.lit(G.params_text(params)).alias("params"), "entity", "d", "y", "y_hat")
-        preds.append(p)
+        return fit_predict(tr, va).select("fold", F.lit(model).alias("model"),
+                                          F.lit(G.params_text(params)).alias("params"), "entity", "d", "y", "y_hat")
+    # independent fold fits run as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        preds = list(pool.map(one, folds or FOLD_NAMES))
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)
