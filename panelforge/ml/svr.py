@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,61 +44,81 @@ def _coef(ws: dict, by: str | None, i: int) -> Column:
     return e
 
 
+def _partial_sums(w: dict, step: dict, k: int, epsilon: float, mu: float):
+    """Per-partition sums for every group and line-search step (NumPy on
+    Arrow batches): smoothed loss, true loss, gradient and Hessian terms."""
+    n_h = k * (k + 1) // 2
+
+    def run(batches):
+        acc: dict = {}
+        for pdf in batches:
+            for g, sub in pdf.groupby("__g"):
+                if g not in w:
+                    continue
+                x = np.column_stack([sub[f"__x{i}"].to_numpy(np.float64) for i in range(k - 1)]
+                                    + [np.ones(len(sub))])
+                y = sub["__y"].to_numpy(np.float64)
+                vec = []
+                for t in STEPS:
+                    r = y - x @ (w[g] + t * step[g])
+                    u = np.abs(r) - epsilon
+                    quad = (u > 0) & (u <= mu)
+                    loss = np.where(u <= 0, 0.0, np.where(quad, u * u / (2 * mu), u - mu / 2))
+                    d1 = np.where(u <= 0, 0.0, np.where(quad, u / mu, 1.0)) * np.sign(r)
+                    xq = x[quad]
+                    h = (xq.T @ xq) / mu
+                    vec += [loss.sum(), np.maximum(u, 0.0).sum(), *(x.T @ d1), *h[np.triu_indices(k)]]
+                acc[g] = acc.get(g, 0.0) + np.asarray(vec)
+        if acc:
+            yield pd.DataFrame({"__g": list(acc), "v": [a.tolist() for a in acc.values()]})
+    return run, 2 + k + n_h
+
+
 def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: str = "y", by: str | None = None,
                           C: float = 1.0, epsilon: float = 0.0, max_iter: int = 30, tol: float = 1e-10,
                           mu_schedule: Sequence[float] = MU_SCHEDULE) -> dict:
-    """One SVR per group of ``by`` (e.g. every fold) fitted together: each
-    Newton iteration is ONE grouped aggregate for all groups.
+    """One SVR per group of ``by`` (e.g. every fold) fitted together.
+
+    Each Newton iteration is ONE pass: every partition reduces its rows to a
+    small vector per group (``mapInPandas``, NumPy on Arrow batches, like a
+    tree-aggregate's seqOp), the vectors are summed by a grouped aggregate
+    (combOp) and only groups x (objective, gradient, Hessian) reach the driver.
     Returns {group: (w with intercept last, history of the true objective)}."""
     gcol = F.col(by).cast("string") if by else F.lit("all")
     data = train.select(gcol.alias("__g"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)],
                         F.col(label).cast("double").alias("__y")).dropna()
     data = data.persist(StorageLevel.MEMORY_AND_DISK)   # one pass per iteration reads the cache
     groups = sorted(r[0] for r in data.select("__g").distinct().collect())
-    xs = [F.col(f"__x{i}") for i in range(len(features))] + [F.lit(1.0)]
-    y = F.col("__y")
-    k = len(xs)
+    k = len(features) + 1
     w = {g: np.zeros(k) for g in groups}
     step = {g: np.zeros(k) for g in groups}
     hist = {g: [] for g in groups}
+    iu = np.triu_indices(k)
     for mu in mu_schedule:
         active = set(groups)
         prev = {g: None for g in groups}
         for _ in range(max_iter):
             if not active:
                 break
-            aggs = []
-            for si, t in enumerate(STEPS):
-                wt = {g: w[g] + t * step[g] for g in groups}
-                coefs = [_coef(wt, "__g", i) for i in range(k)]
-                r = y - coefs[-1]
-                for i in range(k - 1):
-                    r = r - coefs[i] * xs[i]
-                u = F.abs(r) - epsilon
-                loss = F.when(u <= 0, 0.0).when(u <= mu, u * u / (2 * mu)).otherwise(u - mu / 2)
-                d1 = F.when(u <= 0, 0.0).when(u <= mu, u / mu).otherwise(1.0) * F.signum(r)
-                d2 = F.when((u > 0) & (u <= mu), 1.0 / mu).otherwise(0.0)
-                aggs += [F.sum(loss).alias(f"l{si}"), F.sum(F.greatest(u, F.lit(0.0))).alias(f"t{si}")]
-                aggs += [F.sum(d1 * xs[i]).alias(f"g{si}_{i}") for i in range(k)]
-                aggs += [F.sum(d2 * xs[i] * xs[j]).alias(f"h{si}_{i}_{j}") for i in range(k) for j in range(i, k)]
-            for row in data.groupBy("__g").agg(*aggs).collect():
-                g = row["__g"]
-                if g not in active:
-                    continue
-                objs = []
-                for si, t in enumerate(STEPS):
-                    wt = w[g] + t * step[g]
-                    objs.append(0.5 * float(wt @ wt) + C * float(row[f"l{si}"] or 0.0))
+            run, width = _partial_sums({g: w[g] for g in active}, step, k, epsilon, mu)
+            parts = data.mapInPandas(run, "__g string, v array<double>")
+            summed = (parts.select("__g", F.posexplode("v").alias("i", "x"))
+                           .groupBy("__g", "i").agg(F.sum("x").alias("x")).collect())
+            tot = {g: np.zeros(width * len(STEPS)) for g in active}
+            for r in summed:
+                tot[r["__g"]][r["i"]] = r["x"]
+            for g in list(active):
+                vec = tot[g].reshape(len(STEPS), width)
+                objs = [0.5 * float((w[g] + t * step[g]) @ (w[g] + t * step[g])) + C * vec[si, 0]
+                        for si, t in enumerate(STEPS)]
                 si = int(np.argmin(objs))
                 w[g] = w[g] + STEPS[si] * step[g]
-                hist[g].append(0.5 * float(w[g] @ w[g]) + C * float(row[f"t{si}"] or 0.0))
-                grad = w[g] - C * np.array([row[f"g{si}_{i}"] or 0.0 for i in range(k)])
-                h = np.eye(k)
-                for i in range(k):
-                    for j in range(i, k):
-                        h[i, j] += C * (row[f"h{si}_{i}_{j}"] or 0.0)
-                        h[j, i] = h[i, j]
-                step[g] = np.linalg.solve(h, -grad)
+                hist[g].append(0.5 * float(w[g] @ w[g]) + C * vec[si, 1])
+                grad = w[g] - C * vec[si, 2:2 + k]
+                h = np.zeros((k, k))
+                h[iu] = vec[si, 2 + k:]
+                h = h + np.triu(h, 1).T
+                step[g] = np.linalg.solve(np.eye(k) + C * h, -grad)
                 obj = objs[si]
                 if STEPS[si] == 0.0 or (prev[g] is not None and prev[g] - obj <= tol * max(1.0, abs(obj))):
                     active.discard(g)
