@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,7 +117,7 @@ def split_random(df: DataFrame, *, keys: Sequence[str], test_size: float = 0.1,
     rank; the bucket is refined on the next bits until it is small, and only
     that small bucket's (hash, key) pairs are ordered on the driver.
     """
-    h = df.withColumn("__h", key_hash(keys, seed))
+    h = df.withColumn("__h", key_hash(keys, seed)).persist(StorageLevel.MEMORY_AND_DISK)
     n = h.count()
     n_test = int(math.ceil(test_size * n))
     if n_test <= 0:

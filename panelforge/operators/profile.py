@@ -8,6 +8,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,7 +130,7 @@ def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_bu
         arr = F.array(*[F.lit(float(b)) for b in sorted(set(bs))]) if bs else F.array().cast("array<double>")
         e = F.size(F.filter(arr, lambda b: b < F.col("v")))
         bucket = F.when(F.col("c") == c, e) if bucket is None else bucket.when(F.col("c") == c, e)
-    vals = vals.withColumn("__b", bucket)
+    vals = vals.withColumn("__b", bucket).persist(StorageLevel.MEMORY_AND_DISK)
     totals = vals.groupBy("c", "__b").agg(F.sum("__cnt").alias("t")).collect()
     offsets, run = {}, {}
     for r in sorted(totals, key=lambda r: (r["c"], r["__b"])):
@@ -228,6 +229,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
         F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])).alias("s"))
               .select("__g", F.col("s.c").alias("__c"), F.col("s.v").alias("__v"))
               .where(F.col("__v").isNotNull() & ~F.isnan("__v")))
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)     # a few passes read the cached values
     stats = long.groupBy("__g", "__c").agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"),
                                            F.max("__v").alias("hi")).collect()
     targets = {}          # id -> dict(key, rank, chain, lo, hi, value)
@@ -291,6 +293,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
             vals.setdefault(r["t"], []).append(r["__v"])
         for i, t in fetch.items():
             t["value"] = sorted(vals[i])[t["rank"]]
+    long.unpersist()
     found = {(t["key"], t["orig"]): t["value"] for t in targets.values()}
     out = {}
     for key, (pos, ranks) in keys.items():
