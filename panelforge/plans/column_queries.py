@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from ..operators import columns as C
 from ..operators import panel as P
-from .bindings import EVENT_TYPES, ev, panel_e, panel_n, table, with_ctes
+from .bindings import EVENT_TYPES, ev, panel_e, panel_n, table, with_ctes  # noqa: F401
 from .catalog import register
 
 _T = EVENT_TYPES
@@ -283,5 +283,3 @@ def split_label(spark, sf_dir):
     return t.select("event_id", "label", X.label_model("label").alias("model"),
                     X.label_version("label").alias("version"))
 
-
-_ = panel_n  # bound for other modules

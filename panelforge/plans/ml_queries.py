@@ -6,11 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import functions as X
 from ..ml import evaluate as E
 from ..ml import grid as G
+from ..ml import knn as KNN
 from ..ml import linear as L
 from ..ml import prep as M
 from ..ml import split as S
+from ..ml import svr as SVR
+from ..ml import trees as TR
+from ..operators import columns as C
 from .bindings import EVENT_TYPES, model_frame, panel_e, panel_n, with_ctes
 from .catalog import register
 
@@ -449,10 +454,8 @@ def flagship_leaderboard(spark, sf_dir) -> DataFrame:
     return E.leaderboard(E.fold_average(E.score(pred, digits=None)))
 
 
-
 # ---- k nearest neighbours on the embeddings ------------------------------------
 
-from ..ml import knn as KNN  # noqa: E402
 
 KNN_KS = list(range(5, 20))
 _QUERY_CUT = int(0.2 * 2 ** 52)      # hash split: about 20% of the vectors are queries
@@ -485,10 +488,6 @@ def fit_knn(spark, sf_dir):
 
 # ---- forest, AdaBoost, SVR (rows-only checks: no SQL equivalent) ---------------
 
-from ..ml import svr as SVR  # noqa: E402
-from ..ml import trees as TR  # noqa: E402
-from ..operators import columns as C  # noqa: E402
-from .. import functions as X  # noqa: E402
 
 TREE_FEATURES = ["x", "x7"] + [f"dow_{k}" for k in range(7)]
 

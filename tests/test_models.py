@@ -163,3 +163,15 @@ def test_grid_runner_resumes_from_artefacts(spark, tmp_path):
     a = E.score(G.run_grid(df, grid, features=["x1", "x2"], model_dir=str(tmp_path))).collect()
     b = E.score(G.run_grid(df, grid, features=["x1", "x2"], model_dir=str(tmp_path))).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_group_min_mixes_rows_but_best_is_row_consistent(spark):
+    """The reference's per-model minimum takes each column's minimum separately;
+    the best-per-model table keeps one whole row (min MAE, ties by params)."""
+    from panelforge.operators import profile as A
+    res = spark.createDataFrame([("m", '{"a": 1}', 5.0, 1.0), ("m", '{"a": 2}', 2.0, 3.0)],
+                                "model string, params string, mse double, mae double")
+    mixed = A.group_min(res, "model", ["params", "mse", "mae"]).first()
+    assert (mixed["mse"], mixed["mae"]) == (2.0, 1.0)            # from different rows
+    best = E.best_per_model(res).first()
+    assert (best["params"], best["mse"], best["mae"]) == ('{"a": 1}', 5.0, 1.0)
