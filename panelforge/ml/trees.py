@@ -42,11 +42,15 @@ def feature_subset(max_features: str, n_features: int) -> str:
 
 def fit_forest(train: DataFrame, *, features: Sequence[str], label: str = "y", n_estimators: int = 100,
                max_features: str = "auto", seed: int = 0, max_depth: int = MAX_DEPTH):
+    checkpoint_dir(train.sparkSession)        # node-id cache is checkpointed (reliable) every 10 levels
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(train)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_estimators,
                                featureSubsetStrategy=feature_subset(max_features, len(features)),
                                maxDepth=max_depth, minInstancesPerNode=1, subsamplingRate=1.0,
-                               bootstrap=True, seed=seed)
+                               bootstrap=True, seed=seed,
+                               # deep trees: keep each row's node id instead of re-walking the
+                               # trees every level, and split more nodes per pass
+                               cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024)
     return rf.fit(data)
 
 
