@@ -338,7 +338,8 @@ def _bucket(col: str, bounds: list[float]):
     return (F.size(F.filter(arr, lambda b: b < v)) * 2 + F.array_contains(arr, v).cast("int")).cast("int")
 
 
-def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int = 32) -> float | None:
+def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int | None = None,
+                  rows_per_bucket: int = 2_000_000, max_buckets: int = 1024) -> float | None:
     """Kendall's tau-b of two columns over their complete rows.
 
     Discordant pairs = pairs in different x- and y-buckets (from the bucket
@@ -353,6 +354,10 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int = 32) -> float |
     import pandas as pd
     sub = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
             .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    if n_buckets is None:
+        # enough quantile buckets that an in-bucket group stays near rows_per_bucket
+        # (the driver-side bucket matrix is at most (2 * max_buckets + 1)^2 cells)
+        n_buckets = int(min(max_buckets, max(32, -(-sub.count() // rows_per_bucket))))
     cells = sub.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bx, by = sub.approxQuantile(["x", "y"], qs, 0.001)
@@ -395,7 +400,8 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int = 32) -> float |
     return None if den == 0 else (n0 - n1 - n2 + n3 - 2 * n_d) / den
 
 
-def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6, n_buckets: int = 32) -> DataFrame:
+def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
+                 n_buckets: int | None = None) -> DataFrame:
     """Kendall tau-b matrix (pairwise-complete rows) as (a, b, r)."""
     cols = list(columns)
     vals = {}
