@@ -115,14 +115,20 @@ def average_rank(df: DataFrame, col: str, out: str = "rank", n_buckets: int = 64
     return df.join(ranked, col, "left")
 
 
-def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_buckets: int = 64) -> DataFrame:
+def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_buckets: int | None = 64,
+                  values_per_bucket: int = 2_000_000, max_buckets: int = 1024) -> DataFrame:
     """Average ranks of several columns with shared jobs (same method as
-    ``average_rank``: distinct values, quantile ranges, per-range offsets)."""
+    ``average_rank``: distinct values, quantile ranges, per-range offsets).
+    ``n_buckets=None`` sizes the ranges so one window partition holds about
+    ``values_per_bucket`` distinct values."""
     cols = list(cols)
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
                                           for c in cols])).alias("s"))
               .select("s.c", "s.v").where(F.col("v").isNotNull()))
     vals = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("__cnt"))
+    if n_buckets is None:
+        most = vals.groupBy("c").count().agg(F.max("count")).first()[0] or 0
+        n_buckets = int(min(max_buckets, max(64, -(-most // values_per_bucket))))
     qs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, qs, 0.001)
     bucket = None
@@ -149,7 +155,7 @@ def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_bu
 
 
 def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
-                  n_buckets: int = 64) -> DataFrame:
+                  n_buckets: int | None = 64) -> DataFrame:
     """Spearman correlation = Pearson correlation of average ranks.
 
     Columns without missing values are ranked together once (shared jobs); a
