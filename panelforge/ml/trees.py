@@ -84,23 +84,24 @@ def fit_adaboost(train: DataFrame, *, features: Sequence[str], label: str = "y",
         tree = DecisionTreeRegressor(featuresCol="features", labelCol="__y", weightCol="__w",
                                      maxDepth=max_depth, seed=seed + m).fit(cur)
         pred = tree.transform(cur).withColumn("__e", F.abs(F.col("__y") - F.col("prediction")))
-        st = pred.agg(F.max("__e").alias("emax"), F.sum("__w").alias("wsum")).first()
+        # one aggregate per round: max error, weight total and weighted error
+        st = pred.agg(F.max("__e").alias("emax"), F.sum("__w").alias("wsum"),
+                      F.sum(F.col("__w") * F.col("__e")).alias("wesum")).first()
         emax = st["emax"] or 0.0
         if emax <= 0:
             ensemble.append((tree, 1.0))
             break
-        loss = F.col("__e") / F.lit(emax)
-        eps = pred.agg((F.sum(F.col("__w") * loss) / F.lit(st["wsum"])).alias("e")).first()["e"]
+        eps = st["wesum"] / emax / st["wsum"]            # weighted mean of the linear loss e / emax
         if eps >= 0.5:
             if not ensemble:
                 ensemble.append((tree, 1.0))
             break
         beta = eps / (1.0 - eps)
         ensemble.append((tree, math.log(1.0 / beta) if beta > 0 else 1.0))
-        new_w = F.col("__w") * F.pow(F.lit(beta), 1.0 - loss)
+        loss = F.col("__e") / F.lit(emax)
+        # normalise by the total of this round and re-weight in the same projection
+        new_w = F.col("__w") / F.lit(st["wsum"]) * F.pow(F.lit(beta), 1.0 - loss)
         cur = pred.select("features", "__y", new_w.alias("__w"))
-        total = cur.agg(F.sum("__w")).first()[0]
-        cur = cur.select("features", "__y", (F.col("__w") / F.lit(total)).alias("__w"))
         if (m + 1) % checkpoint_every == 0:
             cur = cur.checkpoint()
     return ensemble
