@@ -1,8 +1,8 @@
 """Exact k-nearest-neighbour regression (M12), Euclidean, uniform weights.
 
 Blocked broadcast: the training set is written once, partitioned by block
-(bounded rows per block). For each block, the block's rows (a bounded
-array) are broadcast and every query partition updates its running top-k
+(bounded rows per block). A few blocks at a time (each a bounded array) are
+broadcast and every query partition updates its running top-k
 (distance, train id, label) with ``mapInPandas`` - a narrow map, no shuffle
 and no pairs table. Keeping the top-k of each block is exact: the global
 top-k is contained in the union of the running top-k and the block. Ties in
@@ -24,39 +24,42 @@ from ..session import checkpoint_dir, scratch_path
 _STATE = "best_d array<double>, best_id array<bigint>, best_y array<double>"
 
 
-def _update(block_bc, kmax: int, id_col: str, vec_col: str, max_cells: int = 4_000_000):
+def _update(block_bcs, kmax: int, id_col: str, vec_col: str, max_cells: int = 4_000_000):
+    """Merge the running top-k of each query row with one or more broadcast blocks."""
     def run(batches):
-        t_vec, t_id, t_y = block_bc.value
+        blocks = [bc.value for bc in block_bcs]
         for pdf in batches:
             if len(pdf) == 0:
                 yield pdf
                 continue
             q = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            chunk = max(1, max_cells // max(1, t_vec.shape[0] * t_vec.shape[1]))
-            new_d, new_id, new_y = [], [], []
-            for s in range(0, len(q), chunk):
-                diff = q[s:s + chunk, None, :] - t_vec[None, :, :]
-                dist = np.einsum("qtd,qtd->qt", diff, diff)
-                for r in range(dist.shape[0]):
-                    i = s + r
-                    d0 = np.asarray(pdf["best_d"].iat[i] if pdf["best_d"].iat[i] is not None else [], dtype=np.float64)
-                    i0 = np.asarray(pdf["best_id"].iat[i] if pdf["best_id"].iat[i] is not None else [], dtype=np.int64)
-                    y0 = np.asarray(pdf["best_y"].iat[i] if pdf["best_y"].iat[i] is not None else [], dtype=np.float64)
-                    d = np.concatenate([d0, dist[r]])
-                    ids = np.concatenate([i0, t_id])
-                    ys = np.concatenate([y0, t_y])
-                    order = np.lexsort((ids, d))[:kmax]
-                    new_d.append(d[order].tolist())
-                    new_id.append(ids[order].tolist())
-                    new_y.append(ys[order].tolist())
+            best = [(np.asarray(d if d is not None else [], dtype=np.float64),
+                     np.asarray(i if i is not None else [], dtype=np.int64),
+                     np.asarray(y if y is not None else [], dtype=np.float64))
+                    for d, i, y in zip(pdf["best_d"], pdf["best_id"], pdf["best_y"])]
+            for t_vec, t_id, t_y in blocks:
+                chunk = max(1, max_cells // max(1, t_vec.shape[0] * t_vec.shape[1]))
+                for s in range(0, len(q), chunk):
+                    diff = q[s:s + chunk, None, :] - t_vec[None, :, :]
+                    dist = np.einsum("qtd,qtd->qt", diff, diff)
+                    for r in range(dist.shape[0]):
+                        d0, i0, y0 = best[s + r]
+                        d = np.concatenate([d0, dist[r]])
+                        ids = np.concatenate([i0, t_id])
+                        ys = np.concatenate([y0, t_y])
+                        order = np.lexsort((ids, d))[:kmax]
+                        best[s + r] = (d[order], ids[order], ys[order])
             out = pdf.copy()
-            out["best_d"], out["best_id"], out["best_y"] = new_d, new_id, new_y
+            out["best_d"] = [b[0].tolist() for b in best]
+            out["best_id"] = [b[1].tolist() for b in best]
+            out["best_y"] = [b[2].tolist() for b in best]
             yield out
     return run
 
 
 def knn_neighbours(train: DataFrame, query: DataFrame, *, id_col: str, vec_col: str, label: str,
-                   kmax: int = 19, block_rows: int = 20_000, checkpoint_every: int = 8) -> DataFrame:
+                   kmax: int = 19, block_rows: int = 20_000, blocks_per_pass: int = 4,
+                   checkpoint_every: int = 4) -> DataFrame:
     """Query rows with arrays of their ``kmax`` nearest training rows."""
     spark = train.sparkSession
     n = train.count()
@@ -71,15 +74,21 @@ def knn_neighbours(train: DataFrame, query: DataFrame, *, id_col: str, vec_col:
                          F.lit(None).cast("array<double>").alias("best_y"))
     schema = f"{id_col} bigint, {vec_col} array<float>, " + _STATE
     checkpoint_dir(spark)
-    for b in range(n_blocks):
-        rows = blocks.where(F.col("__block") == b).select(id_col, vec_col, label).toPandas()
-        if rows.empty:
+    passes = 0
+    for first in range(0, n_blocks, blocks_per_pass):
+        bcs = []
+        for b in range(first, min(n_blocks, first + blocks_per_pass)):
+            rows = blocks.where(F.col("__block") == b).select(id_col, vec_col, label).toPandas()
+            if rows.empty:
+                continue
+            t_vec = np.stack(rows[vec_col].to_numpy()).astype(np.float64)
+            bcs.append(spark.sparkContext.broadcast((t_vec, rows[id_col].to_numpy(np.int64),
+                                                     rows[label].to_numpy(np.float64))))
+        if not bcs:
             continue
-        t_vec = np.stack(rows[vec_col].to_numpy()).astype(np.float64)
-        bc = spark.sparkContext.broadcast((t_vec, rows[id_col].to_numpy(np.int64),
-                                           rows[label].to_numpy(np.float64)))
-        state = state.mapInPandas(_update(bc, kmax, id_col, vec_col), schema)
-        if (b + 1) % checkpoint_every == 0:
+        state = state.mapInPandas(_update(bcs, kmax, id_col, vec_col), schema)
+        passes += 1
+        if passes % checkpoint_every == 0:
             state = state.checkpoint()
     return state.drop(vec_col)
 
