@@ -417,3 +417,29 @@ def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
     rows = [(a, b, 1.0 if a == b else vals[(a, b)]) for a in cols for b in cols]
     out = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     return out.withColumn("r", F.round("r", digits)) if digits is not None else out
+
+
+# ---- whole-table entry points ------------------------------------------------
+
+def _numeric(df: DataFrame) -> list[str]:
+    from pyspark.sql.types import BooleanType, NumericType
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, NumericType) and not isinstance(f.dataType, BooleanType)]
+
+
+def numeric_correlations(df: DataFrame, method: str = "pearson", digits: int | None = 6) -> DataFrame:
+    """Pairwise correlations of every numeric column: 'pearson', 'spearman' or 'kendall'."""
+    cols = _numeric(df)
+    if method == "pearson":
+        return corr_matrix(df, cols, digits)
+    if method == "spearman":
+        return corr_spearman(df, cols, digits)
+    if method == "kendall":
+        return corr_kendall(df, cols, digits)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def numeric_histograms(df: DataFrame, n_bins: int = 40) -> DataFrame:
+    """Equal-width histograms of every numeric column (missing values skipped).
+    A log-scaled display changes only the axis, not these counts."""
+    return histogram(df, _numeric(df), n_bins)

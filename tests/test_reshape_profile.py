@@ -123,3 +123,14 @@ def test_kendall_tau_b_matches_pandas(spark):
         return s / np.sqrt(a * b)
     for (x, y), v in got.items():
         assert abs(v - round(tau_b(pdf[x].to_numpy(), pdf[y].to_numpy()), 6)) < 1e-6
+
+
+def test_numeric_entry_points(spark):
+    df = spark.createDataFrame([(1.0, 2.0, "a"), (2.0, 4.5, "b"), (3.0, 5.0, "c"), (4.0, 9.0, "d")],
+                               "x double, y double, s string")
+    for method in ("pearson", "spearman", "kendall"):
+        got = {(r["a"], r["b"]): r["r"] for r in A.numeric_correlations(df, method).collect()}
+        assert set(got) == {("x", "x"), ("x", "y"), ("y", "x"), ("y", "y")}
+    assert {r["column"] for r in A.numeric_histograms(df, 4).collect()} == {"x", "y"}
+    with pytest.raises(ValueError):
+        A.numeric_correlations(df, "nope")
