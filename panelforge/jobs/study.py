@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..ml import evaluate as E
-from ..ml import grid as G
-from ..ml import linear as L
 from ..ml import prep as M
 from ..ml import split as S
+from ..ml import zoo as Z
 from ..operators import panel as P
 from ..operators import profile as A
 
@@ -41,27 +41,27 @@ def prepare_fold(frame: DataFrame, features: Sequence[str], *, with_pca: bool) -
 
 
 def run_study(panel: DataFrame, *, target: str = TARGET, with_pca: bool = False,
-              grid: Sequence[tuple[str, dict]] | None = None, entity: str = "fips", date: str = "date",
-              folds=S.DEFAULT_FOLDS, other_models: dict | None = None) -> dict[str, DataFrame]:
-    """Folds -> prepare -> linear family (one statistics pass per fold) and
-    optional other models ``{name: fit_predict(train, validation, features)}``.
-    Returns fold rows, averages and leaderboards."""
-    grid = grid or G.linear_grid()
+              grids: dict | None = None, grid: Sequence[tuple[str, dict]] | None = None,
+              entity: str = "fips", date: str = "date", folds=S.DEFAULT_FOLDS) -> dict[str, DataFrame]:
+    """Folds -> prepare (impute, standardise, optional PCA) -> every model
+    family of ``grids`` ({family: grid}; default: the reference's 72 / 22
+    configurations, see ``zoo.study_grids``) -> fold rows, averages and
+    leaderboards. ``grid`` alone runs just that linear grid."""
+    if grids is None:
+        grids = {"linear": list(grid)} if grid is not None else Z.study_grids(with_pca)
     base = panel.dropna(subset=[target]).withColumnRenamed(target, "y")
     feats = study_columns(base, "y", [*INDEX, entity, date])
     folded = S.cv_folds(base, date=date, folds=folds)
     preds = []
     for lo, hi in folds:
         name = f"{lo:.1f}-{hi:.1f}"
-        fr = folded.where(F.col("fold") == name)
-        prepared, cols = prepare_fold(fr, feats, with_pca=with_pca)
-        preds.append(L.linear_grid_predictions(prepared, grid, features=cols, keys=(entity, date)))
-        for mname, fp in (other_models or {}).items():
-            tr = prepared.where(F.col("split") == "train")
-            va = prepared.where(F.col("split") == "validation")
-            p = fp(tr, va, cols).select(F.lit(name).alias("fold"), F.lit(mname).alias("model"),
-                                        F.lit("{}").alias("params"), entity, date, "y", "y_hat")
-            preds.append(p)
+        prepared, cols = prepare_fold(folded.where(F.col("fold") == name), feats, with_pca=with_pca)
+        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+        tr = prepared.where(F.col("split") == "train")
+        va = prepared.where(F.col("split") == "validation")
+        for family, g in grids.items():
+            p = Z.FAMILIES[family](tr, va, cols, (entity, date), g)
+            preds.append(p.select(F.lit(name).alias("fold"), "model", "params", entity, date, "y", "y_hat"))
     pred = preds[0]
     for p in preds[1:]:
         pred = pred.unionByName(p)

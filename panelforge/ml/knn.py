@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
 
-_STATE = "best_d array<double>, best_id array<bigint>, best_y array<double>"
-
-
 def _update(block_bcs, kmax: int, id_col: str, vec_col: str, max_cells: int = 4_000_000):
     """Merge the running top-k of each query row with one or more broadcast blocks."""
     def run(batches):
@@ -72,7 +69,11 @@ def knn_neighbours(train: DataFrame, query: DataFrame, *, id_col: str, vec_col:
     state = query.select(id_col, vec_col, F.lit(None).cast("array<double>").alias("best_d"),
                          F.lit(None).cast("array<bigint>").alias("best_id"),
                          F.lit(None).cast("array<double>").alias("best_y"))
-    schema = f"{id_col} bigint, {vec_col} array<float>, " + _STATE
+    from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+    base = query.select(id_col, vec_col).schema
+    schema = StructType(list(base.fields) + [StructField("best_d", ArrayType(DoubleType())),
+                                             StructField("best_id", ArrayType(LongType())),
+                                             StructField("best_y", ArrayType(DoubleType()))])
     checkpoint_dir(spark)
     passes = 0
     for first in range(0, n_blocks, blocks_per_pass):

@@ -44,7 +44,7 @@ def _coef(ws: dict, by: str | None, i: int) -> Column:
     return e
 
 
-def _partial_sums(w: dict, step: dict, k: int, epsilon: float, mu: float):
+def _partial_sums(w: dict, step: dict, k: int, epsilon: dict, mu: float):
     """Per-partition sums for every group and line-search step (NumPy on
     Arrow batches): smoothed loss, true loss, gradient and Hessian terms."""
     n_h = k * (k + 1) // 2
@@ -61,7 +61,7 @@ def _partial_sums(w: dict, step: dict, k: int, epsilon: float, mu: float):
                 vec = []
                 for t in STEPS:
                     r = y - x @ (w[g] + t * step[g])
-                    u = np.abs(r) - epsilon
+                    u = np.abs(r) - epsilon[g]
                     quad = (u > 0) & (u <= mu)
                     loss = np.where(u <= 0, 0.0, np.where(quad, u * u / (2 * mu), u - mu / 2))
                     d1 = np.where(u <= 0, 0.0, np.where(quad, u / mu, 1.0)) * np.sign(r)
@@ -75,8 +75,8 @@ def _partial_sums(w: dict, step: dict, k: int, epsilon: float, mu: float):
 
 
 def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: str = "y", by: str | None = None,
-                          C: float = 1.0, epsilon: float = 0.0, max_iter: int = 30, tol: float = 1e-10,
-                          mu_schedule: Sequence[float] = MU_SCHEDULE) -> dict:
+                          C: float | dict = 1.0, epsilon: float | dict = 0.0, max_iter: int = 30,
+                          tol: float = 1e-10, mu_schedule: Sequence[float] = MU_SCHEDULE) -> dict:
     """One SVR per group of ``by`` (e.g. every fold) fitted together.
 
     Each Newton iteration is ONE pass: every partition reduces its rows to a
@@ -89,6 +89,9 @@ def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: s
                         F.col(label).cast("double").alias("__y")).dropna()
     data = data.persist(StorageLevel.MEMORY_AND_DISK)   # one pass per iteration reads the cache
     groups = sorted(r[0] for r in data.select("__g").distinct().collect())
+    # C and epsilon may differ per group (a whole (C, epsilon) grid in the same passes)
+    cg = {g: float(C[g]) if isinstance(C, dict) else float(C) for g in groups}
+    eg = {g: float(epsilon[g]) if isinstance(epsilon, dict) else float(epsilon) for g in groups}
     k = len(features) + 1
     w = {g: np.zeros(k) for g in groups}
     step = {g: np.zeros(k) for g in groups}
@@ -100,7 +103,7 @@ def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: s
         for _ in range(max_iter):
             if not active:
                 break
-            run, width = _partial_sums({g: w[g] for g in active}, step, k, epsilon, mu)
+            run, width = _partial_sums({g: w[g] for g in active}, step, k, eg, mu)
             parts = data.mapInPandas(run, "__g string, v array<double>")
             summed = (parts.select("__g", F.posexplode("v").alias("i", "x"))
                            .groupBy("__g", "i").agg(F.sum("x").alias("x")).collect())
@@ -109,6 +112,7 @@ def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: s
                 tot[r["__g"]][r["i"]] = r["x"]
             for g in list(active):
                 vec = tot[g].reshape(len(STEPS), width)
+                C = cg[g]
                 objs = [0.5 * float((w[g] + t * step[g]) @ (w[g] + t * step[g])) + C * vec[si, 0]
                         for si, t in enumerate(STEPS)]
                 si = int(np.argmin(objs))

@@ -249,3 +249,39 @@ def test_etl_end_to_end(spark):
     assert r[("01001", D(2020, 3, 2))]["cases"] == 3.0 and r[("01001", D(2020, 3, 2))]["voteshare_dem"] == 0.4
     assert r[("01001", D(2020, 3, 2))]["int_date_public schools"] == 1
     assert "cases_per_pop" not in panel.columns          # no population table landed: ratio rule skipped
+
+
+def test_study_all_model_families(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    rows = []
+    for e in range(4):
+        for t in range(40):
+            x1, x2 = float(rng.normal()), float(rng.normal())
+            rows.append((f"0{e}001", D(2020, 3, 1) + dt.timedelta(days=t), 3 * x1 + x2 + float(rng.normal(0, .2)), x1, x2))
+    panel = spark.createDataFrame(rows, f"fips string, date date, {study.TARGET} double, a double, b double")
+    grids = {"linear": [("linear", {}), ("ridge", {"alpha": 1.0})],
+             "svr": [{"C": 1.0, "epsilon": 0.1}, {"C": 0.01, "epsilon": 1.0}],
+             "forest": [{"n_estimators": 5, "max_features": "auto"}],
+             "adaboost": [{"n_estimators": 2}, {"n_estimators": 4}],
+             "knn": [{"n_neighbors": 3}, {"n_neighbors": 5}]}
+    res = study.run_study(panel, with_pca=True, grids=grids)
+    rows = res["all_validations"].collect()
+    assert len(rows) == 9 * 3
+    avg = {(r["model"], r["params"]): r["mae"] for r in res["average"].collect()}
+    null = float(np.mean([abs(r[2] - np.mean([x[2] for x in panel.collect()])) for r in panel.collect()]))
+    assert avg[("linear", "{}")] < null / 3 and avg[("knn", '{"n_neighbors": 5}')] < null
+
+
+def test_svr_grid_in_one_pass_matches_separate_fits(spark):
+    import numpy as np
+    from panelforge.ml import svr as SVR
+    rng = np.random.default_rng(3)
+    rows = [(float(a), float(2 * a + rng.normal(0, .3))) for a in rng.normal(size=200)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    rep = df.select("x", "y", F.explode(F.array(F.lit("p"), F.lit("q"))).alias("g"))
+    both = SVR.fit_linear_svr_groups(rep, features=["x"], by="g", C={"p": 1.0, "q": 0.05},
+                                     epsilon={"p": 0.1, "q": 0.5})
+    for g, (c, e) in (("p", (1.0, 0.1)), ("q", (0.05, 0.5))):
+        w, _ = SVR.fit_linear_svr(df, features=["x"], C=c, epsilon=e)
+        assert np.allclose(both[g][0], w, atol=1e-9)
