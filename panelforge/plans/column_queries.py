@@ -156,7 +156,7 @@ def _ordinal_sql(d):
 
 
 @register("event_in_force", with_ctes(f"""
-, ev_n AS (SELECT entity, CASE WHEN entity % 5 <> 0 THEN {_ordinal_sql('min(d)')} + 100 + entity * 10 END AS ord
+, ev_n AS (SELECT entity, CAST(CASE WHEN entity % 5 <> 0 THEN {_ordinal_sql('min(d)')} + 100 + entity * 10 END AS INTEGER) AS ord
              FROM panel_n GROUP BY entity)
 SELECT p.entity, p.d, e.ord,
        CAST(CAST(DATE '0001-01-01' + CAST(COALESCE(e.ord, 800000) - 1 AS INTEGER) AS DATE) <= p.d AS INTEGER) AS in_force
