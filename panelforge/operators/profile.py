@@ -125,7 +125,7 @@ def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_bu
     long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
                                           for c in cols])).alias("s"))
               .select("s.c", "s.v").where(F.col("v").isNotNull()))
-    vals = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("__cnt"))
+    vals = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("__cnt")).persist(StorageLevel.MEMORY_AND_DISK)
     if n_buckets is None:
         most = vals.groupBy("c").count().agg(F.max("count")).first()[0] or 0
         n_buckets = int(min(max_buckets, max(64, -(-most // values_per_bucket))))
@@ -136,7 +136,7 @@ def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_bu
         arr = F.array(*[F.lit(float(b)) for b in sorted(set(bs))]) if bs else F.array().cast("array<double>")
         e = F.size(F.filter(arr, lambda b: b < F.col("v")))
         bucket = F.when(F.col("c") == c, e) if bucket is None else bucket.when(F.col("c") == c, e)
-    vals = vals.withColumn("__b", bucket).persist(StorageLevel.MEMORY_AND_DISK)
+    vals = vals.withColumn("__b", bucket)
     totals = vals.groupBy("c", "__b").agg(F.sum("__cnt").alias("t")).collect()
     offsets, run = {}, {}
     for r in sorted(totals, key=lambda r: (r["c"], r["__b"])):
