@@ -46,13 +46,16 @@ def filter_code_level(spark, sf_dir):
     return J.filter_code_level(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_brand", 8)
 
 
-_SLICE = [1, 5, 9, 13]
-
-
-@register("entity_slice", with_ctes(
-    "SELECT entity, d, y FROM panel_n WHERE entity IN (1, 5, 9, 13)", "panel_n"))
+@register("entity_slice", with_ctes("""
+SELECT entity, d, y FROM panel_n
+ WHERE entity IN (SELECT entity FROM panel_n GROUP BY entity ORDER BY sum(y) DESC, entity LIMIT 4)""", "panel_n"))
 def entity_slice(spark, sf_dir):
-    return J.entity_slice(panel_n(spark, sf_dir).select("entity", "d", "y"), "entity", _SLICE)
+    """The panel rows of the four entities with the largest total (the
+    entities a report charts); the member list is a top-4 of a small aggregate."""
+    p = panel_n(spark, sf_dir).select("entity", "d", "y")
+    top = (p.groupBy("entity").agg(F.sum("y").alias("t"))
+             .orderBy(F.col("t").desc(), F.col("entity").asc()).limit(4).collect())
+    return J.entity_slice(p, "entity", [r["entity"] for r in top])
 
 
 # ---- joins --------------------------------------------------------------
