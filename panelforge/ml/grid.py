@@ -64,7 +64,7 @@ def run_grid(frame: DataFrame, grid: Sequence[GridPoint], *, features: Sequence[
             kind, params = point
             path = None
             if model_dir:
-                path = f"{model_dir}/fold={f}/model={kind}/{_safe(params_text(params))}"
+                path = _model_path(model_dir, f, kind, params)
                 loaded = _try_load(kind, path)
                 if loaded is not None:
                     return point, loaded
@@ -75,6 +75,8 @@ def run_grid(frame: DataFrame, grid: Sequence[GridPoint], *, features: Sequence[
 
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             fitted = list(pool.map(job, grid))
+        if model_dir:
+            _write_index(frame.sparkSession, model_dir, f, grid)
         for (kind, params), m in fitted:
             p = m.transform(ev_vec).select(
                 F.lit(f).alias(fold), F.lit(kind).alias("model"), F.lit(params_text(params)).alias("params"),
@@ -105,6 +107,26 @@ def _try_load(kind: str, path: str):
         return None
 
 
+def _model_path(model_dir: str, fold: str, kind: str, params: dict) -> str:
+    return f"{model_dir}/fold={fold}/model={kind}/{_safe(params_text(params))}"
+
+
+def _write_index(spark, model_dir: str, fold: str, grid) -> None:
+    """Artefact index: one row per stored model, partitioned by fold."""
+    rows = [(fold, kind, params_text(params), _model_path(model_dir, fold, kind, params)) for kind, params in grid]
+    (spark.createDataFrame(rows, "fold string, model string, params string, path string")
+          .write.mode("append").partitionBy("fold").parquet(f"{model_dir}/_index"))
+
+
+def load_models(spark, model_dir: str, fold: str) -> dict:
+    """Stored models of one fold, selected by a partition filter on the index
+    (no file-name matching): {(model, params): fitted model}."""
+    from pyspark.ml.regression import LinearRegressionModel
+    idx = (spark.read.parquet(f"{model_dir}/_index").where(F.col("fold") == fold)
+                .dropDuplicates(["model", "params"]).collect())
+    return {(r["model"], r["params"]): LinearRegressionModel.load(r["path"]) for r in idx}
+
+
 def write_predictions(pred: DataFrame, path: str) -> None:
     """Artefact store: Parquet partitioned by fold and model (selection by partition filter)."""
     pred.write.mode("overwrite").partitionBy("fold", "model").parquet(path)

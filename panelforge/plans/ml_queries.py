@@ -338,12 +338,26 @@ _TEST_GRID = [("linear", {}), ("lasso", {"alpha": 0.1}), ("ridge", {"alpha": 10.
 
 
 def _test_predictions(spark, sf_dir, feature: str) -> DataFrame:
+    """The last fold's models are stored as artefacts (Spark ML writers, with
+    an index partitioned by fold), loaded back by a partition filter on the
+    index and applied to the test rows."""
+    from ..session import scratch_path
     mf = model_frame(spark, sf_dir)
     cut = S.cutoff_days(mf, "d", [0.8, 0.9])
     day = S.day_number("d")
     lab = F.when(day <= cut[0.8], "train").when(day > cut[0.9], "test")
     fr = mf.withColumn("split", lab).withColumn("fold", F.lit(LAST_FOLD)).where(F.col("split").isNotNull())
-    return L.linear_grid_predictions(fr, _TEST_GRID, features=[feature], target="test")
+    store = scratch_path(spark, "models")
+    G.run_grid(fr, _TEST_GRID, features=[feature], target="test", model_dir=store)
+    models = G.load_models(spark, store, LAST_FOLD)
+    test = L.assemble(fr.where(F.col("split") == "test"), [feature])
+    out = None
+    for (kind, ptxt), m in sorted(models.items()):
+        p = m.transform(test).select(F.lit(LAST_FOLD).alias("fold"), F.lit(kind).alias("model"),
+                                     F.lit(ptxt).alias("params"), "entity", "d", "y",
+                                     F.col(m.getPredictionCol()).alias("y_hat"))
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 _TEST_CTES = (_fold_sql_ctes() + ", "
