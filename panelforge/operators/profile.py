@@ -344,9 +344,9 @@ def _bucket(col: str, bounds: list[float]):
     return (F.size(F.filter(arr, lambda b: b < v)) * 2 + F.array_contains(arr, v).cast("int")).cast("int")
 
 
-def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int | None = None,
-                  rows_per_bucket: int = 2_000_000, max_buckets: int = 1024) -> float | None:
-    """Kendall's tau-b of two columns over their complete rows.
+def kendall_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], n_buckets: int | None = None,
+                  rows_per_bucket: int = 2_000_000, max_buckets: int = 1024) -> dict:
+    """Kendall's tau-b for several column pairs at once (pairwise-complete rows).
 
     Discordant pairs = pairs in different x- and y-buckets (from the bucket
     count matrix, (2B+1)^2 cells, with 2-D prefix sums on the driver) + pairs
@@ -354,67 +354,94 @@ def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int | None = None,
     (x, y)-bucket cell. The inside counts are weighted inversion counts over
     distinct (x, y) cells of one bucket (``applyInPandas``); quantile buckets
     bound their size, and a hot value sits alone in an exact-value bucket
-    (which holds no discordant pair, so it is never shipped).
+    (which holds no discordant pair, so it is never shipped). Any monotone
+    bucketing is exact, so the bounds come from each column once and serve
+    every pair. All pairs share the same jobs.
     """
     import numpy as np
     import pandas as pd
-    sub = df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) \
-            .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    pairs = list(pairs)
+    cols = sorted({c for p in pairs for c in p})
     if n_buckets is None:
-        # enough quantile buckets that an in-bucket group stays near rows_per_bucket
-        # (the driver-side bucket matrix is at most (2 * max_buckets + 1)^2 cells)
-        n_buckets = int(min(max_buckets, max(32, -(-sub.count() // rows_per_bucket))))
-    cells = sub.groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
+        n = df.count()
+        n_buckets = int(min(max_buckets, max(32, -(-n // rows_per_bucket))))
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    bx, by = sub.approxQuantile(["x", "y"], qs, 0.001)
-    bx, by = sorted(set(bx)), sorted(set(by))
-    cells = cells.withColumn("xb", _bucket("x", bx)).withColumn("yb", _bucket("y", by))
-    tx = cells.groupBy("x").agg(F.sum("c").alias("t"))
-    ty = cells.groupBy("y").agg(F.sum("c").alias("t"))
-    st = cells.agg(F.sum("c").alias("n"), F.sum(F.col("c") * (F.col("c") - 1) / 2).alias("n3")).first()
-    n = int(st["n"] or 0)
-    if n < 2:
-        return None
-    n1 = tx.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0
-    n2 = ty.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0
-    n3 = st["n3"] or 0
-    # grid term
-    size_x, size_y = 2 * len(bx) + 1, 2 * len(by) + 1
-    m = np.zeros((size_x, size_y))
-    for r in cells.groupBy("xb", "yb").agg(F.sum("c").alias("c")).collect():
-        m[r["xb"], r["yb"]] = r["c"]
-    before = np.cumsum(m, axis=0) - m                              # sum over a < b
-    above = np.cumsum(before[:, ::-1], axis=1)[:, ::-1] - before   # sum over c > d
-    grid = float((m * above).sum())
-    # inside terms: kind 0 = x-bucket, 1 = y-bucket, 2 = (x, y) cell; odd (exact) buckets hold none
+    bounds = dict(zip(cols, df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+                              .approxQuantile(cols, qs, 0.001)))
+    bounds = {c: sorted(set(b)) for c, b in bounds.items()}
+    long = (df.select(F.explode(F.array(*[
+        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(),
+               F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")))
+        for i, (a, b) in enumerate(pairs)])).alias("s")).where(F.col("s").isNotNull()).select("s.*"))
+    cells = long.groupBy("p", "x", "y").agg(F.count(F.lit(1)).alias("c"))
+
+    def bucket_of(side: str):
+        e = None
+        for i, pr in enumerate(pairs):
+            col = pr[0] if side == "x" else pr[1]
+            b = _bucket(side, bounds[col])
+            e = F.when(F.col("p") == i, b) if e is None else e.when(F.col("p") == i, b)
+        return e
+    cells = (cells.withColumn("xb", bucket_of("x")).withColumn("yb", bucket_of("y"))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+    tie = lambda t: F.sum(F.col(t) * (F.col(t) - 1) / 2)
+    n_all = {r["p"]: (r["n"], r["n3"]) for r in cells.groupBy("p").agg(
+        F.sum("c").alias("n"), tie("c").alias("n3")).collect()}
+    n1 = {r["p"]: r["v"] for r in cells.groupBy("p", "x").agg(F.sum("c").alias("t"))
+          .groupBy("p").agg(tie("t").alias("v")).collect()}
+    n2 = {r["p"]: r["v"] for r in cells.groupBy("p", "y").agg(F.sum("c").alias("t"))
+          .groupBy("p").agg(tie("t").alias("v")).collect()}
+    grids: dict = {}
+    for r in cells.groupBy("p", "xb", "yb").agg(F.sum("c").alias("c")).collect():
+        grids.setdefault(r["p"], []).append((r["xb"], r["yb"], r["c"]))
+    size_y = {i: 2 * len(bounds[b]) + 1 for i, (_, b) in enumerate(pairs)}
     keys = F.array(
-        F.when(F.col("xb") % 2 == 0, F.struct(F.lit(0).alias("k"), F.col("xb").alias("i"))),
-        F.when(F.col("yb") % 2 == 0, F.struct(F.lit(1).alias("k"), F.col("yb").alias("i"))),
+        F.when(F.col("xb") % 2 == 0, F.struct(F.lit(0).alias("k"), F.col("xb").cast("long").alias("i"))),
+        F.when(F.col("yb") % 2 == 0, F.struct(F.lit(1).alias("k"), F.col("yb").cast("long").alias("i"))),
         F.when((F.col("xb") % 2 == 0) & (F.col("yb") % 2 == 0),
-               F.struct(F.lit(2).alias("k"), (F.col("xb") * F.lit(size_y) + F.col("yb")).alias("i"))))
-    grouped = (cells.select("x", "y", "c", F.explode(keys).alias("g")).where(F.col("g").isNotNull())
-               .select(F.col("g.k").alias("k"), F.col("g.i").alias("i"), "x", "y", "c"))
+               F.struct(F.lit(2).alias("k"), (F.col("xb").cast("long") * 100_000 + F.col("yb")).alias("i"))))
+    grouped = (cells.select("p", "x", "y", "c", F.explode(keys).alias("g")).where(F.col("g").isNotNull())
+               .select("p", F.col("g.k").alias("k"), F.col("g.i").alias("i"), "x", "y", "c"))
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         d = _weighted_inversions(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["c"].to_numpy())
-        return pd.DataFrame({"k": [int(pdf["k"].iat[0])], "d": [float(d)]})
-    parts = {r["k"]: r["d"] for r in grouped.groupBy("k", "i").applyInPandas(inside, "k int, d double")
-             .groupBy("k").agg(F.sum("d").alias("d")).collect()}
-    n_d = grid + parts.get(0, 0.0) + parts.get(1, 0.0) - parts.get(2, 0.0)
-    n0 = n * (n - 1) / 2
-    den = ((n0 - n1) * (n0 - n2)) ** 0.5
-    return None if den == 0 else (n0 - n1 - n2 + n3 - 2 * n_d) / den
+        return pd.DataFrame({"p": [int(pdf["p"].iat[0])], "k": [int(pdf["k"].iat[0])], "d": [float(d)]})
+    parts: dict = {}
+    for r in (grouped.groupBy("p", "k", "i").applyInPandas(inside, "p int, k int, d double")
+              .groupBy("p", "k").agg(F.sum("d").alias("d")).collect()):
+        parts[(r["p"], r["k"])] = r["d"]
+    cells.unpersist()
+    out = {}
+    for i, pr in enumerate(pairs):
+        if i not in n_all or n_all[i][0] < 2:
+            out[pr] = None
+            continue
+        n, n3 = n_all[i]
+        sx = 2 * len(bounds[pr[0]]) + 1
+        m = np.zeros((sx, size_y[i]))
+        for xb, yb, c in grids[i]:
+            m[xb, yb] = c
+        before = np.cumsum(m, axis=0) - m                              # sum over a < b
+        above = np.cumsum(before[:, ::-1], axis=1)[:, ::-1] - before   # sum over c > d
+        n_d = float((m * above).sum()) + parts.get((i, 0), 0.0) + parts.get((i, 1), 0.0) - parts.get((i, 2), 0.0)
+        n0 = n * (n - 1) / 2
+        den = ((n0 - (n1.get(i) or 0)) * (n0 - (n2.get(i) or 0))) ** 0.5
+        out[pr] = None if den == 0 else (n0 - (n1.get(i) or 0) - (n2.get(i) or 0) + (n3 or 0) - 2 * n_d) / den
+    return out
+
+
+def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int | None = None) -> float | None:
+    """Kendall's tau-b of two columns over their complete rows."""
+    return kendall_pairs(df, [(a, b)], n_buckets)[(a, b)]
 
 
 def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
                  n_buckets: int | None = None) -> DataFrame:
-    """Kendall tau-b matrix (pairwise-complete rows) as (a, b, r)."""
+    """Kendall tau-b matrix (pairwise-complete rows) as (a, b, r); all pairs in shared jobs."""
     cols = list(columns)
-    vals = {}
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            vals[(a, b)] = vals[(b, a)] = kendall_tau_b(df, a, b, n_buckets)
-    rows = [(a, b, 1.0 if a == b else vals[(a, b)]) for a in cols for b in cols]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    vals = kendall_pairs(df, pairs, n_buckets) if pairs else {}
+    rows = [(a, b, 1.0 if a == b else vals.get((a, b), vals.get((b, a)))) for a in cols for b in cols]
     out = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     return out.withColumn("r", F.round("r", digits)) if digits is not None else out
 
