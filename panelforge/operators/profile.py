@@ -249,6 +249,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
             t = dict(key=key, rank=rk, orig=rk, chain=[], lo=r["lo"], hi=r["hi"], value=None)
             if r["lo"] == r["hi"]:
                 t["value"] = r["lo"]
+            elif r["n"] <= small:
+                t["fetch"] = True          # already small: no histogram pass needed
             targets[len(targets)] = t
 
     def member(t):
