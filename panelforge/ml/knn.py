@@ -21,6 +21,33 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
 
+def _merge_topk(best_d, best_id, best_y, dist, t_id, t_y, kmax: int):
+    """Row-wise merge of running top-k (padded with +inf) and a distance block.
+
+    Vectorised: the k-th smallest distance per row comes from one
+    ``np.partition``; only the candidates at or below it (k plus ties) are
+    ordered by (distance, id) per row.
+    """
+    n = dist.shape[0]
+    d_all = np.concatenate([best_d, dist], axis=1)
+    id_all = np.concatenate([best_id, np.broadcast_to(t_id, (n, len(t_id)))], axis=1)
+    y_all = np.concatenate([best_y, np.broadcast_to(t_y, (n, len(t_y)))], axis=1)
+    k = min(kmax, d_all.shape[1])
+    kth = np.partition(d_all, k - 1, axis=1)[:, k - 1:k]
+    rows, cols = np.nonzero(d_all <= kth)
+    starts = np.searchsorted(rows, np.arange(n))
+    ends = np.searchsorted(rows, np.arange(n), side="right")
+    out_d = np.full((n, kmax), np.inf)
+    out_id = np.full((n, kmax), -1, dtype=np.int64)
+    out_y = np.zeros((n, kmax))
+    for r in range(n):
+        c = cols[starts[r]:ends[r]]
+        order = c[np.lexsort((id_all[r, c], d_all[r, c]))][:kmax]
+        out_d[r, :len(order)], out_id[r, :len(order)], out_y[r, :len(order)] = \
+            d_all[r, order], id_all[r, order], y_all[r, order]
+    return out_d, out_id, out_y
+
+
 def _update(block_bcs, kmax: int, id_col: str, vec_col: str, max_cells: int = 4_000_000):
     """Merge the running top-k of each query row with one or more broadcast blocks."""
     def run(batches):
@@ -29,27 +56,26 @@ def _update(block_bcs, kmax: int, id_col: str, vec_col: str, max_cells: int = 4_
             if len(pdf) == 0:
                 yield pdf
                 continue
+            n = len(pdf)
             q = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            best = [(np.asarray(d if d is not None else [], dtype=np.float64),
-                     np.asarray(i if i is not None else [], dtype=np.int64),
-                     np.asarray(y if y is not None else [], dtype=np.float64))
-                    for d, i, y in zip(pdf["best_d"], pdf["best_id"], pdf["best_y"])]
+            bd = np.full((n, kmax), np.inf)
+            bi = np.full((n, kmax), -1, dtype=np.int64)
+            by = np.zeros((n, kmax))
+            for r, (d, i, y) in enumerate(zip(pdf["best_d"], pdf["best_id"], pdf["best_y"])):
+                if d is not None and len(d):
+                    bd[r, :len(d)], bi[r, :len(d)], by[r, :len(d)] = d, i, y
             for t_vec, t_id, t_y in blocks:
                 chunk = max(1, max_cells // max(1, t_vec.shape[0] * t_vec.shape[1]))
-                for s in range(0, len(q), chunk):
+                for s in range(0, n, chunk):
                     diff = q[s:s + chunk, None, :] - t_vec[None, :, :]
                     dist = np.einsum("qtd,qtd->qt", diff, diff)
-                    for r in range(dist.shape[0]):
-                        d0, i0, y0 = best[s + r]
-                        d = np.concatenate([d0, dist[r]])
-                        ids = np.concatenate([i0, t_id])
-                        ys = np.concatenate([y0, t_y])
-                        order = np.lexsort((ids, d))[:kmax]
-                        best[s + r] = (d[order], ids[order], ys[order])
+                    bd[s:s + chunk], bi[s:s + chunk], by[s:s + chunk] = _merge_topk(
+                        bd[s:s + chunk], bi[s:s + chunk], by[s:s + chunk], dist, t_id, t_y, kmax)
+            keep = np.isfinite(bd)
             out = pdf.copy()
-            out["best_d"] = [b[0].tolist() for b in best]
-            out["best_id"] = [b[1].tolist() for b in best]
-            out["best_y"] = [b[2].tolist() for b in best]
+            out["best_d"] = [bd[r][keep[r]].tolist() for r in range(n)]
+            out["best_id"] = [bi[r][keep[r]].tolist() for r in range(n)]
+            out["best_y"] = [by[r][keep[r]].tolist() for r in range(n)]
             yield out
     return run
 
