@@ -154,6 +154,51 @@ def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_bu
     return out
 
 
+def _pair_ranks(long: DataFrame, side: str, pairs, bounds: dict) -> DataFrame:
+    """Average ranks of one side ('x' or 'y') within each pair: distinct
+    (pair, value) counts, quantile ranges per pair, per-range offsets and a
+    window inside each range (a hot value is one row of the distinct table)."""
+    vals = long.groupBy("p", side).agg(F.count(F.lit(1)).alias("__cnt"))
+    b = None
+    for i, pr in enumerate(pairs):
+        col = pr[0] if side == "x" else pr[1]
+        arr = F.array(*[F.lit(float(v)) for v in bounds[col]]) if bounds[col] else F.array().cast("array<double>")
+        e = F.size(F.filter(arr, lambda t: t < F.col(side)))
+        b = F.when(F.col("p") == i, e) if b is None else b.when(F.col("p") == i, e)
+    vals = vals.withColumn("__b", b).persist(StorageLevel.MEMORY_AND_DISK)
+    offsets, run = {}, {}
+    for r in sorted(vals.groupBy("p", "__b").agg(F.sum("__cnt").alias("t")).collect(),
+                    key=lambda r: (r["p"], r["__b"])):
+        offsets[f"{r['p']}|{r['__b']}"] = run.get(r["p"], 0)
+        run[r["p"]] = run.get(r["p"], 0) + r["t"]
+    off_map = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in offsets.items()))
+    w = Window.partitionBy("p", "__b").orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = vals.select("p", side, (off_map[F.concat_ws("|", F.col("p").cast("string"), F.col("__b").cast("string"))]
+                                     + F.coalesce(F.sum("__cnt").over(w), F.lit(0))
+                                     + (F.col("__cnt") + 1) / 2.0).alias(f"r{side}"))
+    return ranked, vals
+
+
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], n_buckets: int = 64) -> dict:
+    """Spearman correlation of several column pairs, each on its own complete
+    rows, in shared jobs (ranks per pair, joined back once per side)."""
+    pairs = list(pairs)
+    cols = sorted({c for p in pairs for c in p})
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bnd = dict(zip(cols, df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, qs, 0.001)))
+    bnd = {c: sorted(set(v)) for c, v in bnd.items()}
+    long = (df.select(F.explode(F.array(*[
+        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(),
+               F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")))
+        for i, (a, b) in enumerate(pairs)])).alias("s")).where(F.col("s").isNotNull()).select("s.*"))
+    (rx, vx), (ry, vy) = _pair_ranks(long, "x", pairs, bnd), _pair_ranks(long, "y", pairs, bnd)
+    joined = long.join(rx, ["p", "x"]).join(ry, ["p", "y"])
+    got = {r["p"]: r["r"] for r in joined.groupBy("p").agg(F.corr("rx", "ry").alias("r")).collect()}
+    vx.unpersist()
+    vy.unpersist()
+    return {pr: got.get(i) for i, pr in enumerate(pairs)}
+
+
 def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
                   n_buckets: int | None = None) -> DataFrame:
     """Spearman correlation = Pearson correlation of average ranks.
@@ -172,13 +217,9 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
                  for i, a in enumerate(complete) for b in complete[i + 1:]]
         row = ranked.agg(*exprs).first()
         pairs.update({tuple(k.split("|")): row[k] for k in row.asDict()})
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            if (a, b) in pairs:
-                continue
-            sub = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-            sub = average_ranks(sub, [a, b], "__r_", n_buckets)
-            pairs[(a, b)] = sub.agg(F.corr(f"__r_{a}", f"__r_{b}")).first()[0]
+    rest = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if (a, b) not in pairs]
+    if rest:
+        pairs.update(spearman_pairs(df, rest, n_buckets or 64))
     rows = []
     for a in cols:
         for b in cols:
