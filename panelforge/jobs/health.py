@@ -36,7 +36,7 @@ def state_level(raw: DataFrame, questions: DataFrame, state_xwalk: DataFrame) ->
     st = answer_shares(raw, questions, "StateID", "StateName").withColumn("StateName", F.upper("StateName"))
     xw = state_xwalk.select(X.zero_pad(F.col("StateFIPS").cast("string"), 2).alias("StateFIPS"),
                             F.upper("StateName").alias("StateName"))
-    return st.join(F.broadcast(xw), "StateName", "inner")
+    return st.join(J.broadcast_if_small(xw), "StateName", "inner")
 
 
 def metro_crosswalk(cbsa: DataFrame) -> DataFrame:

@@ -18,14 +18,25 @@ def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", *, bounded: bool = False) -> DataFrame:
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only after checking the side's size (one count of a
+    small table); beyond ``max_rows`` the plain DataFrame is returned and the
+    join stays a shuffle join that AQE may still convert from run-time sizes."""
+    return F.broadcast(dim) if dim.count() <= max_rows else dim
+
+
+def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", *, bounded: bool = False,
+             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join a fact table to a per-entity dimension.
 
-    ``bounded=True`` asserts the dimension's size is bounded by a fixed
-    hierarchy (e.g. 50 states, 25 nations) and broadcasts it; otherwise AQE
+    ``bounded=True`` marks a dimension bounded by a fixed hierarchy (e.g. 50
+    states, 25 nations): it is broadcast after a size check; otherwise AQE
     decides from run-time sizes.
     """
-    return fact.join(F.broadcast(dim) if bounded else dim, _keys(on), how)
+    return fact.join(broadcast_if_small(dim, max_rows) if bounded else dim, _keys(on), how)
 
 
 def join_with_indicator(left: DataFrame, right: DataFrame, on, *, indicator: str = "_merge") -> DataFrame:

@@ -103,11 +103,12 @@ def fill_from_parent_table(df: DataFrame, parent_df: DataFrame, *, on, columns:
     """Fill ``c`` from the parent table's ``c`` (renamed ``c<suffix>``), then drop it.
 
     The parent table has one row per parent key (tens of rows for states):
-    it is broadcast, which is bounded by the size of the hierarchy level.
+    it is broadcast after a size check.
     """
+    from .joins import broadcast_if_small
     on = _keys(on)
     p = parent_df.select(*on, *[F.col(c).alias(c + suffix) for c in columns])
-    j = df.join(F.broadcast(p), on, "left")
+    j = df.join(broadcast_if_small(p), on, "left")
     out = [F.coalesce(F.col(c), F.col(c + suffix)).alias(c) if c in columns else F.col(c)
            for c in df.columns]
     return j.select(*out)

@@ -50,9 +50,10 @@ def panel_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    # nation is a fixed 25-row dimension: broadcasting it is size-bounded.
+    # nation is a 25-row dimension: broadcast after the size check
+    from ..operators.joins import broadcast_if_small
     j = (o.join(c, o.o_custkey == c.c_custkey)
-          .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")))
+          .join(broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey")))
     return (j.groupBy(F.col("n_nationkey").alias("entity"),
                       F.col("n_regionkey").alias("parent"),
                       F.col("o_orderdate").cast("date").alias("d"))

@@ -125,7 +125,7 @@ def join_indicator(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = (table(spark, sf_dir, "nation").where(F.col("n_regionkey").isin(0, 1, 2))
          .select(F.col("n_nationkey").alias("c_nationkey"), "n_name"))
-    return J.join_with_indicator(c, F.broadcast(n), "c_nationkey")
+    return J.join_with_indicator(c, J.broadcast_if_small(n), "c_nationkey")
 
 
 @register("join_collision", """

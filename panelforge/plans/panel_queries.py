@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import panel as P
+from ..operators.joins import broadcast_if_small
 from .bindings import EVENT_TYPES, panel_e, panel_n, table, with_ctes
 from .catalog import register
 
@@ -60,7 +61,7 @@ def _nation_balance(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
     bal = (c.groupBy("c_nationkey")
             .agg(F.avg(F.round(F.col("c_acctbal") * 100).cast("bigint")).alias("bal")))
-    j = F.broadcast(n).join(bal, n.n_nationkey == bal.c_nationkey, "left")
+    j = n.join(bal, n.n_nationkey == bal.c_nationkey, "left")
     return j.select("n_nationkey", "n_regionkey",
                     F.when(F.col("n_nationkey") % 5 != 0, F.col("bal")).alias("bal"))
 
@@ -68,7 +69,7 @@ def _nation_balance(spark, sf_dir):
 def _region_balance(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return (c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey)
              .groupBy(F.col("n_regionkey"))
              .agg(F.avg(F.round(F.col("c_acctbal") * 100).cast("bigint")).alias("bal")))
 
