@@ -7,11 +7,11 @@ Objective (intercept penalised, as with an intercept column of ones):
 Spark has no SVR, so this is a small estimator of our own: Newton's method
 on a Huber-smoothed loss with continuation (the smoothing width mu shrinks
 towards 0, so the solution approaches the non-smooth optimum; the objective
-gap is at most C * n * mu_final / 2). Every iteration is ONE aggregate over
-the data: for each candidate step length of the line search it sums the
-objective, the gradient and the Hessian ((k+1)^2 numbers, k = features), so
-the driver only solves a tiny linear system. The data pass is JVM-side
-(built-in expressions), cached between iterations.
+gap is at most C * n * mu_final / 2). Every iteration is ONE pass over the
+cached data: for each candidate step length of the line search, partitions
+sum the objective, the gradient and the Hessian ((k+1)^2 numbers, k =
+features) with NumPy on Arrow batches, Spark adds the partial vectors, and
+the driver only solves a tiny linear system.
 """
 
 from __future__ import annotations

@@ -101,9 +101,15 @@ def fit_adaboost(train: DataFrame, *, features: Sequence[str], label: str = "y",
         loss = F.col("__e") / F.lit(emax)
         # normalise by the total of this round and re-weight in the same projection
         new_w = F.col("__w") / F.lit(st["wsum"]) * F.pow(F.lit(beta), 1.0 - loss)
+        prev = cur
         cur = pred.select("features", "__y", new_w.alias("__w"))
         if (m + 1) % checkpoint_every == 0:
             cur = cur.checkpoint()
+        else:
+            # the next round reads the weights twice (tree fit, then its errors)
+            cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+        if prev is not data:
+            prev.unpersist()
     return ensemble
 
 
