@@ -42,20 +42,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so ``DataFrame.checkpoint`` works.
+    Read from the session. Where it is unset, a local session (tests) gets a
+    private folder; on a cluster that is an error, since a folder of one
+    machine cannot be read by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir() or conf
-    local = tempfile.mkdtemp(prefix="panelforge-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not conf:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf = tempfile.mkdtemp(prefix="panelforge-ckpt-")
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
