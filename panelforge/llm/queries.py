@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, packing, quality_classifier, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,27 @@ def op1_decontaminate(spark, sf_dir):
 def op6_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_query
+def op5_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
+@_query
+def op7_token_counts(spark, sf_dir):
+    # a cache of this call's own: every distinct text is encoded here
+    return tokens.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+@_query
+def op8_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"))
+    found = quality_classifier.score(docs, model)
+    return found.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
