@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_classifier, simhash, tokens
+from ..session import scratch_path
+from . import decontaminate, langid, packing, quality_classifier, simhash, tokens, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +56,29 @@ def op8_quality(spark, sf_dir):
     model = quality_classifier.train(docs, _table(spark, sf_dir, "labels"))
     found = quality_classifier.score(docs, model)
     return found.select("doc_id", quality_classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op3_language(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"))
+    found = langid.identify(docs, langid.learn(docs.where(~out)))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op10_warc(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("kind").alias("record_type"), F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLE["op10_warc"] = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+     f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN f.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
+  FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100"""
