@@ -52,17 +52,15 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", t
         encoder = Encoder.get(tokenizer_path)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            column = b.column("text").fill_null("")
-            for at in range(0, b.num_rows, 64):
-                for i, ids in enumerate(encoder.ids(column.slice(at, 64).to_pylist()), at):
-                    ids += end
-                    for k, a in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[a:a + 4 * capacity]
-                        row.append(i)
-                        piece.append(k)
-                        start.append(a // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
+            for i, ids in enumerate(encoder.ids(b.column("text"))):
+                body = ids.tobytes() + end
+                for k, a in enumerate(range(0, len(body), 4 * capacity)):
+                    part = body[a:a + 4 * capacity]
+                    row.append(i)
+                    piece.append(k)
+                    start.append(a // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
                  pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],

@@ -12,9 +12,9 @@ copies within a task have been dropped. A digest that a third of all documents
 share is one row of the cache side, and the thin document side of the join is
 split by the skew handling.
 
-``Encoder`` encodes segments that a tokenizer provably treats alone and
-remembers the latest ones, since most segments of a corpus repeat; a tokenizer
-of unknown structure encodes whole texts.
+``Encoder`` cuts texts where the tokenizer provably never joins, encodes the
+pieces with the library and remembers a bounded number of them, since most
+pieces of a corpus repeat; a tokenizer of unknown structure encodes whole texts.
 
 Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows
 are each returned; ids may be null; an empty table gives an empty result.
@@ -27,22 +27,39 @@ import json
 import os
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-
-MEMO_SEGMENTS = 400_000
+from .arrow_text import pieces
+
+#: Remembered pieces of a process, by kind of tokenizer (about 200 bytes each).
+MEMO_PIECES = {"led": 600_000, "words": 1_200_000}
+#: Text that is cut and looked up at a time.
+SLICE_BYTES = 12 << 20
+
+# A run of Latin letters up to an ASCII character that is neither a letter nor an apostrophe is a piece of its own for
+# both kinds of tokenizer: only 's, 't, ... and combining marks join letters to what follows.
+_RUN_END = r"(?=[\x00-\x26\x28-\x40\x5b-\x60\x7b-\x7f]|\Z)"
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PIECES = {"words": re.compile(rf"[a-zß-öø-ÿ]+{_RUN_END}|.+", re.S), "led": re.compile(rf" ?[{_LATIN}]+{_RUN_END}|.+", re.S)}
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+#: Where lower case may depend on context or make a special token, the tokenizer's own lower-casing is left alone.
+_NO_PLAIN_LOWER = r"[^\x00-\x{ff}]|<\|"
+#: A space after white space (or a null character, the mark of a cut): such texts are encoded whole.
+_NO_CUT = (r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+           r"|\x00")
 LIMIT_TOKENS = 1024
 
-_SPACE_AFTER_SPACE = re.compile(r"\s ")
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """One tokenizer file with a bounded memory of segments."""
+    """One tokenizer file with a bounded memory of pieces."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,6 +73,8 @@ class Encoder:
         self.lib.no_truncation()
         self.lib.no_padding()
         self.kind = _segments_of(path)
+        self.word_end = np.zeros(self.lib.get_vocab_size(), bool)
+        self.word_end[[i for t, i in self.lib.get_vocab().items() if t.endswith("</w>")]] = True
 
     @classmethod
     def get(cls, path: str) -> Encoder:
@@ -69,38 +88,77 @@ class Encoder:
             return self.lib.encode(texts, num_threads=1)
         return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _segments(self, text: str) -> list[str] | None:
-        """The text cut where this tokenizer never joins, or None."""
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """Lists of segments that this tokenizer never joins."""
         if self.kind == "words":                          # white space is dropped
-            return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        if self.kind == "led" and not _SPACE_AFTER_SPACE.search(text):
-            first, *rest = text.split(" ")                # each later segment keeps its leading space
-            return [first, *(" " + x for x in rest)]
-        return None
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, without added special tokens."""
-        cut = [self._segments(t) for t in texts]
-        whole = [i for i, c in enumerate(cut) if c is None]
-        out: list[bytes] = [b""] * len(texts)
-        for i, x in zip(whole, self._encode([texts[i] for i in whole]) if whole else []):
-            out[i] = _packed(x)
-        for i, c in enumerate(cut):
-            if c is None:
+            texts = pc.if_else(pc.match_substring_regex(texts, _NO_PLAIN_LOWER), texts, pc.utf8_lower(texts))
+            for space in "\n\t\r":
+                texts = pc.replace_substring(texts, space, " ")
+            return pc.split_pattern(texts, " ")
+        # each later segment keeps its leading space
+        cut = pc.if_else(pc.match_substring_regex(texts, _NO_CUT), texts, pc.replace_substring(texts, " ", "\0 "))
+        return pc.split_pattern(cut, "\0")
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode pieces into the memory; plain words go as one text and are told apart by their word ends."""
+        plain = [x for x in pieces if _LETTERS.fullmatch(x)] if self.kind == "words" else []
+        other = [x for x in pieces if not _LETTERS.fullmatch(x)] if plain else pieces
+        for at in range(0, len(plain), 2048):
+            part = plain[at:at + 2048]
+            ids = np.array(self._encode([" ".join(part)])[0], "<u4")
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                other = other + part
                 continue
-            if new := list(set(c).difference(self.memo)):
-                if len(self.memo) + len(new) > MEMO_SEGMENTS:
-                    self.memo.clear()
-                    new = list(set(c))
-                for at in range(0, len(new), 4096):
-                    part = new[at:at + 4096]
-                    self.memo.update(zip(part, map(_packed, self._encode(part))))
-            out[i] = b"".join(map(self.memo.__getitem__, c))
+            body, ends = ids.tobytes(), (4 * ends).tolist()
+            self.memo.update(zip(part, map(body.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        for at in range(0, len(other), 4096):
+            part = other[at:at + 4096]
+            self.memo.update(zip(part, map(_packed, self._encode(part))))
+
+    def _look_up(self, segments: list[str]) -> list[bytes]:
+        """Ids of distinct segments, each put together from remembered pieces."""
+        if len(self.memo) > MEMO_PIECES[self.kind]:
+            self.memo.clear()
+        memo, find, new = self.memo, _PIECES[self.kind].findall, set()
+        out = list(map(memo.get, segments))
+        unknown = [i for i, x in enumerate(out) if x is None]
+        for i in unknown:
+            new.update(find(segments[i]))
+        self._learn([x for x in new if x not in memo])
+        for i in unknown:
+            cut = find(segments[i])
+            out[i] = memo[cut[0]] if len(cut) == 1 else b"".join([memo[x] for x in cut])
         return out
 
+    def ids(self, texts: pa.Array):
+        """Yield the ids (unsigned 32 bits) of each text, without added special tokens; null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        sizes = np.r_[0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))]
+        for i, j in pieces(sizes, SLICE_BYTES):
+            part = texts.slice(i, j - i)
+            if self.kind not in MEMO_PIECES:
+                yield from (np.array(x, "<u4") for x in self._encode(part.to_pylist()))
+                continue
+            cut = self._cut(part)
+            coded = cut.flatten().dictionary_encode()
+            found = self._look_up(coded.dictionary.to_pylist())
+            flat = np.frombuffer(b"".join(found), "<u4")
+            n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            first = np.cumsum(n) - n
+            at = coded.indices.to_numpy()
+            ends = np.r_[0, np.cumsum(n[at])]
+            words = np.r_[0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))]
+            for lo in range(0, j - i, 256):                # documents put together at a time
+                hi = min(lo + 256, j - i)
+                a, b = words[lo], words[hi]
+                take = np.repeat(first[at[a:b]] - ends[a:b], n[at[a:b]]) + np.arange(ends[a], ends[b])
+                ids, bounds = flat[take], ends[words[lo:hi + 1]] - ends[a]
+                yield from (ids[bounds[k]:bounds[k + 1]] for k in range(hi - lo))
+
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join([x.to_bytes(4, "little") for x in ids])
+    return np.array(ids, "<u4").tobytes()
 
 
 def _segments_of(path: str) -> str:
@@ -117,7 +175,7 @@ def _segments_of(path: str) -> str:
         return "led"
     steps = pre.get("pretokenizers", [])
     drops = bool(steps) and steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" \
-        and steps[0].get("invert") and r"[^\s\p{L}\p{N}]+" in str(steps[0].get("pattern"))
+        and steps[0].get("invert") and (steps[0]["pattern"].get("Regex") or "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     harmless = norm is None or {n["type"] for n in norm.get("normalizers", [norm])} <= {"NFC", "Replace", "Lowercase"}
     return "words" if drops and harmless else "whole"
 
@@ -163,13 +221,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, cache_path: str | None
     def encode(batches):
         encoder = Encoder.get(tokenizer_path)
         for b in batches:
-            sizes, counts, column = [], [], b.column("text")
-            for at in range(0, b.num_rows, 64):
-                texts = column.slice(at, 64).to_pylist()
-                sizes += [len(t.encode()) for t in texts]
-                counts += [len(x) // 4 for x in encoder.ids(texts)]
-            yield pa.RecordBatch.from_arrays([b.column("content_digest"), pa.array(sizes, pa.int64()),
-                                              pa.array(counts, pa.int64())], ["content_digest", "n_bytes", "n_tokens"])
+            text = b.column("text")
+            counts = [len(x) for x in encoder.ids(text)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("content_digest"), pc.binary_length(text).cast(pa.int64()), pa.array(counts, pa.int64())],
+                ["content_digest", "n_bytes", "n_tokens"])
 
     (missing.mapInArrow(encode, "content_digest string, n_bytes long, n_tokens long")
      .withColumn("tokenizer_digest", F.lit(version))
