@@ -8,10 +8,10 @@ their origin, their number and, in the last one, the total length. A payload
 of at least ``min_revisit_bytes`` equal to that of a page with a smaller id
 becomes a ``revisit`` record without payload.
 
-Reading splits the files at the record boundary with Spark's text source, so
+Reading splits the files at the version line with Spark's text source, so
 records stream through tasks of bounded memory and plain files can be split.
-Framing ends a chunk inside every "WARC/1.1" of a payload, so that the boundary
-cannot occur in a block of these archives; a foreign record whose block has
+Framing ends a chunk inside every "WARC/1.1" of a payload, so that the version
+line cannot occur in a block of these archives; a record whose block has
 another length than its header says is an error, never a silent misreading.
 
 Segments are grouped by origin, ordered by number and verified: numbers 1..n
@@ -47,8 +47,9 @@ _VERSION = "WARC/1.1\r\n"
 
 def _chunked(text):
     """Chunked transfer framing of a text column."""
-    parts = F.split(text, r"(?<=WARC)(?=/1\.1)")
-    chunks = F.flatten(F.transform(parts, lambda p: F.regexp_extract_all(p, F.lit(rf"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0))))
+    parts = F.when(text.contains("WARC/1.1"), F.split(text, r"(?<=WARC)(?=/1\.1)")).otherwise(F.array(text))
+    chunks = F.flatten(F.transform(parts, lambda p: F.when(F.octet_length(p).between(1, CHUNK_CHARS), F.array(p)).otherwise(
+        F.regexp_extract_all(p, F.lit(rf"(?s).{{1,{CHUNK_CHARS}}}"), F.lit(0)))))
     framed = F.transform(chunks, lambda c: F.concat(F.lower(F.hex(F.octet_length(c))), F.lit("\r\n"), c, F.lit("\r\n")))
     return F.concat(F.array_join(framed, ""), F.lit("0\r\n\r\n"))
 
@@ -62,40 +63,39 @@ def records(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
             min_revisit_bytes: int = MIN_REVISIT_BYTES, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """One row ``value`` per WARC record, without the end of record."""
     body = F.coalesce(F.col(html), F.lit(""))
-    rows = pages.select(F.col(page_id).alias("id"), F.regexp_replace(F.col(url), "[\\x00-\\x20\\x7f]", " ").alias("url"),
-                        body.alias("body"), F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("size"))
-    first = (rows.where((F.col("size") >= min_revisit_bytes) & F.col("id").isNotNull())
-             .groupBy("digest").agg(F.min(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n"))
-             .select(F.col("digest").alias("of"), F.col("first.id").alias("first_id"),
-                     F.col("first.url").alias("first_url")))
-    rows = rows.join(first, (F.col("digest") == F.col("of")) & (F.col("size") >= min_revisit_bytes), "left")
-    revisit = F.coalesce(F.col("first_id") != F.col("id"), F.col("first_id").isNotNull() & F.col("id").isNull())
-    rows = rows.withColumn("revisit", revisit).withColumn("record", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))
-    common = [_field("WARC-Target-URI", F.col("url")), _field("WARC-Date", F.lit("1970-01-01T00:00:00Z")),
+    uri = F.replace(F.regexp_replace(F.col(url), "[\\x00-\\x20\\x7f]", " "), F.lit("WARC/1.1"), F.lit("WARC%2F1.1"))
+    rows = pages.select(F.col(page_id).alias("id"), uri.alias("url"), body.alias("body"),
+                        F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("size"))
+    shared = (rows.where((F.col("size") >= min_revisit_bytes)).groupBy("digest")
+              .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1 and first_id is not null")
+              .select(F.col("digest").alias("of"), "first_id"))
+    rows = rows.join(shared, (F.col("digest") == F.col("of")) & (F.col("size") >= min_revisit_bytes), "left")
+    revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("id"))
+    whole = F.when(~F.col("revisit"), F.concat(F.lit(_HTTP), _chunked(F.col("body"))).cast("binary"))
+    cut = (rows.withColumn("revisit", revisit).withColumn("message", whole)
+           .withColumn("total", F.octet_length("message")).drop("body", "of")
+           .withColumn("record", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))
+           .withColumn("number", F.explode(F.sequence(
+               F.lit(1), F.coalesce(F.ceil(F.col("total") / segment_bytes).cast("int"), F.lit(1))))))
+    common = [_field("WARC-Record-ID", F.col("record")), _field("WARC-Target-URI", F.col("url")),
+              _field("WARC-Date", F.lit("1970-01-01T00:00:00Z")),
               _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
               _field("Page-Id", F.col("id")), F.lit("Content-Type: application/http; msgtype=response\r\n")]
-    again = rows.where("revisit").select(F.concat(
-        F.lit(_VERSION + "WARC-Type: revisit\r\n"), _field("WARC-Record-ID", F.col("record")),
-        F.lit(f"WARC-Profile: {_PROFILE}\r\n"), *common, _field("WARC-Refers-To-Target-URI", F.col("first_url")),
-        _field("Refers-To-Page-Id", F.col("first_id")), F.lit(f"Content-Length: {len(_REVISIT)}{_END}{_REVISIT}")
-    ).alias("value"))
-    message = rows.where(~F.col("revisit")).withColumn(
-        "message", F.concat(F.lit(_HTTP), _chunked(F.col("body"))).cast("binary")).drop("body")
-    total = F.octet_length("message")
-    cut = message.select("*", total.alias("total"), F.explode(F.sequence(
-        F.lit(1), F.ceil(total / segment_bytes).cast("int"))).alias("number"))
+    again = F.concat(F.lit("WARC-Type: revisit\r\n"), *common, F.lit(f"WARC-Profile: {_PROFILE}\r\n"),
+                     _field("Refers-To-Page-Id", F.col("first_id")), _field("Payload-Length", F.col("size")),
+                     F.lit(f"Content-Length: {len(_REVISIT)}{_END}{_REVISIT}"))
     block = F.substring("message", (F.col("number") - 1) * segment_bytes + 1, F.lit(segment_bytes))
     last, one = F.col("number") * segment_bytes >= F.col("total"), F.col("total") <= segment_bytes
-    start = F.concat(F.lit("WARC-Type: response\r\n"), _field("WARC-Record-ID", F.col("record")), *common)
+    start = F.concat(F.lit("WARC-Type: response\r\n"), *common)
     more = F.concat(F.lit("WARC-Type: continuation\r\n"),
                     F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), F.uuid(), F.lit(">\r\n")),
                     _field("WARC-Segment-Origin-ID", F.col("record")))
-    head = F.concat(
-        F.lit(_VERSION), F.when(F.col("number") == 1, start).otherwise(more),
+    response = F.concat(
+        F.when(F.col("number") == 1, start).otherwise(more),
         F.when(~one, _field("WARC-Segment-Number", F.col("number"))).otherwise(F.lit("")),
         F.when(~one & last, _field("WARC-Segment-Total-Length", F.col("total"))).otherwise(F.lit("")),
-        _field("Content-Length", F.octet_length(block)), F.lit("\r\n"))
-    return again.unionAll(cut.select(F.concat(head, block.cast("string")).alias("value")))
+        _field("Content-Length", F.octet_length(block)), F.lit("\r\n"), block.cast("string"))
+    return cut.select(F.concat(F.lit(_VERSION), F.when(F.col("revisit"), again).otherwise(response)).alias("value"))
 
 
 def write(pages: DataFrame, path: str, *, compression: str = "gzip", **settings) -> None:
@@ -103,48 +103,83 @@ def write(pages: DataFrame, path: str, *, compression: str = "gzip", **settings)
     records(pages, **settings).write.option("lineSep", _END).option("compression", compression).text(path)
 
 
-_RECORD = ("kind string, record string, origin string, number int, total long, page_id string, digest string, "
-           "refers_to string, block binary")
-
-
-def _parse(raw: bytes) -> tuple:
+def _parse(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields (names in lower case) and block of one record without its version line."""
     head, _, block = raw.partition(b"\r\n\r\n")
     fields = {}
     for line in head.split(b"\r\n"):
         name, _, value = line.partition(b":")
-        fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
-    kind, size = fields.get(b"warc-type"), fields.get(b"content-length")
-    if kind is None or size is None or int(size) != len(block):
-        raise ValueError(f"damaged WARC record: type {kind}, {size} bytes announced, {len(block)} found")
-    number, total = fields.get(b"warc-segment-number"), fields.get(b"warc-segment-total-length")
-    digest = fields.get(b"warc-payload-digest")
-    return (kind, fields.get(b"warc-record-id"), fields.get(b"warc-segment-origin-id"),
-            int(number) if number else None, int(total) if total else None, fields.get(b"page-id"),
-            digest.removeprefix("sha256:") if digest else None, fields.get(b"refers-to-page-id"), block)
-
-
-def _parsed(batches):
-    names = [x.split()[0] for x in _RECORD.split(", ")]
-    types = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(),
-             pa.binary()]
+        fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if not block.endswith(b"\r\n\r\n") or int(fields.get("content-length", -1)) != len(block) - 4:
+        raise ValueError(f"damaged WARC record {fields.get('warc-record-id')}: {fields.get('content-length')} bytes "
+                         f"announced, {len(block) - 4} found")
+    return fields, block[:-4]
+
+
+def _records(batch):
+    for value in batch.column("value").cast(pa.binary()):
+        if raw := value.as_buffer().to_pybytes():          # nothing stands before a file's first record
+            yield _parse(raw)
+
+
+_SEGMENT = pa.schema([("record", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("page_id", pa.string()),
+                      ("digest", pa.string()), ("block", pa.binary())])
+_PAGE = pa.schema([("record", pa.string()), ("kind", pa.string()), ("page_id", pa.string()), ("payload", pa.binary()),
+                   ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string())])
+_SEGMENT_SQL = "record string, number int, total long, page_id string, digest string, block binary"
+_PAGE_SQL = ("record string, kind string, page_id string, payload binary, payload_bytes long, payload_digest string, "
+             "refers_to string")
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _digest(fields: dict[str, str]) -> str | None:
+    told = fields.get("warc-payload-digest", "")
+    return told.removeprefix("sha256:") if told.startswith("sha256:") else None
+
+
+def _decoded(record, page_id, told, message) -> tuple:
+    payload = dechunk(message)
+    digest = hashlib.sha256(payload).hexdigest()
+    if told and told != digest:
+        raise ValueError(f"record {record}: payload digest {digest}, announced {told}")
+    return record, "response", page_id, payload, len(payload), digest, None
+
+
+def _whole(batches):
+    """Responses in one record, decoded, and revisits."""
     for b in batches:
         rows = []
-        for value in b.column("value").cast(pa.binary()):
-            raw = value.as_buffer().to_pybytes()
-            raw = raw.removeprefix(_VERSION.encode())       # of a file's first record
-            if raw.endswith(b"\r\n\r\n") and not _complete(raw):
-                raw = raw[:-4]                              # of a file's last record
-            if raw:
-                rows.append(_parse(raw))
-        columns = list(zip(*rows)) if rows else [[]] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-
-def _complete(raw: bytes) -> bool:
-    """Whether the block ends where the record's header says."""
-    head, _, block = raw.partition(b"\r\n\r\n")
-    return any(line.lower().startswith(b"content-length:") and int(line[15:]) == len(block)
-               for line in head.split(b"\r\n"))
+        for f, block in _records(b):
+            kind, record, page = f.get("warc-type"), f.get("warc-record-id"), f.get("page-id")
+            if kind == "response" and "warc-segment-number" not in f:
+                rows.append(_decoded(record, page, _digest(f), block))
+            elif kind == "revisit":
+                size = f.get("payload-length")
+                rows.append((record, kind, page, None, int(size) if size else None, _digest(f),
+                             f.get("refers-to-page-id")))
+        yield _batch(rows, _PAGE)
+
+
+def _segments(batches):
+    for b in batches:
+        rows = []
+        for f, block in _records(b):
+            if (number := f.get("warc-segment-number")) and f.get("warc-type") in ("response", "continuation"):
+                total = f.get("warc-segment-total-length")
+                rows.append((f.get("warc-segment-origin-id") or f.get("warc-record-id"), int(number),
+                             int(total) if total else None, f.get("page-id"), _digest(f), block))
+        yield _batch(rows, _SEGMENT)
+
+
+def _joined(batches):
+    """Reassembled messages, decoded."""
+    for b in batches:
+        yield _batch([_decoded(*r) for r in zip(*(b.column(c).to_pylist() for c in
+                                                  ("record", "page_id", "digest", "block")))], _PAGE)
 
 
 def dechunk(message: bytes) -> bytes:
@@ -170,48 +205,25 @@ def dechunk(message: bytes) -> bytes:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records of an archive: (record, kind, page_id, payload, payload_bytes, payload_digest, refers_to).
 
-    ``payload`` is null for revisits, whose length and digest are those of the
-    payload they refer to.
+    ``payload`` is null for revisits; their length and digest are those of the
+    payload that they refer to, as their record tells.
     """
     try:
-        lines = spark.read.option("lineSep", _END + _VERSION).text(path)
+        lines = spark.read.option("lineSep", _VERSION).text(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         lines = spark.createDataFrame([], "value string")
-    found = lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(_parsed, _RECORD)
-    whole = found.where((F.col("kind") == "response") & F.col("number").isNull()).select(
-        "record", "page_id", "digest", "block")
-    segments = (found.where(F.col("number").isNotNull())
-                .groupBy(F.coalesce("origin", "record").alias("record"))
-                .agg(F.max("page_id").alias("page_id"), F.max("digest").alias("digest"),
-                     F.max("total").alias("total"),
+    raw = F.col("value").cast("binary").alias("value")
+    whole = lines.select(raw).mapInArrow(_whole, _PAGE_SQL)
+    segments = (lines.where(F.col("value").contains("WARC-Segment-Number:")).select(raw)
+                .mapInArrow(_segments, _SEGMENT_SQL).groupBy("record")
+                .agg(F.max("page_id").alias("page_id"), F.max("digest").alias("digest"), F.max("total").alias("total"),
                      F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts")))
-    joined = F.array_join(F.transform("parts", lambda p: p["block"].cast("string")), "").cast("binary")
-    whole_numbers = F.transform("parts", lambda p: p["number"]) == F.sequence(F.lit(1), F.size("parts"))
-    right = whole_numbers & F.coalesce(F.octet_length("block") == F.col("total"), F.lit(False))
-    segmented = segments.withColumn("block", joined).select(
-        "record", "page_id", "digest", F.when(right, F.col("block")).otherwise(F.raise_error(F.concat(
-            F.lit("segments missing or of a wrong total length: "), F.col("record")))).alias("block"))
-
-    def decode(batches):
-        for b in batches:
-            payloads = [dechunk(x) for x in b.column("block").to_pylist()]
-            digests = [hashlib.sha256(x).hexdigest() for x in payloads]
-            for told, got in zip(b.column("digest").to_pylist(), digests):
-                if told and told != got:
-                    raise ValueError(f"payload digest {got}, announced {told}")
-            yield pa.RecordBatch.from_arrays(
-                [b.column("record"), b.column("page_id"), pa.array(payloads, pa.binary()),
-                 pa.array([len(x) for x in payloads], pa.int64()), pa.array(digests, pa.string())],
-                ["record", "page_id", "payload", "payload_bytes", "payload_digest"])
-
-    schema = "record string, page_id string, payload binary, payload_bytes long, payload_digest string"
-    responses = whole.unionAll(segmented).mapInArrow(decode, schema).withColumn("kind", F.lit("response"))
-    revisits = found.where(F.col("kind") == "revisit").select("record", "page_id", "digest", "refers_to")
-    lengths = responses.groupBy(F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("payload_bytes"))
-    revisits = revisits.join(lengths, "digest", "left")
-    return responses.select("record", "kind", "page_id", "payload", "payload_bytes", "payload_digest",
-                            F.lit(None).cast("string").alias("refers_to")).unionAll(
-        revisits.select("record", F.lit("revisit"), "page_id", F.lit(None).cast("binary"), "payload_bytes", "digest",
-                        "refers_to"))
+    message = F.array_join(F.transform("parts", lambda p: p["block"].cast("string")), "").cast("binary")
+    counted = F.transform("parts", lambda p: p["number"]) == F.sequence(F.lit(1), F.size("parts"))
+    right = counted & F.coalesce(F.octet_length("block") == F.col("total"), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("segments missing or of a wrong total length: "), F.col("record")))
+    joined = segments.withColumn("block", message).select(
+        "record", "page_id", "digest", F.when(right, F.col("block")).otherwise(wrong.cast("binary")).alias("block"))
+    return whole.unionAll(joined.mapInArrow(_joined, _PAGE_SQL))
