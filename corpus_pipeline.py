@@ -1,5 +1,71 @@
-"""Placeholder until the stages exist."""
-STAGES = []
+"""The corpus pipeline: documents to packed training sequences in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
+it as Parquet into the shared folder and reads it again as the next stage's
+documents, so that a lost executor costs at most one stage's tasks. All stages
+but the last return the columns of documents; each works on all that its
+predecessor kept.
+
+Defined cases: those of the stages' operators; an empty table runs through to
+an empty packing.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from panelforge.llm import decontaminate, packing, pii, quality_classifier, simhash
+from panelforge.session import scratch_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.drop_rejected(docs, quality_classifier.train(docs, labels))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data and revealing terms replaced; n_chars follows the new text."""
+    from pyspark.sql import functions as F
+    clean = pii.sanitise(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces placed in sequences of at most 2048 tokens."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("best-fit packing", pack),
+]
+
+#: Learned scores and tokenizers cannot be stated in SQL; tests hold the result against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, langid, packing, quality_classifier, simhash, tokens, warc
+from . import (decontaminate, langid, packing, pii, quality_classifier, quality_rules, secret_scan, simhash, tokens,
+               warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +83,18 @@ SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
        CASE WHEN f.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
   FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100"""
+
+
+@_query
+def op4_quality_rules(spark, sf_dir):
+    return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_secrets(spark, sf_dir):
+    return secret_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_pii(spark, sf_dir):
+    return pii.report(_table(spark, sf_dir, "documents"))
