@@ -114,10 +114,10 @@ def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
     pairs = (found.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
              .agg(F.count(F.lit(1)).alias("c_et")).where(F.col("c_et") >= support))
     corpus = texts.select(F.explode(_terms(F.col("t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
-    n = texts.agg(F.sum(F.size(F.split("t", "\n"))).cast("double").alias("n"))       # one row
-    joined = pairs.join(entities, "entity").join(corpus, "term").join(F.broadcast(n))
-    score = F.ln(F.col("n") * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / F.ln(F.col("n") / F.col("c_e"))
-    return (joined.where(F.col("n") > F.col("c_e")).select("entity", "term", score.alias("disclosure"))
+    n = F.lit(float(texts.agg(F.sum(F.size(F.split("t", "\n")))).first()[0] or 0))
+    joined = pairs.join(entities, "entity").join(corpus, "term")
+    score = F.ln(n * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / F.ln(n / F.col("c_e"))
+    return (joined.where(n > F.col("c_e")).select("entity", "term", score.alias("disclosure"))
             .where(F.col("disclosure") >= generalise_at).withColumn("removed", F.col("disclosure") >= remove_at))
 
 
