@@ -90,7 +90,7 @@ def feature_counts(col) -> list[tuple[np.ndarray, np.ndarray]]:
                       for k, (n, g) in enumerate(zip(NGRAMS, grams))]
             for f, c in zip(*np.unique(np.concatenate(found), return_counts=True)):
                 totals[i + d][f] = totals[i + d].get(f, 0) + c
-    return [(np.fromiter(t.keys(), np.int64, len(t)), np.fromiter(t.values(), np.float64, len(t))) for t in totals]
+    return [(np.fromiter(t.keys(), np.int32, len(t)), np.fromiter(t.values(), np.float32, len(t))) for t in totals]
 
 
 @dataclass
@@ -169,11 +169,11 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
         for b in batches:
             found = feature_counts(b.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("label"), pa.array([f for f, _ in found], pa.list_(pa.int64())),
-                 pa.array([c for _, c in found], pa.list_(pa.float64()))], ["id", "label", "f", "c"])
+                [b.column("id"), b.column("label"), pa.array([f for f, _ in found], pa.list_(pa.int32())),
+                 pa.array([c for _, c in found], pa.list_(pa.float32()))], ["id", "label", "f", "c"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(features, f"id {id_type}, label int, f array<long>, c array<double>").toArrow().sort_by("id")
+    got = rows.mapInArrow(features, f"id {id_type}, label int, f array<int>, c array<float>").toArrow().sort_by("id")
     pairs = [(got["f"][i].values.to_numpy(), got["c"][i].values.to_numpy()) for i in range(got.num_rows)]
     return sgd(pairs, got["label"].to_numpy(), **settings)
 
