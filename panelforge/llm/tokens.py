@@ -38,9 +38,9 @@ from ..session import scratch_path
 from .arrow_text import pieces
 
 #: Remembered pieces of a process, by kind of tokenizer (about 200 bytes each).
-MEMO_PIECES = {"led": 600_000, "words": 1_200_000}
+MEMO_PIECES = {"led": 400_000, "words": 400_000}
 #: Text that is cut and looked up at a time.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 
 # A run of Latin letters up to an ASCII character that is neither a letter nor an apostrophe is a piece of its own for
 # both kinds of tokenizer: only 's, 't, ... and combining marks join letters to what follows.
