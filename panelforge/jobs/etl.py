@@ -39,8 +39,8 @@ def run_etl(spark: SparkSession, inputs: dict[str, str], out_dir: str) -> dict[s
         save("weather", weather.county_weather(spark, daily, stations, verts))
         save("area", master.county_area(verts))
     if "survey_parts" in inputs:
-        text = "\n".join(r[0] for r in spark.read.text(inputs["survey_renames"]).collect())
-        save("acs", census.survey(spark, inputs["survey_parts"], inputs["survey_manifests"], text))
+        renames = "\n".join(r[0] for r in spark.read.text(inputs["survey_renames"]).collect())
+        save("acs", census.survey(spark, inputs["survey_parts"], inputs["survey_manifests"], renames))
     if "business" in inputs:
         save("naics", census.industry_shares(spark, inputs["business"]))
     if "health_metro" in inputs:

@@ -43,6 +43,8 @@ def feature_subset(max_features: str, n_features: int) -> str:
 def fit_forest(train: DataFrame, *, features: Sequence[str], label: str = "y", n_estimators: int = 100,
                max_features: str = "auto", seed: int = 0, max_depth: int = MAX_DEPTH):
     checkpoint_dir(train.sparkSession)        # node-id cache is checkpointed (reliable) every 10 levels
+    # labels read from text files arrive as strings
+    train = train.withColumn(label, F.col(label).cast("double"))
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(train)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_estimators,
                                featureSubsetStrategy=feature_subset(max_features, len(features)),

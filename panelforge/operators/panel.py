@@ -64,28 +64,22 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 
 
 def fill_parent_mean(df: DataFrame, *, parent, date: str, columns: Sequence[str],
-                     then_zero: bool = False, method: str = "window") -> DataFrame:
+                     then_zero: bool = False) -> DataFrame:
     """Fill gaps with the mean over all entities of the same parent and day.
 
-    ``window`` (default): one window spec (parent, day) for every column, a
-    single pass over the panel; a window partition holds the children of one
-    parent on one day, bounded by the hierarchy (not by the data volume).
-    ``join``: the means as one partial aggregate joined back (AQE broadcasts
-    the parents x days table); it re-reads the input, so it suits a
-    materialised panel. ``then_zero`` fills what is still missing with 0.
+    The means are one partial aggregate joined back on (parent, day), so a
+    parent with very many entities never meets in one task: the aggregate
+    combines map-side and the join is broadcast or split by AQE. ``then_zero``
+    fills what is still missing with 0.
     """
     keys = [*_keys(parent), date]
     cols = [c for c in df.columns if c in set(columns)]
-    if method == "window":
-        w = Window.partitionBy(*keys)
-        means = {c: F.avg(c).over(w) for c in cols}
-        src = df
-    elif method == "join":
-        agg = df.groupBy(*keys).agg(*[F.avg(c).alias(f"__pm_{c}") for c in cols])
-        src = df.join(agg, keys, "left")
-        means = {c: F.col(f"__pm_{c}") for c in cols}
-    else:
-        raise ValueError(f"unknown method {method!r}")
+    agg = df.groupBy(*[F.col(k).alias(f"__pk_{k}") for k in keys]).agg(*[F.avg(c).alias(f"__pm_{c}") for c in cols])
+    same = F.lit(True)
+    for k in keys:                                        # null keys form a group of their own
+        same = same & F.col(k).eqNullSafe(F.col(f"__pk_{k}"))
+    src = df.join(agg, same, "left")
+    means = {c: F.col(f"__pm_{c}") for c in cols}
     sel = []
     for c in df.columns:
         if c in cols:
