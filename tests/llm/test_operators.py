@@ -319,7 +319,7 @@ def test_simhash_query(spark):
     assert set(rows(queries.QUERIES["op6_simhash"](spark, SF))) == want
 
 
-@pytest.mark.parametrize("limit,parts", [(4, 3), (2048, 3), (2048, 4), (3, 2)])
+@pytest.mark.parametrize("limit,parts", [(10, 3), (2048, 3), (2048, 4)])
 def test_links_of_close_fingerprints(spark, limit, parts):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 6)
