@@ -2,16 +2,24 @@
 
 Objective (intercept penalised, as with an intercept column of ones):
 
-    1/2 ||w||^2 + C * sum_i max(0, |y_i - x_i.w| - eps)
+    P(w) = 1/2 ||w||^2 + C * sum_i max(0, |y_i - x_i.w| - eps)
 
 Spark has no SVR, so this is a small estimator of our own: Newton's method
-on a Huber-smoothed loss with continuation (the smoothing width mu shrinks
-towards 0, so the solution approaches the non-smooth optimum; the objective
-gap is at most C * n * mu_final / 2). Every iteration is ONE pass over the
-cached data: for each candidate step length of the line search, partitions
-sum the objective, the gradient and the Hessian ((k+1)^2 numbers, k =
-features) with NumPy on Arrow batches, Spark adds the partial vectors, and
-the driver only solves a tiny linear system.
+on a Huber-smoothed loss whose smoothing width starts at the spread of the
+label and shrinks tenfold whenever a width is solved. The smoothed slopes
+a_i in [-C, C] are feasible for the dual
+
+    D(a) = -1/2 ||sum_i a_i x_i||^2 + sum_i a_i y_i - eps * sum_i |a_i|
+
+so every pass also certifies its point: P(w) - D(a) bounds the distance to
+the optimum. A fit ends when that gap is at most ``gap`` of P and raises
+``SVRNotConverged`` otherwise; unfinished weights are never returned.
+
+Every pass over the cached data sums, in each partition and with NumPy on
+Arrow batches, the objective at all step lengths and the slopes and the
+Hessian ((k+1)^2 numbers, k = features) at the full step; Spark adds the
+partial vectors and the driver solves one small linear system. A shorter
+step costs one more pass for its slopes.
 """
 
 from __future__ import annotations
@@ -24,18 +32,24 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STEPS = (1.0, 0.5, 0.25, 0.0)   # line-search candidates evaluated in the same pass
-MU_SCHEDULE = (1.0, 0.01, 1e-4)
+STEPS = tuple(0.5 ** i for i in range(24))   # line-search candidates of one pass
+SHRINK = 0.1                                 # factor from one smoothing width to the next
+
 
+class SVRNotConverged(RuntimeError):
+    """The duality gap did not reach the wanted bound within the allowed passes."""
 
-def _dot(w: np.ndarray, xs: Sequence[Column]) -> Column:
+
+def linear_value(w: np.ndarray, features: Sequence[str]) -> Column:
+    """x.w of a row; the intercept is the last weight."""
+    xs = [F.col(c).cast("double") for c in features]
     e = F.lit(float(w[-1]))
     for wi, x in zip(w[:-1], xs):
         e = e + F.lit(float(wi)) * x
     return e
 
 
-def _coef(ws: dict, by: str | None, i: int) -> Column:
+def _coef(ws: dict, by: str, i: int) -> Column:
     """Coefficient i of each group's vector (a CASE over the group column)."""
     e = None
     for g, w in ws.items():
@@ -44,112 +58,193 @@ def _coef(ws: dict, by: str | None, i: int) -> Column:
     return e
 
 
-def _partial_sums(w: dict, step: dict, k: int, epsilon: dict, mu: float):
-    """Per-partition sums for every group and line-search step (NumPy on
-    Arrow batches): smoothed loss, true loss, gradient and Hessian terms."""
-    n_h = k * (k + 1) // 2
+def group_value(ws: dict, features: Sequence[str], by: str) -> Column:
+    """x.w of a row with its group's weights ({group: w})."""
+    e = _coef(ws, by, len(features))
+    for i, x in enumerate(features):
+        e = e + _coef(ws, by, i) * F.col(x).cast("double")
+    return e
+
+
+def _slopes(r: np.ndarray, eps: float, mu: float) -> tuple[np.ndarray, np.ndarray]:
+    """Slope of the smoothed loss at residuals r, and each row's distance outside the tube."""
+    u = np.abs(r) - eps
+    return np.clip(u / mu, 0.0, 1.0) * np.sign(r), u
+
+
+def _losses(r0: np.ndarray, xs: np.ndarray, eps: float, mu: float) -> list[float]:
+    """Smoothed loss at every step length."""
+    out = []
+    for t in STEPS:
+        u = np.maximum(np.abs(r0 - t * xs) - eps, 0.0)
+        v = np.minimum(u, mu)
+        out.append(float((v * (u - v / 2)).sum()) / mu)
+    return out
+
+
+def _partial_sums(tasks: dict, k: int):
+    """Per-partition sums of every fit ``{(group, point): (w, step, eps, mu, search)}``.
+
+    Vector of a fit: true loss, sum of a*y, sum of |a|, slopes (k), the Hessian
+    of the band and the damping matrix of the rows beyond it (upper triangles),
+    all at w + step; then, when searching, the smoothed loss at w and at every
+    step length."""
+    iu = np.triu_indices(k)
+    by_group: dict = {}
+    for (g, p), t in tasks.items():
+        by_group.setdefault(g, []).append((p, t))
 
     def run(batches):
         acc: dict = {}
         for pdf in batches:
             for g, sub in pdf.groupby("__g"):
-                if g not in w:
+                if g not in by_group:
                     continue
                 x = np.column_stack([sub[f"__x{i}"].to_numpy(np.float64) for i in range(k - 1)]
                                     + [np.ones(len(sub))])
                 y = sub["__y"].to_numpy(np.float64)
-                vec = []
-                for t in STEPS:
-                    r = y - x @ (w[g] + t * step[g])
-                    u = np.abs(r) - epsilon[g]
-                    quad = (u > 0) & (u <= mu)
-                    loss = np.where(u <= 0, 0.0, np.where(quad, u * u / (2 * mu), u - mu / 2))
-                    d1 = np.where(u <= 0, 0.0, np.where(quad, u / mu, 1.0)) * np.sign(r)
-                    xq = x[quad]
-                    h = (xq.T @ xq) / mu
-                    vec += [loss.sum(), np.maximum(u, 0.0).sum(), *(x.T @ d1), *h[np.triu_indices(k)]]
-                acc[g] = acc.get(g, 0.0) + np.asarray(vec)
+                for p, (w, step, eps, mu, search) in by_group[g]:
+                    r0, xs = y - x @ w, x @ step
+                    r = r0 - xs
+                    d1, u = _slopes(r, eps, mu)
+                    xq, far = x[(u > 0) & (u <= mu)], u > mu
+                    xf = x[far]
+                    vec = [np.maximum(np.abs(r) - eps, 0.0).sum(), d1 @ y, np.abs(d1).sum(),
+                           *(x.T @ d1), *((xq.T @ xq) / mu)[iu],
+                           *(xf.T @ (xf / u[far, None]))[iu]]
+                    if search:
+                        vec += [_losses(r0, 0.0 * xs, eps, mu)[0], *_losses(r0, xs, eps, mu)]
+                    acc[g, p] = acc.get((g, p), 0.0) + np.asarray(vec)
         if acc:
-            yield pd.DataFrame({"__g": list(acc), "v": [a.tolist() for a in acc.values()]})
-    return run, 2 + k + n_h
-
-
-def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: str = "y", by: str | None = None,
-                          C: float | dict = 1.0, epsilon: float | dict = 0.0, max_iter: int = 30,
-                          tol: float = 1e-10, mu_schedule: Sequence[float] = MU_SCHEDULE) -> dict:
-    """One SVR per group of ``by`` (e.g. every fold) fitted together.
-
-    Each Newton iteration is ONE pass: every partition reduces its rows to a
-    small vector per group (``mapInPandas``, NumPy on Arrow batches, like a
-    tree-aggregate's seqOp), the vectors are summed by a grouped aggregate
-    (combOp) and only groups x (objective, gradient, Hessian) reach the driver.
-    Returns {group: (w with intercept last, history of the true objective)}."""
+            yield pd.DataFrame({"g": [a[0] for a in acc], "p": [a[1] for a in acc],
+                                "v": [v.tolist() for v in acc.values()]})
+    return run
+
+
+class _Fit:
+    """State of one fit between two passes."""
+
+    def __init__(self, k: int, C: float, eps: float, mu: float):
+        self.k, self.C, self.eps, self.mu = k, C, eps, mu
+        self.w, self.step = np.zeros(k), np.zeros(k)
+        self.search, self.done, self.gap = False, False, np.inf
+        self.damping = 1.0
+        self.hist: list[float] = []
+        self.best, self.best_w, self.best_dual = np.inf, self.w, -np.inf
+
+    def task(self):
+        return self.w, self.step, self.eps, self.mu, self.search
+
+    def _square(self, tri: np.ndarray) -> np.ndarray:
+        h = np.zeros((self.k, self.k))
+        h[np.triu_indices(self.k)] = tri
+        return h + np.triu(h, 1).T
+
+    def update(self, v: np.ndarray, gap: float) -> None:
+        k, C = self.k, self.C
+        tri = k * (k + 1) // 2
+        if self.search:
+            loss = v[3 + k + 2 * tri:]
+            cand = [self.w, *(self.w + t * self.step for t in STEPS)]
+            objs = [0.5 * float(c @ c) + C * f for c, f in zip(cand, loss)]
+            si = int(np.argmin(objs))
+            self.search = False
+            if 1 <= si <= 2:                  # long steps: less damping
+                self.damping /= 10
+            elif si > 3 or si == 0:
+                self.damping = max(10 * self.damping, 0.01)
+            if si != 1:                       # not the full step: its slopes take one more pass
+                self.w, self.step = cand[si], np.zeros(k)
+                return
+        self.w = self.w + self.step
+        slope, w = v[3:3 + k], self.w
+        primal = 0.5 * float(w @ w) + C * v[0]
+        dual = -0.5 * C * C * float(slope @ slope) + C * v[1] - C * self.eps * v[2]
+        self.hist.append(primal)
+        if primal < self.best:
+            self.best, self.best_w = primal, w
+        self.best_dual = max(self.best_dual, dual)
+        self.gap = (self.best - self.best_dual) / max(abs(self.best), np.finfo(float).tiny)
+        if self.best - self.best_dual <= gap * abs(self.best):
+            self.done = True
+            return
+        grad = w - C * slope
+        band, far = (self._square(v[3 + k + i * tri:3 + k + (i + 1) * tri]) for i in (0, 1))
+        # the gap is |grad|^2 / 2 plus what the smoothing costs: narrow the band once the first part is the smaller
+        rough = 0.5 * float(grad @ grad)
+        if rough <= 0.25 * max(primal - dual - rough, 0.5 * gap * abs(primal)):
+            self.mu *= SHRINK
+            self.damping, self.step = 1.0, np.zeros(k)
+            return
+        step = np.linalg.solve(np.eye(k) + C * (band + self.damping * far), -grad)
+        self.step, self.search = step, True
+
+
+def fit_linear_svr_grid(train: DataFrame, points, *, features: Sequence[str],
+                        label: str = "y", by: str | None = None, max_passes: int = 400, gap: float = 1e-6) -> dict:
+    """Every (C, epsilon) point of every group of ``by`` (e.g. every fold), fitted in shared passes.
+
+    ``points`` is a list for all groups or a dict of lists by group.
+    Returns {(group, point index): (w with intercept last, history of the true
+    objective)}; the group is "all" without ``by``. Rows with a missing value
+    are skipped; no rows give an empty result. Raises ``SVRNotConverged`` when
+    a fit's relative duality gap stays above ``gap``."""
     gcol = F.col(by).cast("string") if by else F.lit("all")
     data = train.select(gcol.alias("__g"), *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(features)],
                         F.col(label).cast("double").alias("__y")).dropna()
     data = data.persist(StorageLevel.MEMORY_AND_DISK)   # one pass per iteration reads the cache
-    groups = sorted(r[0] for r in data.select("__g").distinct().collect())
-    # C and epsilon may differ per group (a whole (C, epsilon) grid in the same passes)
-    cg = {g: float(C[g]) if isinstance(C, dict) else float(C) for g in groups}
-    eg = {g: float(epsilon[g]) if isinstance(epsilon, dict) else float(epsilon) for g in groups}
-    k = len(features) + 1
-    w = {g: np.zeros(k) for g in groups}
-    step = {g: np.zeros(k) for g in groups}
-    hist = {g: [] for g in groups}
-    iu = np.triu_indices(k)
-    for mu in mu_schedule:
-        active = set(groups)
-        prev = {g: None for g in groups}
-        for _ in range(max_iter):
-            if not active:
+    try:
+        spread = {r["__g"]: r["m"] for r in data.groupBy("__g").agg(F.max(F.abs("__y")).alias("m")).collect()}
+        k = len(features) + 1
+        fits = {(g, p): _Fit(k, float(c), float(e), spread[g] or 1.0)
+                for g in sorted(spread)
+                for p, (c, e) in enumerate(points[g] if isinstance(points, dict) else points)}
+        for _ in range(max_passes):
+            tasks = {key: f.task() for key, f in fits.items() if not f.done}
+            if not tasks:
                 break
-            run, width = _partial_sums({g: w[g] for g in active}, step, k, eg, mu)
-            parts = data.mapInPandas(run, "__g string, v array<double>")
-            summed = (parts.select("__g", F.posexplode("v").alias("i", "x"))
-                           .groupBy("__g", "i").agg(F.sum("x").alias("x")).collect())
-            tot = {g: np.zeros(width * len(STEPS)) for g in active}
+            parts = data.mapInPandas(_partial_sums(tasks, k), "g string, p int, v array<double>")
+            summed = (parts.select("g", "p", F.posexplode("v").alias("i", "x"))
+                           .groupBy("g", "p", "i").agg(F.sum("x").alias("x")).collect())
+            total: dict = {}
             for r in summed:
-                tot[r["__g"]][r["i"]] = r["x"]
-            for g in list(active):
-                vec = tot[g].reshape(len(STEPS), width)
-                C = cg[g]
-                objs = [0.5 * float((w[g] + t * step[g]) @ (w[g] + t * step[g])) + C * vec[si, 0]
-                        for si, t in enumerate(STEPS)]
-                si = int(np.argmin(objs))
-                w[g] = w[g] + STEPS[si] * step[g]
-                hist[g].append(0.5 * float(w[g] @ w[g]) + C * vec[si, 1])
-                grad = w[g] - C * vec[si, 2:2 + k]
-                h = np.zeros((k, k))
-                h[iu] = vec[si, 2 + k:]
-                h = h + np.triu(h, 1).T
-                step[g] = np.linalg.solve(np.eye(k) + C * h, -grad)
-                obj = objs[si]
-                if STEPS[si] == 0.0 or (prev[g] is not None and prev[g] - obj <= tol * max(1.0, abs(obj))):
-                    active.discard(g)
-                    step[g] = np.zeros(k)
-                prev[g] = obj
-    data.unpersist()
-    return {g: (w[g], hist[g]) for g in groups}
+                total.setdefault((r["g"], r["p"]), {})[r["i"]] = r["x"]
+            for key in tasks:
+                fits[key].update(np.array([total[key][i] for i in range(len(total[key]))]), gap)
+    finally:
+        data.unpersist()
+    late = {key: f.gap for key, f in fits.items() if not f.done}
+    if late:
+        raise SVRNotConverged(f"duality gaps above {gap} after {max_passes} passes: {late}")
+    return {key: (f.best_w, f.hist) for key, f in fits.items()}
+
+
+def fit_linear_svr_groups(train: DataFrame, *, features: Sequence[str], label: str = "y", by: str | None = None,
+                          C: float | dict = 1.0, epsilon: float | dict = 0.0, **limits) -> dict:
+    """One SVR per group of ``by``, C and epsilon given once or by group:
+    {group: (w with intercept last, history)}."""
+    points = [(C, epsilon)]
+    if isinstance(C, dict) or isinstance(epsilon, dict):
+        groups = C if isinstance(C, dict) else epsilon
+        points = {g: [(C[g] if isinstance(C, dict) else C, epsilon[g] if isinstance(epsilon, dict) else epsilon)]
+                  for g in groups}
+    fits = fit_linear_svr_grid(train, points, features=features, label=label, by=by, **limits)
+    return {g: v for (g, _), v in fits.items()}
 
 
 def fit_linear_svr(train: DataFrame, *, features: Sequence[str], label: str = "y", C: float = 1.0,
-                   epsilon: float = 0.0, max_iter: int = 30, tol: float = 1e-10,
-                   mu_schedule: Sequence[float] = MU_SCHEDULE) -> tuple[np.ndarray, list[float]]:
+                   epsilon: float = 0.0, **limits) -> tuple[np.ndarray, list[float]]:
     """Returns (w with intercept last, history of the true objective)."""
-    return fit_linear_svr_groups(train, features=features, label=label, by=None, C=C, epsilon=epsilon,
-                                 max_iter=max_iter, tol=tol, mu_schedule=mu_schedule)["all"]
+    return fit_linear_svr_groups(train, features=features, label=label, C=C, epsilon=epsilon, **limits)["all"]
 
 
 def predict_svr(w, df: DataFrame, features: Sequence[str], out: str = "y_hat", by: str | None = None) -> DataFrame:
     """Predict with one vector, or with each group's vector ({group: w}) when ``by`` is given."""
-    xs = [F.col(c).cast("double") for c in features]
     if by is None:
-        return df.withColumn(out, _dot(w, xs))
+        return df.withColumn(out, linear_value(w, features))
     ws = {g: v[0] if isinstance(v, tuple) else v for g, v in w.items()}
-    e = _coef(ws, by, len(features))
-    for i, x in enumerate(xs):
-        e = e + _coef(ws, by, i) * x
-    return df.withColumn(out, e)
+    return df.withColumn(out, group_value(ws, features, by))
+
 
 
 # The reference's SVR grid (C x epsilon = 18 points).

@@ -4,8 +4,7 @@ and returning long predictions ``(model, params, *keys, y, y_hat)``.
 Families share work across their grid where the algorithm allows it:
 AdaBoost fits 200 rounds once and scores each prefix; kNN finds the 19
 nearest rows once and scores every k; SVR fits all (C, epsilon) points in
-the same data passes (rows replicated per point, grouped by point); the
-linear family comes from one pass of sufficient statistics.
+the same data passes; the linear family comes from one pass of sufficient statistics.
 """
 
 from __future__ import annotations
@@ -68,19 +67,12 @@ def adaboost_family(train, valid, features, keys, grid=ADABOOST_GRID, seed=0):
 
 
 def svr_family(train, valid, features, keys, grid=SVR_GRID):
-    """All (C, epsilon) points fitted in the same data passes: rows are
-    replicated once per point and the grouped Newton solver keeps one
-    vector per point."""
-    pts = F.array(*[F.lit(str(i)) for i in range(len(grid))])
-    rep = train.select(*features, "y", F.explode(pts).alias("__pt"))
-    fits = SVR.fit_linear_svr_groups(rep, features=features, label="y", by="__pt",
-                                     C={str(i): p["C"] for i, p in enumerate(grid)},
-                                     epsilon={str(i): p["epsilon"] for i, p in enumerate(grid)})
-    out = None
-    for i, p in enumerate(grid):
-        pr = _select(SVR.predict_svr(fits[str(i)][0], valid, features), "svr", p, keys)
-        out = pr if out is None else out.unionByName(pr)
-    return out
+    """All (C, epsilon) points fitted in the same passes over the same rows."""
+    fits = SVR.fit_linear_svr_grid(train, [(p["C"], p["epsilon"]) for p in grid], features=features, label="y")
+    cells = [F.struct(F.lit(_ptext(p)).alias("params"), SVR.linear_value(fits["all", i][0], features).alias("y_hat"))
+             for i, p in enumerate(grid)]
+    return (valid.select(*keys, "y", F.explode(F.array(*cells)).alias("__p"))
+                 .select(F.lit("svr").alias("model"), "__p.params", *keys, "y", "__p.y_hat"))
 
 
 def knn_family(train, valid, features, keys, grid=KNN_GRID):

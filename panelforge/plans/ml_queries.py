@@ -560,12 +560,17 @@ def fit_adaboost(spark, sf_dir):
 
 @register("fit_svr")
 def fit_svr(spark, sf_dir):
-    """All folds fitted together: each Newton step is one aggregate grouped by fold."""
-    params = {"C": 0.1, "epsilon": 0.1}
+    """The whole C x epsilon grid on all folds in shared passes, scored by one aggregate."""
     f = folded(spark, sf_dir)
-    fits = SVR.fit_linear_svr_groups(f.where(F.col("split") == "train"), features=["x", "x7"], by="fold",
-                                     C=0.1, epsilon=0.1)
-    va = f.where(F.col("split") == "validation")
-    p = SVR.predict_svr(fits, va, ["x", "x7"], by="fold").select(
-        "fold", F.lit("svr").alias("model"), F.lit(G.params_text(params)).alias("params"), "entity", "d", "y", "y_hat")
-    return E.score(p)
+    features = ["x", "x7"]
+    points = [(c, e) for c in SVR.C_GRID for e in SVR.EPSILON_GRID]
+    fits = SVR.fit_linear_svr_grid(f.where(F.col("split") == "train"), points, features=features, by="fold")
+    aggs, cells = [], []
+    for i, (c, e) in enumerate(points):
+        err = F.col("y") - SVR.group_value({fold: w for (fold, p), (w, _) in fits.items() if p == i}, features, "fold")
+        aggs += [F.avg(err * err).alias(f"mse{i}"), F.avg(F.abs(err)).alias(f"mae{i}")]
+        cells.append(F.struct(F.lit("svr").alias("model"),
+                              F.lit(G.params_text({"C": c, "epsilon": e})).alias("params"),
+                              F.round(f"mse{i}", 6).alias("mse"), F.round(f"mae{i}", 6).alias("mae")))
+    scores = f.where(F.col("split") == "validation").groupBy("fold").agg(*aggs)
+    return scores.select("fold", F.inline(F.array(*cells)))

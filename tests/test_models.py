@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from panelforge.ml import evaluate as E
@@ -175,3 +176,34 @@ def test_group_min_mixes_rows_but_best_is_row_consistent(spark):
     assert (mixed["mse"], mixed["mae"]) == (2.0, 1.0)            # from different rows
     best = E.best_per_model(res).first()
     assert (best["params"], best["mse"], best["mae"]) == ('{"a": 1}', 5.0, 1.0)
+
+
+@pytest.mark.parametrize("scale, C, eps", [(1.0, 0.5, 0.1), (100.0, 0.1, 0.1), (0.01, 5.0, 0.001)])
+def test_svr_reaches_the_dual_optimum_at_any_scale(spark, scale, C, eps):
+    rng = np.random.default_rng(11)
+    n = 60
+    X = scale * np.c_[rng.normal(size=n) + 5, 3 * rng.normal(size=n)]
+    y = X @ [1.5, -0.5] + scale * rng.standard_t(3, size=n) + 7 * scale
+    df = spark.createDataFrame(pd.DataFrame({"x1": X[:, 0], "x2": X[:, 1], "y": y}))
+    w, _ = SVR.fit_linear_svr(df, features=["x1", "x2"], C=C, epsilon=eps)
+    # brute force: exact minimisation of the dual along one coordinate at a time bounds the optimum from below
+    Xi = np.c_[X, np.ones(n)]
+    primal = 0.5 * w @ w + C * np.maximum(np.abs(y - Xi @ w) - eps, 0).sum()
+    a, v = np.zeros(n), np.zeros(3)
+    for _ in range(20000):
+        for i in range(n):
+            q = Xi[i] @ Xi[i]
+            t = a[i] + (y[i] - v @ Xi[i]) / q
+            new = np.clip(np.sign(t) * max(abs(t) - eps / q, 0.0), -C, C)
+            v, a[i] = v + (new - a[i]) * Xi[i], new
+        dual = -0.5 * v @ v + a @ y - eps * np.abs(a).sum()
+        if primal - dual <= 1e-4 * primal:
+            break
+    assert primal - dual <= 1e-4 * primal
+    assert np.abs(w).max() > 0
+
+
+def test_svr_raises_when_out_of_passes(spark):
+    df = spark.createDataFrame(_reg_data(100, seed=3))
+    with pytest.raises(SVR.SVRNotConverged):
+        SVR.fit_linear_svr(df, features=["x1", "x2"], C=0.5, epsilon=0.1, max_passes=3)
