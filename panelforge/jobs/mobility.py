@@ -39,7 +39,7 @@ def fips_crosswalk(county: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def load_mobility(raw: DataFrame) -> DataFrame:
-    """US county rows; DC gets its own county; the renamed county is fixed."""
+    """US county rows; DC gets its own county; the renamed county is fixed; the series are numbers."""
     df = raw.where(F.col("country_region") == COUNTRY).drop("country_region", "country_region_code")
     df = df.withColumn("sub_region_2", X.conditional_override(
         "sub_region_2", F.col("sub_region_1") == DC, F.lit(DC)))
@@ -48,6 +48,7 @@ def load_mobility(raw: DataFrame) -> DataFrame:
     old, st, new = RENAMED_COUNTY
     df = df.withColumn("CountyName", X.conditional_override(
         "CountyName", (F.col("CountyName") == old) & (F.col("StateName") == st), F.lit(new)))
+    df = df.withColumns({s: F.col(s).try_cast("double") for s in SERIES if s in df.columns})
     return (df.withColumn("StateName", F.upper("StateName")).withColumn("CountyName", F.upper("CountyName"))
               .withColumn("date", X.parse_date("date", "iso")))
 

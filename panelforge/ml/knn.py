@@ -1,13 +1,13 @@
 """Exact k-nearest-neighbour regression (M12), Euclidean, uniform weights.
 
-Blocked broadcast: the training set is written once, partitioned by block
-(bounded rows per block). A few blocks at a time (each a bounded array) are
-broadcast and every query partition updates its running top-k
-(distance, train id, label) with ``mapInPandas`` - a narrow map, no shuffle
-and no pairs table. Keeping the top-k of each block is exact: the global
-top-k is contained in the union of the running top-k and the block. Ties in
-distance are broken by the training id. Lineage is cut with ``checkpoint``
-every few blocks (reliable, under the shared checkpoint folder).
+Blocked: training rows and query rows are packed into blocks of bounded size
+(one row of arrays per block), every query block meets every training block
+through a join on the training block's number, and each pair of blocks yields
+the nearest rows of its own (NumPy on Arrow batches). The nearest rows of a
+query over all blocks are merged by grouped aggregates of at most ``FAN_IN``
+lists each, level by level. That is exact: the global nearest rows are among
+the nearest of every block. Nothing passes the driver but the two row counts.
+Ties in distance are broken by the training id, of any type with an order.
 """
 
 from __future__ import annotations
@@ -16,108 +16,87 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from ..session import checkpoint_dir, scratch_path
-
-def _merge_topk(best_d, best_id, best_y, dist, t_id, t_y, kmax: int):
-    """Row-wise merge of running top-k (padded with +inf) and a distance block.
-
-    Vectorised: the k-th smallest distance per row comes from one
-    ``np.partition``; only the candidates at or below it (k plus ties) are
-    ordered by (distance, id) per row.
-    """
-    n = dist.shape[0]
-    d_all = np.concatenate([best_d, dist], axis=1)
-    id_all = np.concatenate([best_id, np.broadcast_to(t_id, (n, len(t_id)))], axis=1)
-    y_all = np.concatenate([best_y, np.broadcast_to(t_y, (n, len(t_y)))], axis=1)
-    k = min(kmax, d_all.shape[1])
-    kth = np.partition(d_all, k - 1, axis=1)[:, k - 1:k]
-    rows, cols = np.nonzero(d_all <= kth)
-    starts = np.searchsorted(rows, np.arange(n))
-    ends = np.searchsorted(rows, np.arange(n), side="right")
-    out_d = np.full((n, kmax), np.inf)
-    out_id = np.full((n, kmax), -1, dtype=np.int64)
-    out_y = np.zeros((n, kmax))
-    for r in range(n):
-        c = cols[starts[r]:ends[r]]
-        order = c[np.lexsort((id_all[r, c], d_all[r, c]))][:kmax]
-        out_d[r, :len(order)], out_id[r, :len(order)], out_y[r, :len(order)] = \
-            d_all[r, order], id_all[r, order], y_all[r, order]
-    return out_d, out_id, out_y
-
-
-def _update(block_bcs, kmax: int, id_col: str, vec_col: str, max_cells: int = 4_000_000):
-    """Merge the running top-k of each query row with one or more broadcast blocks."""
+FAN_IN = 64                 # lists merged by one group of an aggregate
+
+
+def _pack(df: DataFrame, n_blocks: int, id_col: str, vec_col: str, prefix: str, label: str | None = None) -> DataFrame:
+    """One row per block: ids in order, vectors end to end, labels."""
+    fields = [F.col(id_col).alias("i"), F.col(vec_col).cast("array<double>").alias("v")]
+    if label:
+        fields.append(F.col(label).cast("double").alias("y"))
+    rows = df.select(F.pmod(F.xxhash64(id_col), F.lit(n_blocks)).alias(f"{prefix}block"), F.struct(*fields).alias("r"))
+    packed = rows.groupBy(f"{prefix}block").agg(F.array_sort(F.collect_list("r")).alias("r"))
+    cols = [F.col("r.i").alias(f"{prefix}id"), F.flatten("r.v").alias(f"{prefix}vec")]
+    if label:
+        cols.append(F.col("r.y").alias(f"{prefix}y"))
+    return packed.select(f"{prefix}block", *cols)
+
+
+def _nearest(q: np.ndarray, t: np.ndarray, kmax: int, max_cells: int = 4_000_000):
+    """Distances and positions of each query's nearest rows of t, by (distance, position)."""
+    k = min(kmax, len(t))
+    dist = np.empty((len(q), k))
+    pos = np.empty((len(q), k), dtype=np.int64)
+    chunk = max(1, max_cells // max(1, t.size))
+    for s in range(0, len(q), chunk):
+        diff = q[s:s + chunk, None, :] - t[None, :, :]
+        d = np.einsum("qtd,qtd->qt", diff, diff)
+        kth = np.partition(d, k - 1, axis=1)[:, k - 1:k]
+        rows, cols = np.nonzero(d <= kth)               # the nearest and their ties, in position order
+        order = np.lexsort((cols, d[rows, cols], rows))
+        rows, cols = rows[order], cols[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        rows, cols, rank = rows[rank < k], cols[rank < k], rank[rank < k]
+        dist[s + rows, rank], pos[s + rows, rank] = d[rows, cols], cols
+    return dist, pos
+
+
+def _pair_lists(kmax: int):
+    """Per pair of blocks: each query's nearest rows of the training block."""
     def run(batches):
-        blocks = [bc.value for bc in block_bcs]
         for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf
-                continue
-            n = len(pdf)
-            q = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            bd = np.full((n, kmax), np.inf)
-            bi = np.full((n, kmax), -1, dtype=np.int64)
-            by = np.zeros((n, kmax))
-            for r, (d, i, y) in enumerate(zip(pdf["best_d"], pdf["best_id"], pdf["best_y"])):
-                if d is not None and len(d):
-                    bd[r, :len(d)], bi[r, :len(d)], by[r, :len(d)] = d, i, y
-            for t_vec, t_id, t_y in blocks:
-                chunk = max(1, max_cells // max(1, t_vec.shape[0] * t_vec.shape[1]))
-                for s in range(0, n, chunk):
-                    diff = q[s:s + chunk, None, :] - t_vec[None, :, :]
-                    dist = np.einsum("qtd,qtd->qt", diff, diff)
-                    bd[s:s + chunk], bi[s:s + chunk], by[s:s + chunk] = _merge_topk(
-                        bd[s:s + chunk], bi[s:s + chunk], by[s:s + chunk], dist, t_id, t_y, kmax)
-            keep = np.isfinite(bd)
-            out = pdf.copy()
-            out["best_d"] = [bd[r][keep[r]].tolist() for r in range(n)]
-            out["best_id"] = [bi[r][keep[r]].tolist() for r in range(n)]
-            out["best_y"] = [by[r][keep[r]].tolist() for r in range(n)]
-            yield out
+            for r in pdf.itertuples(index=False):
+                nq, nt = len(r.q_id), len(r.t_id)
+                d, p = _nearest(np.asarray(r.q_vec, dtype=np.float64).reshape(nq, -1),
+                                np.asarray(r.t_vec, dtype=np.float64).reshape(nt, -1), kmax)
+                ids, ys = np.asarray(r.t_id, dtype=object), np.asarray(r.t_y, dtype=np.float64)
+                yield pd.DataFrame({"id": list(r.q_id), "part": r.t_block // FAN_IN, "d": d.tolist(),
+                                    "i": [ids[x].tolist() for x in p], "y": ys[p].tolist()})
     return run
 
 
 def knn_neighbours(train: DataFrame, query: DataFrame, *, id_col: str, vec_col: str, label: str,
-                   kmax: int = 19, block_rows: int = 20_000, blocks_per_pass: int = 4,
-                   checkpoint_every: int = 4) -> DataFrame:
-    """Query rows with arrays of their ``kmax`` nearest training rows."""
-    spark = train.sparkSession
-    n = train.count()
-    n_blocks = max(1, math.ceil(n / block_rows))
-    path = scratch_path(spark, "knn-train")
-    (train.select(id_col, vec_col, F.col(label).cast("double").alias(label),
-                  F.pmod(F.xxhash64(id_col), F.lit(n_blocks)).alias("__block"))
-          .write.mode("overwrite").partitionBy("__block").parquet(path))
-    blocks = spark.read.parquet(path)
-    state = query.select(id_col, vec_col, F.lit(None).cast("array<double>").alias("best_d"),
-                         F.lit(None).cast("array<bigint>").alias("best_id"),
-                         F.lit(None).cast("array<double>").alias("best_y"))
-    from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
-    base = query.select(id_col, vec_col).schema
-    schema = StructType(list(base.fields) + [StructField("best_d", ArrayType(DoubleType())),
-                                             StructField("best_id", ArrayType(LongType())),
-                                             StructField("best_y", ArrayType(DoubleType()))])
-    checkpoint_dir(spark)
-    passes = 0
-    for first in range(0, n_blocks, blocks_per_pass):
-        bcs = []
-        for b in range(first, min(n_blocks, first + blocks_per_pass)):
-            rows = blocks.where(F.col("__block") == b).select(id_col, vec_col, label).toPandas()
-            if rows.empty:
-                continue
-            t_vec = np.stack(rows[vec_col].to_numpy()).astype(np.float64)
-            bcs.append(spark.sparkContext.broadcast((t_vec, rows[id_col].to_numpy(np.int64),
-                                                     rows[label].to_numpy(np.float64))))
-        if not bcs:
-            continue
-        state = state.mapInPandas(_update(bcs, kmax, id_col, vec_col), schema)
-        passes += 1
-        if passes % checkpoint_every == 0:
-            state = state.checkpoint()
-    return state.drop(vec_col)
+                   kmax: int = 19, block_rows: int = 4_000) -> DataFrame:
+    """Query ids with arrays of their ``kmax`` nearest training rows: best_d, best_id, best_y.
+
+    Ids are unique on either side; rows without a vector are left out. No
+    training rows give no neighbours and so no rows."""
+    train = train.where(F.col(vec_col).isNotNull())
+    query = query.where(F.col(vec_col).isNotNull())
+    n_t, n_q = (max(1, math.ceil(df.count() / block_rows)) for df in (train, query))
+    t = _pack(train, n_t, id_col, vec_col, "t_", label)
+    q = (_pack(query, n_q, id_col, vec_col, "q_")
+         .withColumn("t_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_t - 1).cast("bigint")))))
+    pairs = q.join(t, "t_block").select("t_block", "q_id", "q_vec", "t_id", "t_vec", "t_y")
+    qid, tid = query.schema[id_col].dataType, train.schema[id_col].dataType
+    lists = pairs.mapInPandas(_pair_lists(kmax), StructType([
+        StructField("id", qid), StructField("part", LongType()), StructField("d", ArrayType(DoubleType())),
+        StructField("i", ArrayType(tid)), StructField("y", ArrayType(DoubleType()))]))
+    state = lists.select("id", "part", F.arrays_zip("d", "i", "y").alias("best"))
+    merged = F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, kmax).alias("best")
+    parts = math.ceil(n_t / FAN_IN)
+    while True:
+        state = state.groupBy("id", "part").agg(merged)
+        if parts == 1:
+            break
+        state, parts = state.withColumn("part", F.floor(F.col("part") / FAN_IN)), math.ceil(parts / FAN_IN)
+    return state.select(F.col("id").alias(id_col), F.col("best.d").alias("best_d"), F.col("best.i").alias("best_id"),
+                        F.col("best.y").alias("best_y"))
 
 
 def knn_predict(neigh: DataFrame, *, id_col: str, ks: Sequence[int]) -> DataFrame:

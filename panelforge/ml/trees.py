@@ -81,6 +81,7 @@ def fit_adaboost(train: DataFrame, *, features: Sequence[str], label: str = "y",
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     cur = data.withColumn("__w", F.lit(1.0 / n))
+    older = None                              # weights of the round before, kept until cur is computed
     ensemble = []
     for m in range(n_estimators):
         tree = DecisionTreeRegressor(featuresCol="features", labelCol="__y", weightCol="__w",
@@ -89,6 +90,9 @@ def fit_adaboost(train: DataFrame, *, features: Sequence[str], label: str = "y",
         # one aggregate per round: max error, weight total and weighted error
         st = pred.agg(F.max("__e").alias("emax"), F.sum("__w").alias("wsum"),
                       F.sum(F.col("__w") * F.col("__e")).alias("wesum")).first()
+        if older is not None:
+            older.unpersist()                 # this round's passes have filled cur's own cache
+            older = None
         emax = st["emax"] or 0.0
         if emax <= 0:
             ensemble.append((tree, 1.0))
@@ -110,8 +114,10 @@ def fit_adaboost(train: DataFrame, *, features: Sequence[str], label: str = "y",
         else:
             # the next round reads the weights twice (tree fit, then its errors)
             cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-        if prev is not data:
-            prev.unpersist()
+        older = prev
+    for df in (older, cur, data):
+        if df is not None:
+            df.unpersist()
     return ensemble
 
 
@@ -127,11 +133,12 @@ def predict_adaboost(ensemble, df: DataFrame, features: Sequence[str], n_estimat
         cur = t.transform(cur)
         pcols.append(f"__p{i}")
     pairs = F.array(*[F.struct(F.col(p).alias("p"), F.lit(w).alias("w")) for p, (_, w) in zip(pcols, use)])
-    srt = F.array_sort(pairs)
-    total = sum(w for _, w in use)
-    cum = F.transform(srt, lambda s, i: F.struct(
-        s["p"].alias("p"),
-        F.aggregate(F.slice(srt, 1, i + 1), F.lit(0.0), lambda a, z: a + z["w"]).alias("c")))
-    med = F.filter(cum, lambda s: s["c"] >= F.lit(0.5 * total))[0]["p"]
+    half = 0.5 * sum(w for _, w in use)
+    # one running sum over the sorted predictions; the first to reach half of the weight is the median
+    start = F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("double").alias("p"))
+    med = F.aggregate(F.array_sort(pairs), start, lambda a, s: F.struct(
+        (a["c"] + s["w"]).alias("c"),
+        F.when(a["p"].isNull() & (a["c"] + s["w"] >= F.lit(half)), s["p"]).otherwise(a["p"]).alias("p")),
+        lambda a: a["p"])
     keep = [c for c in df.columns]
     return cur.select(*keep, med.alias(out))

@@ -76,16 +76,14 @@ def svr_family(train, valid, features, keys, grid=SVR_GRID):
 
 
 def knn_family(train, valid, features, keys, grid=KNN_GRID):
+    """The keys themselves, written as one JSON text, are the identity of a row."""
     kmax = max(p["n_neighbors"] for p in grid)
-    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    vec = F.array(*[F.col(c).cast("double") for c in features])
-    tr = train.select(F.xxhash64(key).alias("__id"), vec.alias("__v"), F.col("y").cast("double").alias("__y"))
-    q = valid.select(F.xxhash64(key).alias("__qid"), vec.alias("__v"))
-    neigh = KNN.knn_neighbours(tr.withColumnRenamed("__id", "__qid"), q, id_col="__qid", vec_col="__v",
-                               label="__y", kmax=kmax)
-    pred = KNN.knn_predict(neigh, id_col="__qid", ks=[p["n_neighbors"] for p in grid])
-    v = valid.select(F.xxhash64(key).alias("__qid"), *keys, "y")
-    j = v.join(pred, "__qid")
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("__id")
+    vec = F.array(*[F.col(c).cast("double") for c in features]).alias("__v")
+    neigh = KNN.knn_neighbours(train.select(key, vec, "y"), valid.select(key, vec), id_col="__id", vec_col="__v",
+                               label="y", kmax=kmax)
+    pred = KNN.knn_predict(neigh, id_col="__id", ks=[p["n_neighbors"] for p in grid])
+    j = valid.select(key, *keys, "y").join(pred, "__id")
     return j.select(F.lit("knn").alias("model"),
                     F.concat(F.lit('{"n_neighbors": '), F.col("k").cast("string"), F.lit("}")).alias("params"),
                     *keys, "y", "y_hat")

@@ -258,7 +258,7 @@ def histogram(df: DataFrame, columns: Sequence[str], n_bins: int = 40) -> DataFr
 # ---- exact quantiles by selection (no per-group map of distinct values) ----
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by: str | None = None,
-                    n_buckets: int = 4096, small: int = 50_000, max_levels: int = 12) -> dict:
+                    n_buckets: int = 4096, small: int = 50_000) -> dict:
     """Exact linearly interpolated quantile of each column (per group of ``by``).
 
     Selection instead of sorting or a map of distinct values: each pass is
@@ -266,8 +266,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
     the current candidate interval of every target order statistic; the
     bucket holding the wanted rank becomes the next interval (membership is
     the chain of bucket conditions, so it is exact). A bucket whose min equals
-    its max resolves at once (a hot value); a small bucket (<= ``small``
-    values) is fetched and sorted on the driver. Returns {(group, column): value}
+    its max resolves at once (a hot value). Every level strictly narrows the
+    interval, so the passes end by themselves. Buckets are fetched and sorted
+    on the driver while all of them together hold at most ``small`` values;
+    the others go on being narrowed. Returns {(group, column): value}
     (group is None without ``by``); all-missing columns give None.
     """
     import math as _m
@@ -279,6 +281,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
     long = long.persist(StorageLevel.MEMORY_AND_DISK)     # a few passes read the cached values
     stats = long.groupBy("__g", "__c").agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"),
                                            F.max("__v").alias("hi")).collect()
+    budget = small        # values that may still be fetched, over all targets
     targets = {}          # id -> dict(key, rank, chain, lo, hi, value)
     keys = {}
     for r in stats:
@@ -290,8 +293,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
             t = dict(key=key, rank=rk, orig=rk, chain=[], lo=r["lo"], hi=r["hi"], value=None)
             if r["lo"] == r["hi"]:
                 t["value"] = r["lo"]
-            elif r["n"] <= small:
+            elif r["n"] <= budget:
                 t["fetch"] = True          # already small: no histogram pass needed
+                budget -= r["n"]
             targets[len(targets)] = t
 
     def member(t):
@@ -301,16 +305,24 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
             cond = cond & (F.least(F.floor((F.col("__v") - F.lit(lo)) / F.lit(w)), F.lit(n_buckets - 1)) == b)
         return cond
 
-    for _ in range(max_levels):
+    def per_column(cells, kind):
+        """A value meets the targets of its own column only."""
+        e = None
+        for c in sorted({c for c, _ in cells}):
+            own = F.array(*[x for name, x in cells if name == c])
+            e = F.when(F.col("__c") == c, own) if e is None else e.when(F.col("__c") == c, own)
+        return long.select(F.explode(e).alias(kind), "__v").where(F.col(kind).isNotNull())
+
+    while True:
         open_t = {i: t for i, t in targets.items() if t["value"] is None and not t.get("fetch")}
         if not open_t:
             break
         cells = []
         for i, t in open_t.items():
-            w = (t["hi"] - t["lo"]) / n_buckets
+            w = t["hi"] / n_buckets - t["lo"] / n_buckets
             b = F.least(F.floor((F.col("__v") - F.lit(t["lo"])) / F.lit(w)), F.lit(n_buckets - 1)).cast("int")
-            cells.append(F.when(member(t), F.struct(F.lit(i).alias("t"), b.alias("b"))))
-        hist = (long.select(F.explode(F.array(*cells)).alias("x"), "__v").where(F.col("x").isNotNull())
+            cells.append((t["key"][1], F.when(member(t), F.struct(F.lit(i).alias("t"), b.alias("b")))))
+        hist = (per_column(cells, "x")
                     .groupBy("x.t", "x.b").agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("mn"),
                                                 F.max("__v").alias("mx"))
                     .collect())
@@ -321,22 +333,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], q: float = 0.5, *, by
             run = 0
             for r in sorted(by_t.get(i, []), key=lambda r: r["b"]):
                 if run + r["n"] > t["rank"]:
-                    w = (t["hi"] - t["lo"]) / n_buckets
+                    w = t["hi"] / n_buckets - t["lo"] / n_buckets
                     t["chain"].append((t["lo"], w, r["b"]))
                     t["rank"] -= run
                     if r["mn"] == r["mx"]:
                         t["value"] = r["mn"]
-                    elif r["n"] <= small:
+                    elif r["n"] <= budget:
                         t["fetch"] = True
+                        budget -= r["n"]
                     else:
                         t["lo"], t["hi"] = r["mn"], r["mx"]
                     break
                 run += r["n"]
     fetch = {i: t for i, t in targets.items() if t["value"] is None}
     if fetch:
-        cells = [F.when(member(t), F.lit(i)) for i, t in fetch.items()]
-        rows = (long.select(F.explode(F.array(*cells)).alias("t"), "__v").where(F.col("t").isNotNull())
-                    .collect())
+        rows = per_column([(t["key"][1], F.when(member(t), F.lit(i))) for i, t in fetch.items()], "t").collect()
         vals: dict = {}
         for r in rows:
             vals.setdefault(r["t"], []).append(r["__v"])

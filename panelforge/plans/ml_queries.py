@@ -555,7 +555,7 @@ def fit_adaboost(spark, sf_dir):
     def fp(tr, va):
         ens = TR.fit_adaboost(tr, features=TREE_FEATURES, n_estimators=50, seed=0)
         return TR.predict_adaboost(ens, va, TREE_FEATURES)
-    return _fold_scores(spark, sf_dir, fp, "adaboost", params, folds=[LAST_FOLD])
+    return _fold_scores(spark, sf_dir, fp, "adaboost", params)
 
 
 @register("fit_svr")

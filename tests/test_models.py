@@ -96,7 +96,7 @@ def test_knn_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
     train, query = df.where(F.col("vec_id") >= 20), df.where(F.col("vec_id") < 20)
     neigh = KNN.knn_neighbours(train, query, id_col="vec_id", vec_col="embedding", label="label",
-                               kmax=7, block_rows=30, blocks_per_pass=2, checkpoint_every=1)  # 2 passes, checkpoints
+                               kmax=7, block_rows=30)
     got = {(r["vec_id"], r["k"]): r["y_hat"] for r in KNN.knn_predict(neigh, id_col="vec_id", ks=[1, 7]).collect()}
     v64 = vecs.astype(np.float64)
     for q in range(20):
