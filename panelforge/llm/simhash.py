@@ -20,9 +20,11 @@ Search over the distinct fingerprints:
   all values within T_i bits). Candidates under one value are verified by
   their distance; a value gives a spanning forest of its links, not all pairs.
 * A value with more than ``group_limit`` fingerprints is split by a further
-  pigeonhole over the bits that it leaves open, as often as needed. As the
-  fingerprints are distinct, a value that fixes b bits has at most 2^(64 - b),
-  so the splitting ends and no task holds an unbounded group.
+  pigeonhole over the bits that it leaves open, as often as needed. The value
+  stays and is only extended, so fingerprints that share it by a flip stay
+  together. The splitting ends at max_distance open bits: as the fingerprints
+  are distinct, a value then has at most 2^max_distance for each flip, so no
+  task holds an unbounded group.
 
 Defined cases: A-Z is lower-cased, words are runs of bytes other than
 space and \\t-\\r; a text of fewer words than a shingle has its whole sequence
@@ -203,6 +205,12 @@ def _split_mask(mask: int, parts: int) -> list[int]:
     return [mask | _mask(free[i::parts]) for i in range(parts)]
 
 
+def _extended(mask: int, finer: list[int]):
+    """Array of (finer mask, value with the fingerprint's bits only where the finer mask adds them)."""
+    return F.array(*[F.struct(F.lit(_signed(m)).alias("mask"), F.col("value").bitwiseOR(
+        F.col("fp").bitwiseAND(F.lit(_signed(m & ~mask)))).alias("value")) for m in finer])
+
+
 def spanning_links(fps: np.ndarray, max_distance: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among distinct fingerprints."""
     links, left = [], fps
@@ -274,11 +282,14 @@ def links(distinct: DataFrame, *, max_distance: int = MAX_DISTANCE, partitions:
     while True:
         rows = rows.checkpoint()
         sizes = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("c")).where("c > 1").checkpoint()
-        small = (rows.join(sizes.where(F.col("c") <= group_limit).select("mask", "value"), ["mask", "value"], "left_semi")
+        # a mask with too few open bits for the pigeonhole is verified at any (bounded) size
+        done = F.col("mask").isin([_signed(m) for m in masks if BITS - m.bit_count() <= max_distance])
+        limit = F.when(done, F.lit(2 ** 62)).otherwise(F.lit(group_limit))
+        small = (rows.join(sizes.where(F.col("c") <= limit).select("mask", "value"), ["mask", "value"], "left_semi")
                  .repartition("mask", "value").sortWithinPartitions("mask", "value")
                  .mapInArrow(lambda it: _verify(it, max_distance), "u long, v long"))
         out = small if out is None else out.unionAll(small)
-        big = sizes.where(F.col("c") > group_limit).select("mask", "value")
+        big = sizes.where(F.col("c") > limit).select("mask", "value")
         if big.isEmpty():
             return out
         # split the large groups by a pigeonhole over their open bits
@@ -286,7 +297,7 @@ def links(distinct: DataFrame, *, max_distance: int = MAX_DISTANCE, partitions:
         finer = None
         for m in sorted(masks):
             r = large.where(F.col("mask") == _signed(m)).select(
-                "fp", F.explode(_under(_split_mask(m, max_distance + 1))).alias("k"))
+                "fp", F.explode(_extended(m, _split_mask(m, max_distance + 1))).alias("k"))
             finer = r if finer is None else finer.unionAll(r)
         rows = finer.select("k.mask", "k.value", "fp").distinct()
         masks = {x for m in masks for x in _split_mask(m, max_distance + 1)}

@@ -341,6 +341,27 @@ def test_links_of_close_fingerprints(spark, limit, parts):
     assert [root(x) for x in signed] == names
 
 
+@pytest.mark.parametrize("chosen,apart", [((1, 0, -1), (0, 22)), ((1, 0, -1), (5, 42)), ((2, -1, -1), (0, 21))])
+def test_split_keeps_links_of_flips(spark, monkeypatch, chosen, apart):
+    monkeypatch.setattr(simhash, "group_bits", lambda *_: [[*range(22)], [*range(22, 43)], [*range(43, 64)]])
+    monkeypatch.setattr(simhash, "thresholds", lambda *_: list(chosen))
+    base = [int(x) << 22 for x in np.random.default_rng(6).integers(0, 1 << 42, 40)]     # one hot value of the first
+    fps = sorted({*base, *(x ^ sum(1 << b for b in apart) for x in base)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1:]
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    got = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long").checkpoint(), group_limit=10).collect()
+    assert {(min(r), max(r)) for r in map(tuple, got)} == {(min(p), max(p)) for p in want} and len(want) == len(base)
+
+
+def test_splitting_ends(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "group_bits", lambda *_: [[*range(60)], [60, 61], [62, 63]])
+    monkeypatch.setattr(simhash, "thresholds", lambda *_: [1, 0, -1])
+    fps = [1 << i for i in range(60)]                      # all are one flip from the value 0
+    got = simhash.links(spark.createDataFrame([(x,) for x in fps], "fp long").checkpoint(), group_limit=10).collect()
+    assert {x for r in got for x in r} == set(fps)
+
+
 def test_components(spark):
     chain = [(i + 1, i) for i in range(40)] + [(100, 101), (102, 100), (7, 7), (300, 299), (300, 299)]
     got = dict(rows(components.components(spark.createDataFrame(chain, "u long, v long"))))
