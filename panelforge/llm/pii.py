@@ -2,7 +2,7 @@
 
 Base kinds (email, ip, card, phone) are patterns with checks. The method then
 asks which other terms give a protected entity (one address, one number) away.
-Over the lines of the corpus, with c the number of lines,
+Over the N different lines of the corpus, with c the number of lines,
 
     disclosure(e, t) = log(N c(e, t) / (c(e) c(t))) / log(N / c(e))
 
@@ -10,15 +10,14 @@ is the share of an entity's information that seeing the term reveals. Terms at
 or over ``remove_at`` are removed, those at or over ``generalise_at`` are
 replaced by a general word, wherever they stand in a document with the entity.
 
-Joint counts c(e), c(e, t) count each different line once, so copies prove
-nothing; both must reach ``support``. c(t) counts every occurrence in all
-documents, which can only lower a disclosure. Terms are lower-cased words of
+All four count each different line once, so copies prove nothing and hide
+nothing; c(e) and c(e, t) must reach ``support``. Terms are lower-cased words of
 three letters or more outside protected spans.
 
-Everything is built-in expressions. Only lines with entities are shuffled as
-text; the corpus side is pre-aggregated to one row per term and task. A common
-entity or term is pre-aggregated before each shuffle, and its joins are split
-by the skew handling.
+Everything is built-in expressions. Lines are shuffled as text once, after each
+task has dropped its own repeats; the counts of terms are pre-aggregated to one
+row per term and task. A common entity or term is pre-aggregated before each
+shuffle, and its joins are split by the skew handling.
 
 Defined cases: a null text counts as empty; without matches the counts are 0,
 base_sha256 is that of the empty string and spans are empty; repeated rows are
@@ -100,21 +99,29 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _outside(text: Column) -> Column:
+    """text without its addresses, the only base spans that hold letters."""
+    return F.when(text.contains("@"), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+
+
 def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
                 remove_at: float = REMOVE_AT) -> DataFrame:
     """(entity, term, disclosure, removed) of all terms at or over the lower threshold."""
+    checkpoint_dir(docs.sparkSession)
     texts = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
     bearing = _with_spans(texts).where(F.size("entities") > 0).select(F.explode(F.split("t", "\n")).alias("t"))
     lines = _with_spans(bearing).where(F.size("entities") > 0).select("t", "entities").distinct()
-    masked = F.col("t")
-    for kind in KINDS:
-        masked = F.regexp_replace(masked, PATTERNS[kind], " ")
-    found = lines.select(F.explode("entities").alias("entity"), F.array_distinct(_terms(masked)).alias("terms"))
+    terms = F.array_distinct(_terms(_outside(F.col("t"))))
+    found = lines.select(F.explode("entities").alias("entity"), terms.alias("terms"))
     entities = found.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).where(F.col("c_e") >= support)
     pairs = (found.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
              .agg(F.count(F.lit(1)).alias("c_et")).where(F.col("c_et") >= support))
-    corpus = texts.select(F.explode(_terms(F.col("t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
-    n = F.lit(float(texts.agg(F.sum(F.size(F.split("t", "\n")))).first()[0] or 0))
+    # the empty term stands in every line: its count is N
+    every = texts.select(F.explode(F.split("t", "\n")).alias("t")).distinct()
+    corpus = (every.select(F.explode(F.array_append(terms, F.lit(""))).alias("term")).groupBy("term")
+              .agg(F.count(F.lit(1)).alias("c_t")).checkpoint())
+    whole = corpus.where("term = ''").first()
+    n = F.lit(float(whole["c_t"] if whole else 0))
     joined = pairs.join(entities, "entity").join(corpus, "term")
     score = F.ln(n * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / F.ln(n / F.col("c_e"))
     return (joined.where(n > F.col("c_e")).select("entity", "term", score.alias("disclosure"))
@@ -124,7 +131,6 @@ def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
 def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
          remove_at: float = REMOVE_AT) -> DataFrame:
     """docs with the columns ``_pf_<kind>`` of the base kinds, ``_pf_general`` and ``_pf_removed``: arrays of spans."""
-    checkpoint_dir(docs.sparkSession)
     revealed = disclosures(docs, text=text, support=support, generalise_at=generalise_at,
                            remove_at=remove_at).checkpoint()
     names = [f"_pf_{k}" for k in [*KINDS, "general", "removed"]]

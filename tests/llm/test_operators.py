@@ -124,6 +124,15 @@ def test_pii_reveals_terms(spark):
     assert all(r["spans"] in ("", "email:9:18") for r in pii.report(copies).collect())   # copies prove nothing
 
 
+@pytest.mark.parametrize("copies", [1, 100])
+def test_pii_disclosure_counts_lines_once(spark, copies):
+    told = "\n".join(f"zanzibar of bob@x.org is {w}" for w in ("one", "two", "three"))
+    lines = [f"plain line about {i} write number" for i in range(200)] + [f"zanzibar{i}.zanzibar@y.org" for i in range(50)]
+    d = spark.createDataFrame([(t,) for t in [told] * copies + lines], "text string")
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(d).collect()}
+    assert got == {("email:bob@x.org", "zanzibar"): pytest.approx(1.0)}
+
+
 def test_pii_odd(odd, none):
     got = rows(pii.report(odd))
     assert len(got) == odd.count() and all(r[1:5] == (0, 0, 0, 0) for r in got)
