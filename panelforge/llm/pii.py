@@ -8,7 +8,8 @@ Over the N different lines of the corpus, with c the number of lines,
 
 is the share of an entity's information that seeing the term reveals. Terms at
 or over ``remove_at`` are removed, those at or over ``generalise_at`` are
-replaced by a general word, wherever they stand in a document with the entity.
+replaced by a general word, by the largest disclosure over all entities and in
+every document, whether it holds the entity or not.
 
 All four count each different line once, so copies prove nothing and hide
 nothing; c(e) and c(e, t) must reach ``support``. Terms are lower-cased words of
@@ -17,7 +18,9 @@ three letters or more outside protected spans.
 Everything is built-in expressions. Lines are shuffled as text once, after each
 task has dropped its own repeats; the counts of terms are pre-aggregated to one
 row per term and task. A common entity or term is pre-aggregated before each
-shuffle, and its joins are split by the skew handling.
+shuffle, and its joins are split by the skew handling. Up to ``LITERALS``
+revealing terms are found in a document by a set in the plan; more of them are
+joined with the documents' terms.
 
 Defined cases: a null text counts as empty; without matches the counts are 0,
 base_sha256 is that of the empty string and spans are empty; repeated rows are
@@ -30,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from ..session import checkpoint_dir
 from . import spans as S
 
@@ -48,6 +52,8 @@ TERM = r"\p{L}{3,}"
 SUPPORT = 3
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
+#: Most revealing terms that are held in the plan.
+LITERALS = 4096
 
 
 def _luhn(number: Column) -> Column:
@@ -131,25 +137,28 @@ def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
 def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
          remove_at: float = REMOVE_AT) -> DataFrame:
     """docs with the columns ``_pf_<kind>`` of the base kinds, ``_pf_general`` and ``_pf_removed``: arrays of spans."""
-    revealed = disclosures(docs, text=text, support=support, generalise_at=generalise_at,
-                           remove_at=remove_at).checkpoint()
+    flagged = (disclosures(docs, text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
+               .groupBy("term").agg(F.max("removed").alias("removed")).checkpoint())
     names = [f"_pf_{k}" for k in [*KINDS, "general", "removed"]]
     body = F.coalesce(F.col(text), F.lit(""))
     spanned = docs.select("*", *[c.alias(f"_pf_{k}") for k, c in base_spans(body).items()])
-    if revealed.isEmpty():                                 # no term of the corpus reaches a threshold
+    few = flagged.limit(LITERALS + 1).collect()
+    if not few:                                            # no term of the corpus reaches a threshold
         return spanned.select("*", S.none().alias(names[-2]), S.none().alias(names[-1]))
-    any_ = F.lit(False)
-    for k in KINDS:
-        any_ = any_ | (F.size(f"_pf_{k}") > 0)
-    plain = spanned.where(~any_).select("*", S.none().alias(names[-2]), S.none().alias(names[-1]))
-    # only documents with entities are joined: the terms to act on depend on the text alone
-    bearing = docs.select(body.alias("t")).distinct()
-    keyed = _with_spans(bearing).where(F.size("entities") > 0).select(
-        F.sha2("t", 256).alias("_pf_key"), F.explode("entities").alias("entity"), F.array_distinct(_terms(F.col("t"))).alias("own"))
-    acts = (keyed.join(revealed, "entity").where(F.array_contains("own", F.col("term")))
-            .groupBy("_pf_key").agg(F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("_pf_g"),
-                                    F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("_pf_r")))
-    joined = spanned.where(any_).withColumn("_pf_key", F.sha2(body, 256)).join(acts, "_pf_key", "left")
+    own = F.array_distinct(_terms(body))
+    if len(few) <= LITERALS:
+        def among(terms: Column, removed: list[bool]) -> Column:
+            return F.filter(terms, lambda x: x.isin([r["term"] for r in few if r["removed"] in removed]))
+        held = spanned.select("*", among(own, [False, True]).alias("_pf_own"))
+        joined = held.select("*", among(F.col("_pf_own"), [False]).alias("_pf_g"),
+                             among(F.col("_pf_own"), [True]).alias("_pf_r")).drop("_pf_own")
+    else:
+        # the terms to act on depend on the text alone
+        keyed = docs.select(F.sha2(body, 256).alias("_pf_key"), F.explode(own).alias("term"))
+        acts = (keyed.join(broadcast_if_small(flagged), "term")
+                .groupBy("_pf_key").agg(F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("_pf_g"),
+                                        F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("_pf_r")))
+        joined = spanned.withColumn("_pf_key", F.sha2(body, 256)).join(acts, "_pf_key", "left").drop("_pf_key")
     base = F.concat(*[F.col(f"_pf_{k}") for k in KINDS])
 
     def of(terms: Column) -> Column:
@@ -158,10 +167,8 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, general
                             & ~F.exists(base, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
         return F.when(F.size(terms) > 0, S.let(base, pick)).otherwise(S.none())
 
-    held = F.array_except(F.col("_pf_g"), F.col("_pf_r"))   # removal goes before generalising
-    joined = joined.select("*", of(F.coalesce(held, F.array().cast("array<string>"))).alias(names[-2]),
-                           of(F.coalesce(F.col("_pf_r"), F.array().cast("array<string>"))).alias(names[-1]))
-    return plain.unionByName(joined.drop("_pf_key", "_pf_g", "_pf_r"))
+    return joined.select("*", of(F.col("_pf_g")).alias(names[-2]), of(F.col("_pf_r")).alias(names[-1])).drop(
+        "_pf_g", "_pf_r")
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:

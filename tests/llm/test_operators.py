@@ -133,6 +133,20 @@ def test_pii_disclosure_counts_lines_once(spark, copies):
     assert got == {("email:bob@x.org", "zanzibar"): pytest.approx(1.0)}
 
 
+@pytest.mark.parametrize("literals", [pii.LITERALS, 0])
+def test_pii_acts_in_every_document(spark, monkeypatch, literals):
+    monkeypatch.setattr(pii, "LITERALS", literals)
+    told = [f"write to bob@x.org about zanzibar number {w}" for w in ("one", "two", "three", "four")]
+    plain = [f"plain line about {i} write number" for i in range(200)]
+    texts = ["Zanzibar alone", "amy@y.org met zanzibar", "zanzibar@q.org", "zanzibarish", None, *told, *plain]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["spans"] for r in pii.report(d, remove_at=0.85).collect()}
+    assert [found[i] for i in range(6)] == ["removed:0:8", "email:0:9,removed:14:22", "email:0:14", "", "",
+                                            "email:9:18,removed:25:33"] and len(found) == len(texts)
+    found = {r["doc_id"]: r["spans"] for r in pii.report(d).collect()}
+    assert found[0] == "general:0:8" and found[1] == "email:0:9,general:14:22" and found[20] == ""
+
+
 def test_pii_odd(odd, none):
     got = rows(pii.report(odd))
     assert len(got) == odd.count() and all(r[1:5] == (0, 0, 0, 0) for r in got)
