@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, langid, packing, pii, quality_classifier, quality_rules, secret_scan, simhash, tokens,
-               warc)
+from . import (decontaminate, langid, packing, periodic_runs, pii, quality_classifier, quality_rules, secret_scan,
+               simhash, tokens, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -98,3 +98,34 @@ def op9_secrets(spark, sf_dir):
 @_query
 def op2_pii(spark, sf_dir):
     return pii.report(_table(spark, sf_dir, "documents"))
+
+
+def _with_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; every tenth document by h = crc32(doc_id) repeats a stretch of its words to the end.
+
+    With g = h div 10 and n words, word i >= a is the text's word a + (i - a) % p, where a = g % n and
+    p = 1 + (n - a) div (3 + g % 8).
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    cut = cut.withColumn("n", F.size("words"))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
+    turned = F.transform("words", lambda w, i: F.when(
+        i >= F.col("a"), F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))).otherwise(w))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(_with_tails(_table(spark, sf_dir, "documents")))
+    line = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws(
+        "", r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n"))))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period, r.start, r.period)))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
