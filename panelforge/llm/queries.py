@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import (decontaminate, langid, packing, periodic_runs, pii, quality_classifier, quality_rules, secret_scan,
-               simhash, tokens, warc)
+               simhash, tokens, warc, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -129,3 +129,9 @@ def op13_periodic_runs(spark, sf_dir):
         F.col("best.length").alias("length"), F.col("best.period").alias("period"),
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_whitening(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    return whitening.transform(rows, whitening.fit(rows))
