@@ -50,10 +50,11 @@ _PIECES = {"words": re.compile(rf"[a-zß-öø-ÿ]+{_RUN_END}|.+", re.S), "led":
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 #: Where lower case may depend on context or make a special token, the tokenizer's own lower-casing is left alone.
 _NO_PLAIN_LOWER = r"[^\x00-\x{ff}]|<\|"
-#: A space after white space (or a null character, the mark of a cut): such texts are encoded whole.
-_NO_CUT = (r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
-           r"|\x00")
+#: A space after white space: such texts are not cut.
+_NO_CUT = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 LIMIT_TOKENS = 1024
+#: Goes into the tokenizer digest: counts that another version of the encoder stored are not read.
+ENCODER = "pieces-2"
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -97,7 +98,12 @@ class Encoder:
             return pc.split_pattern(texts, " ")
         # each later segment keeps its leading space
         cut = pc.if_else(pc.match_substring_regex(texts, _NO_CUT), texts, pc.replace_substring(texts, " ", "\0 "))
-        return pc.split_pattern(cut, "\0")
+        parts = pc.split_pattern(cut, "\0")
+        own = pc.match_substring(texts, "\0")              # the mark of a cut stands in the text itself
+        if pc.any(own).as_py():
+            parts = pa.array([[t] if o else p for t, o, p in zip(texts.to_pylist(), own.to_pylist(), parts.to_pylist())],
+                             parts.type)
+        return parts
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces into the memory; plain words go as one text and are told apart by their word ends."""
@@ -181,14 +187,14 @@ def _segments_of(path: str) -> str:
 
 
 def tokenizer_digest(path: str) -> str:
-    """Digest of the file, the library and its version."""
+    """Digest of the file, the library and its version, and the version of this encoder."""
     if path.endswith(".model"):
         import sentencepiece as lib
     else:
         import tokenizers as lib
     with open(path, "rb") as f:
         body = hashlib.sha256(f.read()).hexdigest()
-    return hashlib.sha256(f"{lib.__name__}:{lib.__version__}:{body}".encode()).hexdigest()
+    return hashlib.sha256(f"{ENCODER}:{lib.__name__}:{lib.__version__}:{body}".encode()).hexdigest()
 
 
 _STORED = "content_digest string, n_bytes long, n_tokens long, tokenizer_digest string"

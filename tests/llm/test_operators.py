@@ -249,9 +249,9 @@ def library(path, text):
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="abcABZ 019.,'’!-\n\t\ŕéÉßΣσİK中½ ​\x1c\x85<|>", max_size=30), max_size=8))
+@given(st.lists(st.text(alphabet="abcABZ \0 019.,'’!-\n\t\ŕéÉßΣσİK中½ ​\x1c\x85<|>", max_size=30), max_size=8))
 def test_encoder_equals_library(path, texts):
-    texts = [*texts, "it's <|endoftext|> n't  <|EndOfText|>"]
+    texts = [*texts, "it's <|endoftext|> n't  <|EndOfText|>", "hello\0world", "plain \0 text", "\0"]
     got = [x.tolist() for x in tokens.Encoder.get(path).ids(pa.array(texts))]
     assert got == [library(path, t) for t in texts]
 
