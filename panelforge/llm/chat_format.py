@@ -141,8 +141,8 @@ def encode_turns(conversations: DataFrame, tokenizer_path: str, *, conv_id: str
         work, _TURNS.format(*kinds))
 
 
-def assemble(turns: DataFrame) -> DataFrame:
-    """(conv_id, piece, last, n_tokens, input_ids, loss_mask): conversations in rows of at most PIECE_TOKENS ids."""
+def assemble(turns: DataFrame, piece_tokens: int = PIECE_TOKENS) -> DataFrame:
+    """(conv_id, piece, last, n_tokens, input_ids, loss_mask): conversations in rows of at most piece_tokens ids."""
     kind = turns.schema["conv_id"].dataType.simpleString()
 
     def work(batches):
@@ -162,20 +162,20 @@ def assemble(turns: DataFrame) -> DataFrame:
                 while end < len(keys) and keys[end] == keys[k]:
                     end += 1
                 if held is not None and held[0] != keys[k]:
-                    out += _pieces_of(held, True)
+                    out += _pieces_of(held, True, piece_tokens)
                     held = None
                 if held is None:
                     held = [keys[k], 0, [], []]
                 held[2].append(cells[at[k]:at[end]])
                 held[3].append(mask[at[k]:at[end]])
-                out += _pieces_of(held, False)
+                out += _pieces_of(held, False, piece_tokens)
                 k = end
             # what is held on must not hold the whole batch
             held = held and [*held[:2], [x.copy() for x in held[2]], [x.copy() for x in held[3]]]
             yield from _rows(out, b.schema.field("conv_id").type)
             key_type = b.schema.field("conv_id").type
         if held is not None:
-            yield from _rows(_pieces_of(held, True), key_type)
+            yield from _rows(_pieces_of(held, True, piece_tokens), key_type)
 
     ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids")
     return ordered.mapInArrow(work, _PIECES.format(kind))
@@ -190,17 +190,17 @@ def _cells(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.tobytes(), "<u4"), np.diff(offsets) // 4
 
 
-def _pieces_of(held: list, whole: bool) -> list[tuple]:
+def _pieces_of(held: list, whole: bool, limit: int) -> list[tuple]:
     """Full pieces of what is held; all of it, the last one marked, when the conversation has ended."""
     n = sum(map(len, held[2]))
-    if not whole and n <= PIECE_TOKENS:
+    if not whole and n <= limit:
         return []
     ids, mask = np.concatenate(held[2]), np.concatenate(held[3])
     out, at = [], 0
-    while n - at > PIECE_TOKENS:
-        out.append((held[0], held[1], False, ids[at:at + PIECE_TOKENS], mask[at:at + PIECE_TOKENS]))
+    while n - at > limit:
+        out.append((held[0], held[1], False, ids[at:at + limit], mask[at:at + limit]))
         held[1] += 1
-        at += PIECE_TOKENS
+        at += limit
     if whole:
         out.append((held[0], held[1], True, ids[at:], mask[at:]))
     else:
@@ -222,9 +222,10 @@ def _rows(found: list[tuple], key_type):
             ["conv_id", "piece", "last", "n_tokens", "input_ids", "loss_mask"])
 
 
-def format_conversations(conversations: DataFrame, tokenizer_path: str, **columns) -> DataFrame:
+def format_conversations(conversations: DataFrame, tokenizer_path: str, *, piece_tokens: int = PIECE_TOKENS,
+                         **columns) -> DataFrame:
     """The formatted conversations; ``columns`` names conv_id, turn, role and text where they differ."""
-    return assemble(encode_turns(conversations, tokenizer_path, **columns))
+    return assemble(encode_turns(conversations, tokenizer_path, **columns), piece_tokens)
 
 
 def _texts(lib, parts: list[np.ndarray]) -> list[str]:
@@ -339,6 +340,5 @@ def render(ids: np.ndarray, tokenizer_path: str) -> str:
     lib = Encoder.get(tokenizer_path).lib
     base, ids = lib.get_vocab_size(), np.asarray(ids)
     marks = np.flatnonzero(ids >= base)
-    out = _texts(lib, np.split(ids, np.sort(np.r_[marks, marks + 1])))
-    return "".join(MARKS[int(p[0]) - base] if len(p) and p[0] >= base else t
-                   for p, t in zip(np.split(ids, np.sort(np.r_[marks, marks + 1])), out))
+    parts = np.split(ids, np.sort(np.r_[marks, marks + 1]))
+    return "".join(MARKS[int(p[0]) - base] if len(p) and p[0] >= base else t for p, t in zip(parts, _texts(lib, parts)))

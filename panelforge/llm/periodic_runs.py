@@ -264,7 +264,7 @@ def _of_slice(text: pa.Array, min_length: int) -> tuple[list, ...]:
 
 
 def find_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-              min_length: int = MIN_LENGTH) -> DataFrame:
+              min_length: int = MIN_LENGTH, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """(doc_id, n_words, runs, collapsed) of every row.
 
     ``runs`` holds (start, length, period) by start, then period; ``collapsed``
@@ -279,7 +279,7 @@ def find_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         for b in batches:
             body = pc.fill_null(b.column("text").cast(pa.large_string()), "")
             sizes = np.r_[0, np.cumsum(pc.binary_length(body).to_numpy(zero_copy_only=False))]
-            for i, j in pieces(sizes, SLICE_BYTES):
+            for i, j in pieces(sizes, slice_bytes):
                 n, runs, collapsed = _of_slice(body.slice(i, j - i), min_length)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), n, runs, collapsed],
                                                  ["doc_id", "n_words", "runs", "collapsed"])

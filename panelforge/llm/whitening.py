@@ -9,7 +9,7 @@ Ritz value by a Chebyshev polynomial of V (a three-term recurrence of passes),
 makes the block orthonormal (QR), and solves the projected problem
 (Rayleigh-Ritz). Rounds go on until every wanted vector's residual
 |Vq - eq| is at most ``TOLERANCE`` of the largest eigenvalue; a fit that does
-not get there in ``MAX_ROUNDS`` raises ``NotCertified``.
+not get there in ``max_rounds`` raises ``NotCertified``.
 
 Vectors are made whole numbers x = floor(scale * c), so sums and deviations
 are exact; a vector is centred as (n x - S) / n, where n is the size of the
@@ -181,7 +181,8 @@ def _start(dims: int, width: int) -> np.ndarray:
 
 
 def fit(rows: DataFrame, *, vector: str = "embedding", components: int = COMPONENTS, scale: int = SCALE,
-        degree: int = DEGREE, guard: int = GUARD, tolerance: float = TOLERANCE) -> Whitening | None:
+        degree: int = DEGREE, guard: int = GUARD, tolerance: float = TOLERANCE,
+        max_rounds: int = MAX_ROUNDS) -> Whitening | None:
     """Fit on the distinct vectors; None if no vector is usable."""
     spark = rows.sparkSession
     path = scratch_path(spark, "fit-list")
@@ -209,7 +210,7 @@ def fit(rows: DataFrame, *, vector: str = "embedding", components: int = COMPONE
         out.residual = float(np.linalg.norm(w[:, :wanted] - q[:, :wanted] * e[:wanted], axis=0).max() / e[0])
         if out.residual <= tolerance * math.sqrt(dims):
             break
-        if out.rounds == MAX_ROUNDS:
+        if out.rounds == max_rounds:
             raise NotCertified(f"residual {out.residual:.3g} of the largest eigenvalue after {out.rounds} rounds")
         out.rounds += 1
         q = _filtered(data, q, w, e, degree, out)

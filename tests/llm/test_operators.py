@@ -32,9 +32,10 @@ def docs(spark):
 
 def test_registered():
     q = E.queries()
-    assert [k for n in range(1, 11) for k in q if k.startswith(f"op{n}_")] == [
+    assert [k for n in range(1, 14) for k in q if k.startswith(f"op{n}_")] == [
         "op1_decontaminate", "op2_pii", "op3_language", "op4_quality_rules", "op5_packing", "op6_simhash",
-        "op7_token_counts", "op8_quality", "op9_secrets", "op10_warc"]
+        "op7_token_counts", "op8_quality", "op9_secrets", "op10_warc", "op11_chat_format", "op12_whitening",
+        "op13_periodic_runs"]
     assert "pipeline" in q
 
 
