@@ -13,8 +13,10 @@ the histogram of lengths (at most ``capacity`` rows). While more sequences are
 used than the bound of the whole asks for, partitions with gaps (more
 sequences than their own bound, or, when none has, all partitions with room
 left) exchange the documents of their sequences with free room and rerun
-best-fit decreasing; a round that saves nothing ends the search. Sequences
-without much free room stay as they are, so later rounds are small.
+best-fit decreasing. After a round of all partitions that saves nothing, fewer
+and larger partitions are dealt, up to ``WIDEST`` times the size; one that
+saves nothing then ends the search. Only sequences without much free room are
+settled, so later rounds are small and every other sequence takes part.
 
 Defined cases: a null or empty text is the end id alone (length 1); repeated
 rows and null ids are packed like any other, each row by itself; an empty
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
+from .arrow_text import trimmed
 from .tokens import Encoder
 
 CAPACITY = 2048
@@ -39,7 +42,9 @@ END_ID = 0
 PARTITION_PIECES = 4096
 #: Sequences with at least this share of free room take part in an exchange.
 ROOM = 1 / 64
-MAX_ROUNDS = 12
+MAX_ROUNDS = 24
+#: How many times ``PARTITION_PIECES`` a partition of the last exchanges holds at most.
+WIDEST = 16
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text",
@@ -66,7 +71,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", t
                  pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return thin.mapInArrow(cut, f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, piece int, start long, "
+    return thin.mapInArrow(trimmed(cut), f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, piece int, start long, "
                                 "length long, ids_crc32 long")
 
 
@@ -165,7 +170,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
     if not n:
         return _placed(table, final)
     now = _packed(table.where(F.col("length") < capacity), math.ceil(n / partition_pieces), 0, capacity)
-    settled, wide = 0, False                                 # sequences in `final` short of capacity
+    settled, wide, widest = 0, False, 1                                 # sequences in `final` short of capacity
+    full = F.col("fill") > capacity * (1 - room)
     for round_ in range(1, max_rounds + 1):
         starts = F.col("offset") == 0                        # one such piece per sequence
         used, gaps = now.agg(F.sum(starts.cast("long")),
@@ -173,21 +179,21 @@ def pack(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text:
         if settled + used <= bound:
             break                                            # certified: no packing uses fewer
         wide = wide or not gaps
-        opened = F.col("fill") <= capacity * (1 - room)
-        if not wide:
-            opened = opened & (F.col("used") > F.col("bound"))
+        opened = ~full if wide else ~full & (F.col("used") > F.col("bound"))
         count, going = now.where(opened).agg(F.count(F.lit(1)), F.sum(starts.cast("long"))).first()
+        parts = math.ceil(count / (partition_pieces * widest))
         if count:
-            tried = _packed(now.where(opened), math.ceil(count / partition_pieces), round_, capacity)
+            tried = _packed(now.where(opened), parts, round_, capacity)
             saved = going - tried.where(starts).count()
         if not count or saved <= 0:
-            if wide:
+            if wide and (parts <= 1 or widest >= WIDEST):
                 break
+            widest *= 2 if wide else 1
             wide = True
             continue
-        final = final.unionAll(now.where(~opened).select("uid", "sequence_id", "offset"))
-        settled += used - going
-        now, wide = tried, False
+        final = final.unionAll(now.where(full).select("uid", "sequence_id", "offset"))
+        settled += now.where(full & starts).count()
+        now, wide = tried.unionAll(now.where(~full & ~opened)), False
     return _placed(table, final.unionAll(now.select("uid", "sequence_id", "offset")))
 
 
