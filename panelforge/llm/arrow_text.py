@@ -7,6 +7,8 @@ so that memory does not depend on the length of a text.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +38,22 @@ def string_buffer(col) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def trimmed(work):
+    """An Arrow function that gives the memory it has freed back to the system when its task ends.
+
+    Workers are reused; else every later task and stage runs beside the largest batch of an earlier one.
+    """
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * _MIX1

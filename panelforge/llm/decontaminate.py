@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import mix64, string_buffer, word_shingles
+from .arrow_text import mix64, string_buffer, trimmed, word_shingles
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -159,7 +159,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "
                      pa.array([block.ids[i] for i in o]).cast(item_type(block.ids)), pa.array(n, pa.int64()),
                      pa.array(s, pa.int64()), pa.array([x / y for x, y in zip(s, n)], pa.float64())], names)
 
-        found = thin.mapInArrow(search, schema)
+        found = thin.mapInArrow(trimmed(search), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -184,5 +184,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "tex
                 hit[[m[0] for m in sent.value.matches(b.column(b.schema.get_field_index(text)))]] = True
                 yield b.filter(pa.array(~hit))
 
-        kept = kept.mapInArrow(keep, docs.schema)
+        kept = kept.mapInArrow(trimmed(keep), docs.schema)
     return kept

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import PIECE_BYTES, pieces, string_buffer, word_hashes
+from .arrow_text import PIECE_BYTES, pieces, string_buffer, trimmed, word_hashes
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -173,7 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
                  pa.array([c for _, c in found], pa.list_(pa.float32()))], ["id", "label", "f", "c"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(features, f"id {id_type}, label int, f array<int>, c array<float>").toArrow().sort_by("id")
+    got = rows.mapInArrow(trimmed(features), f"id {id_type}, label int, f array<int>, c array<float>").toArrow().sort_by("id")
     pairs = [(got["f"][i].values.to_numpy(), got["c"][i].values.to_numpy()) for i in range(got.num_rows)]
     return sgd(pairs, got["label"].to_numpy(), **settings)
 
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: QualityModel, *, doc_id: str = "doc_id", text:
                 [b.column("doc_id"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                 ["doc_id", "score", "predicted"])
 
-    return thin.mapInArrow(run, f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return thin.mapInArrow(trimmed(run), f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def drop_rejected(docs: DataFrame, model: QualityModel, *, text: str = "text") -> DataFrame:
@@ -201,4 +201,4 @@ def drop_rejected(docs: DataFrame, model: QualityModel, *, text: str = "text") -
         for b in batches:
             yield b.filter(pa.array(sent.value.scores(b.column(b.schema.get_field_index(text))) >= 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(trimmed(keep), docs.schema)

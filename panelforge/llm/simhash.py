@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, scratch_path
+from .arrow_text import trimmed
 from .components import components
 
 BITS = 64
@@ -88,7 +89,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp), b.column("d")],
                                              ["doc_id", "fp", "text_digest"])
 
-    return thin.mapInArrow(compute, f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, fp long, "
+    return thin.mapInArrow(trimmed(compute), f"doc_id {thin.schema['doc_id'].dataType.simpleString()}, fp long, "
                                     "text_digest string")
 
 

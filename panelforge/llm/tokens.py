@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .arrow_text import pieces
+from .arrow_text import pieces, trimmed
 
 #: Remembered pieces of a process, by kind of tokenizer (about 200 bytes each).
 MEMO_PIECES = {"led": 400_000, "words": 400_000}
 #: Text that is cut and looked up at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 # A run of Latin letters up to an ASCII character that is neither a letter nor an apostrophe is a piece of its own for
 # both kinds of tokenizer: only 's, 't, ... and combining marks join letters to what follows.
@@ -233,7 +233,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, cache_path: str | None
                 [b.column("content_digest"), pc.binary_length(text).cast(pa.int64()), pa.array(counts, pa.int64())],
                 ["content_digest", "n_bytes", "n_tokens"])
 
-    (missing.mapInArrow(encode, "content_digest string, n_bytes long, n_tokens long")
+    (missing.mapInArrow(trimmed(encode), "content_digest string, n_bytes long, n_tokens long")
      .withColumn("tokenizer_digest", F.lit(version))
      .write.mode("append").partitionBy("tokenizer_digest").parquet(cache_path))
     counts = read_cache(spark, cache_path, version)
