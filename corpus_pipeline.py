@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 it as Parquet into the shared folder and reads it again as the next stage's
 documents, so that a lost executor costs at most one stage's tasks. All stages
 but the last return the columns of documents; each works on all that its
-predecessor kept.
+predecessor kept. Stages bound the bytes of an Arrow batch (a session setting,
+left alone where the caller has set it): Spark's own bound counts rows, and
+10,000 long documents would stand in a worker at once, several times over.
 
 Defined cases: those of the stages' operators; an empty table runs through to
 an empty packing.
@@ -12,28 +14,47 @@ an empty packing.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm import decontaminate, packing, pii, quality_classifier, simhash
 from panelforge.session import scratch_path
 
+#: Bytes of text and other columns that a task sends to its Python worker at a time.
+BATCH_BYTES = 4 << 20
+
+
+def _bounded(stage):
+    """The stage, run with Arrow batches of at most BATCH_BYTES (one row at least)."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+            spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
 
+@_bounded
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_classifier.drop_rejected(docs, quality_classifier.train(docs, labels))
 
 
+@_bounded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash.keep_one(docs)
 
 
+@_bounded
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_bounded
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data and revealing terms replaced; n_chars follows the new text."""
     from pyspark.sql import functions as F
@@ -43,6 +64,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@_bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces placed in sequences of at most 2048 tokens."""
     import public_tokenizers
