@@ -8,12 +8,14 @@ positional index.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOW = ("median", "mean")
@@ -50,7 +52,12 @@ def impute(df: DataFrame, *, split: str = "split", columns: Sequence[str], how="
                            if c in columns else F.col(c) for c in df.columns])
     stats = split_statistics(df, split=split, columns=columns, how=how)
     train = stats.get("train", {})
-    val = stats.get("validation", {}) if validation_stats == "own" else train
+    return fill_missing(df, train, stats.get("validation", {}) if validation_stats == "own" else train, split=split,
+                        columns=columns)
+
+
+def fill_missing(df: DataFrame, train: dict, val: dict, *, split: str, columns: Sequence[str]) -> DataFrame:
+    """Missing values of validation rows become ``val``'s, of all other rows ``train``'s."""
     out = []
     for c in df.columns:
         if c not in columns:
@@ -65,19 +72,22 @@ def impute(df: DataFrame, *, split: str = "split", columns: Sequence[str], how="
 def standardize(df: DataFrame, *, split: str = "split", columns: Sequence[str],
                 fit_on: str = "train") -> DataFrame:
     """(x - mean) / population std with the train statistics; a constant column gives 0."""
+    return scale(df, standard_statistics(df, split=split, columns=columns, fit_on=fit_on))
+
+
+def standard_statistics(df: DataFrame, *, split: str = "split", columns: Sequence[str],
+                        fit_on: str = "train") -> dict:
+    """{column: (mean, population std)} of the ``fit_on`` rows, from one aggregate; a std of 0 counts as 1."""
     row = (df.where(F.col(split) == fit_on)
              .agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)],
                   *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(columns)]).first())
-    out = []
-    for c in df.columns:
-        if c in columns:
-            i = list(columns).index(c)
-            m, s = row[f"m_{i}"], row[f"s_{i}"]
-            s = 1.0 if not s else s
-            out.append(((F.col(c) - F.lit(m)) / F.lit(s)).alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)
+    return {c: (row[f"m_{i}"], row[f"s_{i}"] or 1.0) for i, c in enumerate(columns)}
+
+
+def scale(df: DataFrame, stats: dict) -> DataFrame:
+    """(x - mean) / std for the columns of ``stats``."""
+    return df.select(*[((F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1])).alias(c) if c in stats else F.col(c)
+                       for c in df.columns])
 
 
 def fit_pca(df: DataFrame, *, split: str = "split", columns: Sequence[str], k: int = 75,
@@ -113,3 +123,61 @@ def pca_project(df: DataFrame, model, m: int, signs: Sequence[float], *, columns
     return proj.select(*keep, *[(F.col("__a")[j] * F.lit(signs[j])).alias(f"{prefix}{j + 1}") for j in range(m)])
 
 
+@dataclass
+class Preparation:
+    """A fitted preparation (impute, standardise, optionally PCA) that applies to rows it was not fitted on.
+
+    Validation rows are filled with their own medians, all others (train and
+    test) with the train ones; means, deviations and components are of train.
+    """
+
+    columns: list[str]
+    fill: dict
+    fill_validation: dict
+    standard: dict
+    kept: int = 0                                         # components kept; 0: no PCA
+    signs: list[float] = field(default_factory=list)
+    pca: PCAModel | None = None
+
+    @property
+    def features(self) -> list[str]:
+        return [f"pc{j + 1}" for j in range(self.kept)] if self.kept else list(self.columns)
+
+    def apply(self, df: DataFrame, *, split: str = "split") -> DataFrame:
+        filled = fill_missing(df, self.fill, self.fill_validation, split=split, columns=self.columns)
+        z = scale(filled, self.standard)
+        if not self.kept:
+            return z
+        return pca_project(z, self.pca, self.kept, self.signs, columns=self.columns)
+
+    def statistics(self) -> dict:
+        """All but the component loadings, as JSON values."""
+        return {"columns": list(self.columns), "fill": self.fill, "fill_validation": self.fill_validation,
+                "standard": {c: list(v) for c, v in self.standard.items()}, "kept": self.kept, "signs": self.signs}
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(json.dumps(self.statistics()),)]
+        spark.createDataFrame(rows, "statistics string").coalesce(1).write.parquet(f"{path}/statistics")
+        if self.pca is not None:
+            self.pca.write().save(f"{path}/pca")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preparation:
+        s = json.loads(spark.read.parquet(f"{path}/statistics").first()["statistics"])
+        s["standard"] = {c: tuple(v) for c, v in s["standard"].items()}
+        return cls(**s, pca=PCAModel.load(f"{path}/pca") if s["kept"] else None)
+
+
+def fit_preparation(df: DataFrame, *, split: str = "split", columns: Sequence[str], with_pca: bool, k: int = 75,
+                    threshold: float = 0.95) -> Preparation:
+    """Medians, means, deviations and components of one fold's rows; a column without a value is filled with 0."""
+    columns = list(columns)
+    stats = split_statistics(df, split=split, columns=columns, how="median")
+    train, val = ({c: 0.0 if (v := stats.get(g, {}).get(c)) is None else float(v) for c in columns}
+                  for g in ("train", "validation"))
+    filled = fill_missing(df, train, val, split=split, columns=columns)
+    standard = standard_statistics(filled, split=split, columns=columns)
+    if not with_pca:
+        return Preparation(columns, train, val, standard)
+    model, m, signs = fit_pca(scale(filled, standard), split=split, columns=columns, k=k, threshold=threshold)
+    return Preparation(columns, train, val, standard, m, signs, model)

@@ -1,24 +1,15 @@
-"""The reference's model families and grids, each fitted on a prepared fold
-and returning long predictions ``(model, params, *keys, y, y_hat)``.
+"""The reference's model families and grids.
 
 Families share work across their grid where the algorithm allows it:
 AdaBoost fits 200 rounds once and scores each prefix; kNN finds the 19
 nearest rows once and scores every k; SVR fits all (C, epsilon) points in
-the same data passes; the linear family comes from one pass of sufficient statistics.
+the same data passes; the linear family comes from one pass of sufficient
+statistics. How they are fitted, stored and opened is in ``families``.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from . import knn as KNN
-from . import linear as L
 from . import svr as SVR
-from . import trees as TR
 
 # The reference's grids.
 FOREST_GRID = [{"n_estimators": n, "max_features": f} for f in ("auto", "log2", "sqrt") for n in (100, 500, 1000)]
@@ -27,72 +18,6 @@ SVR_GRID = [{"C": c, "epsilon": e} for c in SVR.C_GRID for e in SVR.EPSILON_GRID
 KNN_GRID = [{"n_neighbors": k} for k in range(5, 20)]
 
 
-def _ptext(p: dict) -> str:
-    return json.dumps(p, sort_keys=True)
-
-
-def _select(df: DataFrame, model: str, params: dict, keys: Sequence[str], y_hat="y_hat") -> DataFrame:
-    return df.select(F.lit(model).alias("model"), F.lit(_ptext(params)).alias("params"), *keys, "y",
-                     F.col(y_hat).alias("y_hat"))
-
-
-def linear_family(train, valid, features, keys, grid=None):
-    frame = train.withColumn("__f", F.lit("f")).unionByName(valid.withColumn("__f", F.lit("f")))
-    p = L.linear_grid_predictions(frame, grid or _linear_grid(), features=features, keys=keys, fold="__f")
-    return p.drop("__f")
-
-
-def _linear_grid():
-    from .grid import linear_grid
-    return linear_grid()
-
-
-def forest_family(train, valid, features, keys, grid=FOREST_GRID, seed=0):
-    out = None
-    for p in grid:
-        m = TR.fit_forest(train, features=features, n_estimators=p["n_estimators"],
-                          max_features=p["max_features"], seed=seed)
-        pr = _select(TR.predict(m, valid, features), "forest", p, keys)
-        out = pr if out is None else out.unionByName(pr)
-    return out
-
-
-def adaboost_family(train, valid, features, keys, grid=ADABOOST_GRID, seed=0):
-    ens = TR.fit_adaboost(train, features=features, n_estimators=max(p["n_estimators"] for p in grid), seed=seed)
-    out = None
-    for p in grid:
-        pr = _select(TR.predict_adaboost(ens, valid, features, n_estimators=p["n_estimators"]), "adaboost", p, keys)
-        out = pr if out is None else out.unionByName(pr)
-    return out
-
-
-def svr_family(train, valid, features, keys, grid=SVR_GRID):
-    """All (C, epsilon) points fitted in the same passes over the same rows."""
-    fits = SVR.fit_linear_svr_grid(train, [(p["C"], p["epsilon"]) for p in grid], features=features, label="y")
-    cells = [F.struct(F.lit(_ptext(p)).alias("params"), SVR.linear_value(fits["all", i][0], features).alias("y_hat"))
-             for i, p in enumerate(grid)]
-    return (valid.select(*keys, "y", F.explode(F.array(*cells)).alias("__p"))
-                 .select(F.lit("svr").alias("model"), "__p.params", *keys, "y", "__p.y_hat"))
-
-
-def knn_family(train, valid, features, keys, grid=KNN_GRID):
-    """The keys themselves, written as one JSON text, are the identity of a row."""
-    kmax = max(p["n_neighbors"] for p in grid)
-    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("__id")
-    vec = F.array(*[F.col(c).cast("double") for c in features]).alias("__v")
-    neigh = KNN.knn_neighbours(train.select(key, vec, "y"), valid.select(key, vec), id_col="__id", vec_col="__v",
-                               label="y", kmax=kmax)
-    pred = KNN.knn_predict(neigh, id_col="__id", ks=[p["n_neighbors"] for p in grid])
-    j = valid.select(key, *keys, "y").join(pred, "__id")
-    return j.select(F.lit("knn").alias("model"),
-                    F.concat(F.lit('{"n_neighbors": '), F.col("k").cast("string"), F.lit("}")).alias("params"),
-                    *keys, "y", "y_hat")
-
-
-FAMILIES = {"linear": linear_family, "forest": forest_family, "adaboost": adaboost_family,
-            "svr": svr_family, "knn": knn_family}
-
-
 def study_grids(with_pca: bool) -> dict:
     """The reference's two study grids: 72 configurations with PCA (all seven
     model kinds), 22 without (least squares, lasso, forest with log2, AdaBoost)."""

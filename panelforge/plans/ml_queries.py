@@ -15,6 +15,8 @@ from ..ml import prep as M
 from ..ml import split as S
 from ..ml import svr as SVR
 from ..ml import trees as TR
+from ..ml import zoo as Z
+from ..ml.store import ArtifactStore, rows_fingerprint
 from ..operators import columns as C
 from .bindings import EVENT_TYPES, model_frame, panel_e, panel_n, with_ctes
 from .catalog import register
@@ -337,27 +339,19 @@ def null_cv_average(spark, sf_dir):
 _TEST_GRID = [("linear", {}), ("lasso", {"alpha": 0.1}), ("ridge", {"alpha": 10.0})]
 
 
-def _test_predictions(spark, sf_dir, feature: str) -> DataFrame:
-    """The last fold's models are stored as artefacts (Spark ML writers, with
-    an index partitioned by fold), loaded back by a partition filter on the
-    index and applied to the test rows."""
+def _test_predictions(spark, sf_dir, features, grids: dict, frame=model_frame) -> DataFrame:
+    """The last fold's models are fitted and stored, then opened from the store and applied to the test rows."""
     from ..session import scratch_path
-    mf = model_frame(spark, sf_dir)
+    mf = frame(spark, sf_dir)
     cut = S.cutoff_days(mf, "d", [0.8, 0.9])
     day = S.day_number("d")
-    lab = F.when(day <= cut[0.8], "train").when(day > cut[0.9], "test")
-    fr = mf.withColumn("split", lab).withColumn("fold", F.lit(LAST_FOLD)).where(F.col("split").isNotNull())
-    store = scratch_path(spark, "models")
-    G.run_grid(fr, _TEST_GRID, features=[feature], target="test", model_dir=store)
-    models = G.load_models(spark, store, LAST_FOLD)
-    test = L.assemble(fr.where(F.col("split") == "test"), [feature])
-    out = None
-    for (kind, ptxt), m in sorted(models.items()):
-        p = m.transform(test).select(F.lit(LAST_FOLD).alias("fold"), F.lit(kind).alias("model"),
-                                     F.lit(ptxt).alias("params"), "entity", "d", "y",
-                                     F.col(m.getPredictionCol()).alias("y_hat"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    cols = ["entity", "d", "y", *features]
+    train, test = mf.where(day <= cut[0.8]).select(cols), mf.where(day > cut[0.9]).select(cols)
+    store = ArtifactStore(spark, scratch_path(spark, "models"))
+    rows = rows_fingerprint(train, cols)
+    for _, _, _, opener in G.fit_units(store, train, grids, features=features, rows=rows, study=rows, fold=LAST_FOLD):
+        opener()
+    return G.predict_stored(ArtifactStore(spark, store.root), rows, LAST_FOLD, test, features=features)
 
 
 _TEST_CTES = (_fold_sql_ctes() + ", "
@@ -365,11 +359,23 @@ _TEST_CTES = (_fold_sql_ctes() + ", "
               + _one_feature_sql("trainlast", "testset", "x7", _TEST_GRID, by_fold=False, sfx="_x7") + "\n")
 
 
-@register("score_test", _TEST_CTES + """
+@register("score_test", _fold_sql_ctes() + ", "
+          + _one_feature_sql("trainlast", "testset", "x", G.linear_grid(), by_fold=False) + """
 SELECT model, params, round(avg((y - y_hat) * (y - y_hat)), 6) AS mse, round(avg(abs(y - y_hat)), 6) AS mae
-  FROM pred_x GROUP BY model, params""")
+  FROM pred GROUP BY model, params""")
 def score_test(spark, sf_dir):
-    return E.score(_test_predictions(spark, sf_dir, "x"), by=("model", "params"))
+    pred = _test_predictions(spark, sf_dir, ["x"], {"linear": G.linear_grid()})
+    return E.score(pred, by=("model", "params"))
+
+
+@register("score_test_families")
+def score_test_families(spark, sf_dir):
+    """Stored SVR, kNN, AdaBoost and forest models on the test rows: all points of the first three grids, and the
+    smallest forest of each feature rule."""
+    grids = {"svr": Z.SVR_GRID, "knn": Z.KNN_GRID, "adaboost": Z.ADABOOST_GRID,
+             "forest": [p for p in Z.FOREST_GRID if p["n_estimators"] == min(q["n_estimators"] for q in Z.FOREST_GRID)]}
+    pred = _test_predictions(spark, sf_dir, ["x", "x7"], grids)
+    return E.score(pred, by=("model", "params"))
 
 
 def _label_sql(rel: str, v: int) -> str:
@@ -378,13 +384,11 @@ def _label_sql(rel: str, v: int) -> str:
 
 @register("test_mae", _TEST_CTES + f"""
 SELECT label, split_part(label, ' - ', 1) AS model, right(label, 1) AS version, round(avg(abs(y - y_hat)), 6) AS mae
-  FROM ({_label_sql('pred_x', 1)} UNION ALL {_label_sql('pred_x7', 2)}) t
- WHERE model IN ('linear', 'ridge') GROUP BY label""")
+  FROM ({_label_sql('pred_x', 1)} UNION ALL {_label_sql('pred_x7', 2)}) t GROUP BY label""")
 def test_mae(spark, sf_dir):
-    from .. import functions as X
     parts = []
     for v, feat in ((1, "x"), (2, "x7")):
-        p = _test_predictions(spark, sf_dir, feat).where(F.col("model").isin("linear", "ridge"))
+        p = _test_predictions(spark, sf_dir, [feat], {"linear": _TEST_GRID})
         parts.append(p.select(F.concat(F.col("model"), F.lit(f" - v{v}")).alias("label"), "y", "y_hat"))
     pred = parts[0].unionByName(parts[1])
     s = pred.groupBy("label").agg(F.round(F.avg(F.abs(F.col("y") - F.col("y_hat"))), 6).alias("mae"))

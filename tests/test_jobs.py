@@ -213,11 +213,11 @@ def test_study_and_reports(spark):
                          x1, None if t % 9 == 0 else x2))
     panel = spark.createDataFrame(rows, f"fips string, date date, {study.TARGET} double, a double, b double")
     res = study.run_study(panel, grid=[("linear", {}), ("lasso", {"alpha": 5.0})])
-    avg = {r["model"]: r["mae"] for r in res["average"].collect()}
+    avg = {r["model"]: r["mae"] for r in res.average.collect()}
     assert avg["linear"] < 0.5 < avg["lasso"]
-    assert res["all_validations"].count() == 6
+    assert res.all_validations.count() == 6
     pca = study.run_study(panel, with_pca=True, grid=[("linear", {})])
-    assert pca["average"].count() == 1
+    assert pca.average.count() == 1
     rep = study.report_tables(panel, corr_columns=["a", "b"])
     miss = {r["column"]: r["pct_missing"] for r in rep["missing_by_column"].collect()}
     assert miss["a"] == 0.0 and abs(miss["b"] - 100 * 7 / 60) < 1e-9
@@ -266,11 +266,54 @@ def test_study_all_model_families(spark):
              "adaboost": [{"n_estimators": 2}, {"n_estimators": 4}],
              "knn": [{"n_neighbors": 3}, {"n_neighbors": 5}]}
     res = study.run_study(panel, with_pca=True, grids=grids)
-    rows = res["all_validations"].collect()
+    rows = res.all_validations.collect()
     assert len(rows) == 9 * 3
-    avg = {(r["model"], r["params"]): r["mae"] for r in res["average"].collect()}
+    avg = {(r["model"], r["params"]): r["mae"] for r in res.average.collect()}
     null = float(np.mean([abs(r[2] - np.mean([x[2] for x in panel.collect()])) for r in panel.collect()]))
     assert avg[("linear", "{}")] < null / 3 and avg[("knn", '{"n_neighbors": 5}')] < null
+    _check_test_scoring_and_tables(spark, panel, res, grids)
+
+
+def _check_test_scoring_and_tables(spark, panel, res, grids):
+    """Test rows through the stored preparation and models; a second run opens all; every table is read back."""
+    import numpy as np
+    from panelforge.ml.families import FAMILIES
+    n = res.store.index().count()
+    assert n == 3 * (1 + 2 * 5)                          # a preparation, five models and their predictions a fold
+    again = study.run_study(panel.repartition(3), store=res.store.root, with_pca=True, grids=grids)
+    assert again.id == res.id and again.store.index().count() == n
+    more = {"linear": grids["linear"], "knn": [{"n_neighbors": 4}]}
+    assert study.run_study(panel, store=res.store.root, with_pca=True, grids=more).store.index().count() == n + 6
+    pred = study.test_predictions(res, panel).collect()
+    days = sorted({r["date"] for r in panel.collect()})
+    assert len(pred) == 9 * 4 * 4 and {r["date"] for r in pred} == set(days[-4:])
+    assert {(r["model"], r["params"]) for r in pred} == {(r["model"], r["params"]) for r in res.average.collect()}
+    # least squares by hand: train rows of the last fold, standardised, PCA keeps both components here
+    rows = sorted(panel.collect(), key=lambda r: (r["date"], r["fips"]))
+    cut = days[round(0.8 * (len(days) - 1))]
+    tr = [r for r in rows if r["date"] <= cut]
+    X, y = np.array([[r["a"], r["b"], 1.0] for r in tr]), np.array([r[study.TARGET] for r in tr])
+    w = np.linalg.lstsq(X, y, rcond=None)[0]
+    truth = {(r["fips"], r["date"]): r["a"] * w[0] + r["b"] * w[1] + w[2] for r in rows}
+    for r in pred:
+        if r["model"] == "linear":
+            assert abs(r["y_hat"] - truth[r["fips"], r["date"]]) < 1e-6
+    mae = study.test_mae({1: study.test_predictions(res, panel), 2: study.test_predictions(again, panel)}).collect()
+    assert len(mae) == 18 and {r["version"] for r in mae} == {"1", "2"}
+    by = {r["label"]: r["mae"] for r in mae}
+    own = [abs(r["y"] - r["y_hat"]) for r in pred if r["model"] == "linear"]
+    assert abs(by["linear {} - v1"] - np.mean(own)) < 1e-6 and by["linear {} - v1"] == by["linear {} - v2"]
+    tables = study.write_tables(study.study_tables(res, panel), scratch_path(spark, "tables"))
+    got = {k: spark.read.parquet(v) for k, v in tables.items()}
+    assert got["null_models"].count() == 6 and got["null_average"].count() == 2
+    best = {r["model"]: r["mae"] for r in got["best_by_model"].collect()}
+    for m in best:
+        assert best[m] == min(r["mae"] for r in res.average.collect() if r["model"] == m)
+    wide = got["prediction_table"]
+    assert set(wide.columns) == {"fips", "date", "y", "global_mean", "entity_mean", *best}
+    last = res.predictions.where(F.col("fold") == res.last_fold)
+    assert wide.count() == last.select("fips", "date").distinct().count() and wide.dropna().count() == wide.count()
+    assert got["entity_mae"].count() == 4 and len(FAMILIES) == 5
 
 
 def test_svr_grid_in_one_pass_matches_separate_fits(spark):

@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelforge.ml import evaluate as E
+from panelforge.ml import families
 from panelforge.ml import grid as G
 from panelforge.ml import knn as KNN
 from panelforge.ml import linear as L
 from panelforge.ml import svr as SVR
 from panelforge.ml import trees as TR
+from panelforge.ml.store import ArtifactStore
 
 
 def _reg_data(n=400, seed=0):
@@ -154,16 +156,131 @@ def test_feature_subset_mapping():
     assert TR.feature_subset("log2", 9) == "3" and TR.feature_subset("sqrt", 9) == "3"
 
 
-def test_grid_runner_resumes_from_artefacts(spark, tmp_path):
+def _fold_frame(spark, change=0.0):
     pdf = _reg_data(200)
     pdf["fold"], pdf["entity"] = "f", 1
     pdf["split"] = np.where(np.arange(200) < 150, "train", "validation")
     pdf["d"] = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(200)]
-    df = spark.createDataFrame(pdf)
-    grid = [("linear", {}), ("ridge", {"alpha": 1.0})]
-    a = E.score(G.run_grid(df, grid, features=["x1", "x2"], model_dir=str(tmp_path))).collect()
-    b = E.score(G.run_grid(df, grid, features=["x1", "x2"], model_dir=str(tmp_path))).collect()
-    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    pdf.loc[3, "y"] += change
+    return spark.createDataFrame(pdf)
+
+
+FAMILY_GRIDS = {"linear": [("linear", {}), ("lasso", {"alpha": 0.1}), ("ridge", {"alpha": 1.0})],
+                "svr": [{"C": 1.0, "epsilon": 0.1}, {"C": 0.1, "epsilon": 0.1}],
+                "forest": [{"n_estimators": 3, "max_features": "auto"}, {"n_estimators": 2, "max_features": "log2"}],
+                "adaboost": [{"n_estimators": 2}, {"n_estimators": 4}],
+                "knn": [{"n_neighbors": 3}, {"n_neighbors": 5}]}
+
+
+def _fits(monkeypatch):
+    """Names of the families in the order in which they are fitted."""
+    from panelforge.ml import families
+    made = []
+    for name, family in families.FAMILIES.items():
+        def fit(*a, own=type(family).fit, family=family, name=name):
+            made.append(name)
+            return own(family, *a)
+        monkeypatch.setattr(family, "fit", fit, raising=False)
+    return made
+
+
+def test_grid_runner_resumes_from_artefacts(spark, tmp_path, monkeypatch):
+    made = _fits(monkeypatch)
+    df, features = _fold_frame(spark), ["x1", "x2"]
+
+    def run(frame, grids=FAMILY_GRIDS, **k):
+        return G.run_grid(frame, grids, store=ArtifactStore(spark, str(tmp_path)), features=features, study="s", **k)
+    part = {"linear": FAMILY_GRIDS["linear"], "forest": FAMILY_GRIDS["forest"][:1]}
+    run(df, part)                                                # a run that was stopped early
+    assert made == ["linear", "forest"]
+    a = sorted(map(tuple, run(df).collect()))
+    assert sorted(made[2:]) == ["adaboost", "forest", "knn", "svr"] and len(a) == 50 * 11
+    assert sorted(map(tuple, run(df.repartition(5)).collect())) == a and len(made) == 6      # all opened
+    # other rows, features or parameters are fitted anew
+    run(_fold_frame(spark, 1.0), part)
+    assert len(made) == 8
+    G.run_grid(df, part, store=ArtifactStore(spark, str(tmp_path)), features=["x1"], study="s")
+    assert len(made) == 10
+    run(df, {"forest": FAMILY_GRIDS["forest"]}, seed=1)
+    assert len(made) == 12
+
+
+def test_stored_models_predict_unseen_rows_like_the_fitted_ones(spark, tmp_path, monkeypatch):
+    made = _fits(monkeypatch)
+    df, features = _fold_frame(spark), ["x1", "x2"]
+    train = df.where("split = 'train'").select("entity", "d", "y", *features)
+    test = df.where("split = 'validation'").select("entity", "d", "y", *features)
+    store = ArtifactStore(spark, str(tmp_path))
+    want = []
+    for name, unit, _, opener in G.fit_units(store, train, FAMILY_GRIDS, features=features, rows="r", study="s", fold="f"):
+        p = families.FAMILIES[name].predict(opener(), test, features, ("entity", "d"), unit)
+        want += [(r["model"], r["params"], r["d"], r["y"], r["y_hat"]) for r in p.collect()]
+    n = len(made)
+    got = G.predict_stored(ArtifactStore(spark, str(tmp_path)), "s", "f", test, features=features)
+    got = [(r["model"], r["params"], r["d"], r["y"], r["y_hat"]) for r in got.collect()]
+    assert len(made) == n and len(got) == 50 * 11
+    for a, b in zip(sorted(got), sorted(want)):
+        assert a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-12
+    some = G.predict_stored(store, "s", "f", test, features=features, grids={"knn": FAMILY_GRIDS["knn"]})
+    assert {r["model"] for r in some.select("model").distinct().collect()} == {"knn"}
+    with pytest.raises(ValueError, match="no stored model"):
+        G.predict_stored(store, "s", "other", test, features=features)
+
+
+def test_artefact_is_found_only_after_it_was_written(spark, tmp_path):
+    store = ArtifactStore(spark, str(tmp_path))
+
+    def stop(model, path):
+        spark.range(3).write.parquet(path)
+        raise RuntimeError("stopped")
+    with pytest.raises(RuntimeError):
+        store.get("model", "p", make=lambda: 1, save=stop, load=None)
+    assert ArtifactStore(spark, str(tmp_path)).find("model", "p") is None
+    made, known = store.get("model", "p", make=lambda: 7, save=lambda m, path: spark.range(m).write.parquet(path),
+                            load=None, study="s", fold="f")
+    assert (made, known) == (7, False)
+    opened, known = ArtifactStore(spark, str(tmp_path)).get("model", "p", make=None, save=None,
+                                                            load=lambda p: spark.read.parquet(p).count())
+    assert (opened, known) == (7, True)
+    assert [e["fold"] for e in store.entries("model", "s")] == ["f"] and store.entries("model", "s", "g") == []
+
+
+def test_rows_fingerprint(spark):
+    from panelforge.ml.store import rows_fingerprint as fp
+    a = spark.createDataFrame([(1, None), (None, 1), (2, 3)], "x int, y int")
+    assert fp(a, ["x", "y"]) == fp(a.orderBy("x").repartition(3), ["x", "y"])
+    others = [a.select("y", "x"), a.limit(0), a.unionAll(a), a.where("x = 2 or y = 1"),
+              spark.createDataFrame([(1, None), (1, None), (2, 3)], "x int, y int"),
+              a.withColumn("x", F.col("x").cast("long"))]
+    assert len({fp(o, o.columns) for o in others} | {fp(a, ["x", "y"])}) == 7
+
+
+def test_preparation_of_unseen_rows(spark, tmp_path):
+    from panelforge.ml import prep as M
+    rng = np.random.default_rng(2)
+    rows = [(s, None if rng.random() < .2 else float(rng.normal(3, 2)), float(rng.normal()), 4.0, None)
+            for s in ["train"] * 40 + ["validation"] * 9 + ["test"] * 12]
+    df = spark.createDataFrame(rows, "split string, a double, b double, c double, e double")
+    cols = ["a", "b", "c", "e"]
+    for pca in (False, True):
+        fitted = M.fit_preparation(df.where("split <> 'test'"), columns=cols, with_pca=pca, threshold=0.6)
+        fitted.save(spark, f"{tmp_path}/{pca}")
+        opened = M.Preparation.load(spark, f"{tmp_path}/{pca}")
+        assert opened.statistics() == fitted.statistics() and opened.features == fitted.features
+        got = np.array([list(r)[1:] for r in opened.apply(df.where("split = 'test'")).collect()], float)
+        x = np.array([[np.nan if v is None else v for v in r[1:]] for r in rows], float)
+        tr = x[:40]
+        med = np.array([np.nanmedian(tr[:, j]) if not np.isnan(tr[:, j]).all() else 0.0 for j in range(4)])
+        fill = lambda m: np.where(np.isnan(m), med, m)
+        std = fill(tr).std(axis=0)
+        want = (fill(x[49:]) - fill(tr).mean(axis=0)) / np.where(std > 0, std, 1.0)
+        if pca:
+            z = (fill(tr) - fill(tr).mean(axis=0)) / np.where(std > 0, std, 1.0)
+            e, v = np.linalg.eigh(np.cov(z.T))
+            v = v[:, ::-1][:, :opened.kept]
+            want = want @ v
+            want = want * np.sign((want * got).sum(axis=0))     # the largest loadings may be equal
+        assert np.allclose(got, want, atol=1e-9)
 
 
 def test_group_min_mixes_rows_but_best_is_row_consistent(spark):
