@@ -14,8 +14,11 @@ Spark (normal equations by treeAggregate of X'X, OWL-QN for L1).
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
@@ -81,32 +84,81 @@ ALPHAS = [0.01, 0.05, 0.1, 0.5, 1, 5, 10, 50, 100, 500, 1000]
 # for the statistics and one scan to score all points, instead of one Spark
 # fit per point.
 
-import numpy as np  # noqa: E402
+#: Partial blocks that the driver takes; more are merged in tasks first.
+GRAM_FAN_IN = 256
+
+
+def _merged(a, b):
+    """(n, means, centred products) of two disjoint sets of rows together."""
+    if a is None:
+        return b
+    (n, m, g), (n2, m2, g2) = a, b
+    d, both = m2 - m, n + n2
+    return both, m + d * (n2 / both), g + g2 + np.outer(d, d) * (n * n2 / both)
+
+
+def _merge_batches(batches):
+    """One block per group out of a task's blocks."""
+    total: dict = {}
+    kind = None
+    for b in batches:
+        kind = b.schema.field("g").type
+        for r in b.to_pylist():
+            k = len(r["mean"])
+            total[r["g"]] = _merged(total.get(r["g"]),
+                                    (r["n"], np.array(r["mean"]), np.array(r["gram"]).reshape(k, k)))
+    if total:
+        yield _blocks(total, kind)
+
+
+def _blocks(total: dict, kind) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(total), kind), pa.array([v[0] for v in total.values()], pa.int64()),
+         pa.array([v[1].tolist() for v in total.values()], pa.list_(pa.float64())),
+         pa.array([v[2].ravel().tolist() for v in total.values()], pa.list_(pa.float64()))], ["g", "n", "mean", "gram"])
+
+
+def _block_of(batches):
+    """One (n, means, centred products) block per group of a task's rows (g, x0, ..., y)."""
+    total: dict = {}
+    kind = None
+    for b in batches:
+        kind = b.schema.field("g").type
+        codes = b.column("g").dictionary_encode("encode")
+        z = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[1:]])
+        index = codes.indices.to_numpy()
+        for i, key in enumerate(codes.dictionary.to_pylist()):
+            rows = z[index == i]
+            mean = rows.mean(axis=0)
+            rows = rows - mean
+            total[key] = _merged(total.get(key), (len(rows), mean, rows.T @ rows))
+    if total:
+        yield _blocks(total, kind)
 
 
 def gram_by_group(df: DataFrame, features: Sequence[str], label: str, by: str) -> dict:
     """{group: (n, mean_x, mean_y, Sxx, Sxy)} with centred sums (rows with a
-    missing feature or label are skipped)."""
+    missing feature or label are skipped).
+
+    Each task sums the products of its rows around its own means; the blocks
+    are merged pairwise with the means' differences, so nothing cancels
+    however far the data lie from 0. One block of (k + 1)^2 numbers per task
+    and group is moved.
+    """
     k = len(features)
-    clean = df.dropna(subset=[*features, label])
-    x = [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
-    aggs += [F.sum(x[i]).alias(f"sx{i}") for i in range(k)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"sxx{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(x[i] * y).alias(f"sxy{i}") for i in range(k)]
-    out = {}
-    for r in clean.groupBy(by).agg(*aggs).collect():
-        n = float(r["n"])
-        mx = np.array([r[f"sx{i}"] for i in range(k)]) / n
-        my = r["sy"] / n
-        sxx = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"] - n * mx[i] * mx[j]
-        sxy = np.array([r[f"sxy{i}"] - n * mx[i] * my for i in range(k)])
-        out[r[by]] = (n, mx, my, sxx, sxy)
-    return out
+    data = df.select(F.col(by).alias("g"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)],
+                     F.col(label).cast("double").alias("y")).dropna(subset=[*[f"x{i}" for i in range(k)], "y"])
+    schema = f"g {data.schema['g'].dataType.simpleString()}, n long, mean array<double>, gram array<double>"
+    blocks = data.mapInArrow(_block_of, schema)
+    tasks = data.rdd.getNumPartitions()
+    while tasks > GRAM_FAN_IN:
+        tasks = max(GRAM_FAN_IN, math.isqrt(tasks))
+        blocks = blocks.repartition(tasks).mapInArrow(_merge_batches, schema)
+    total: dict = {}
+    for r in blocks.collect():
+        total[r["g"]] = _merged(total.get(r["g"]),
+                                (r["n"], np.array(r["mean"]), np.array(r["gram"]).reshape(k + 1, k + 1)))
+    return {g: (float(n), m[:k], float(m[k]), s[:k, :k], s[:k, k]) for g, (n, m, s) in total.items()}
 
 
 def lasso_cd(gram: np.ndarray, cov: np.ndarray, alpha: float, tol: float = 1e-13,

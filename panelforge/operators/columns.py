@@ -36,9 +36,24 @@ def one_hot(c, categories: Sequence, prefix: str) -> list[Column]:
     return [F.when(col == F.lit(v), 1).otherwise(0).alias(f"{prefix}_{v}") for v in categories]
 
 
-def observed_categories(df: DataFrame, c: str) -> list:
-    """Distinct values of a low-cardinality column (sorted)."""
-    return sorted(r[0] for r in df.select(c).distinct().collect() if r[0] is not None)
+#: Columns that a dummy expansion makes at most.
+MAX_CATEGORIES = 1000
+
+
+class TooManyCategories(ValueError):
+    """A column has more distinct values than a dummy expansion may make columns."""
+
+
+def observed_categories(df: DataFrame, c: str, *, most: int = MAX_CATEGORIES) -> list:
+    """Distinct values of a low-cardinality column (sorted, without null).
+
+    At most ``most`` values reach the driver; a column with more is an error,
+    since each value becomes a column of the plan.
+    """
+    found = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise TooManyCategories(f"column {c!r} has more than {most} distinct values")
+    return sorted(r["v"] for r in found)
 
 
 def select_pattern(columns: Sequence[str], *, keep: Iterable[str] = (), prefix: Iterable[str] = (),

@@ -213,6 +213,20 @@ def pca_project(spark, sf_dir):
     return M.pca_project(z, model, m, signs, columns=EVENT_TYPES)
 
 
+@register("pca_project_pair", _std_sql().split("SELECT entity, d, round(")[0] + """, zs AS (
+  SELECT entity, d, split, (click - m_click) / s_click AS a, (view - m_view) / s_view AS b FROM imp, ms),
+r AS (SELECT corr(click, view) AS r FROM imp WHERE split = 'train')
+SELECT entity, d, split, round(abs(a + sign(r) * b) / sqrt(2), 6) AS pc1_size,
+       round(abs(a - sign(r) * b) / sqrt(2), 6) AS pc2_size FROM zs, r""")
+def pca_project_pair(spark, sf_dir):
+    """Two standardised columns: the components are (a + b) / sqrt 2 and (a - b) / sqrt 2, signs aside."""
+    pair = ["click", "view"]
+    z = _standardized(spark, sf_dir).select("entity", "d", "split", *pair)
+    model, _, signs = M.fit_pca(z, columns=pair, k=2, threshold=0.0)
+    p = M.pca_project(z, model, 2, signs, columns=pair)
+    return p.select("entity", "d", "split", *[F.round(F.abs(f"pc{i}"), 6).alias(f"pc{i}_size") for i in (1, 2)])
+
+
 # ---- linear family: one-feature fits vs closed forms ------------------------
 
 def _fit_sql(kind: str, alpha: float | None) -> str:
@@ -235,6 +249,20 @@ def fit_linear(spark, sf_dir):
     return _fit_spark(spark, sf_dir, "linear", None)
 
 
+@register("fit_linear_pair", with_ctes(""", s AS (
+  SELECT avg(x) AS m1, avg(x7) AS m2, avg(y) AS my, var_pop(x) AS s11, var_pop(x7) AS s22, covar_pop(x, x7) AS s12,
+         covar_pop(x, y) AS s1y, covar_pop(x7, y) AS s2y FROM mf),
+w AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS w1,
+             (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS w2 FROM s)
+SELECT round(w1, 6) AS slope_x, round(w2, 6) AS slope_x7, round(my - w1 * m1 - w2 * m2, 6) AS intercept FROM w""", "mf"))
+def fit_linear_pair(spark, sf_dir):
+    """Least squares on two features from the merged Gram blocks, against the normal equations."""
+    mf = model_frame(spark, sf_dir).withColumn("g", F.lit("all"))
+    w, b = L.solve_linear("linear", {}, L.gram_by_group(mf, ["x", "x7"], "y", "g")["all"])
+    row = [(round(float(w[0]), 6), round(float(w[1]), 6), round(b, 6))]
+    return spark.createDataFrame(row, "slope_x double, slope_x7 double, intercept double")
+
+
 @register("fit_lasso", _fit_sql("lasso", 0.5))
 def fit_lasso(spark, sf_dir):
     return _fit_spark(spark, sf_dir, "lasso", 0.5)

@@ -7,6 +7,9 @@ oracle reads the original table.
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..ml import evaluate as E
@@ -98,6 +101,25 @@ def scan_json_rows(spark, sf_dir):
     return IO.scan_json_rows(spark, _land_json_rows(spark, sf_dir))
 
 
+@register("scan_json_row_lines", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders""")
+def scan_json_row_lines(spark, sf_dir):
+    """The orders landed as row arrays with a row a line (a part file is one document), and read again."""
+    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select([F.col(c).cast("string").alias(c) for c in cols])
+    path = scratch_path(spark, "row-lines")
+
+    def lines(batches):
+        held = "[" + json.dumps(cols)                     # a row is written when it is known what follows it
+        for b in batches:
+            rows = [held, *map(json.dumps, zip(*[c.to_pylist() for c in b.columns]))]
+            held = rows.pop()
+            yield pa.RecordBatch.from_arrays([pa.array([r + "," for r in rows], pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([held + "]"])], ["value"])
+    o.mapInArrow(lines, "value string").write.text(path)
+    return IO.scan_json_row_lines(spark, path)
+
+
 @register("select_manifest", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation")
 def select_manifest(spark, sf_dir):
     data = IO.scan_json_rows(spark, _land_json_rows(spark, sf_dir))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
@@ -66,9 +66,42 @@ def scan_fixed_width(spark: SparkSession, path: str, fields: Sequence[FixedField
     return lines.select(*cols)
 
 
+def _row_line(value) -> Column:
+    """A line of a row array as one row: the outer brackets and the comma after the row are taken off."""
+    return F.regexp_replace(F.regexp_replace(value, r"^\s*(\[\s*)?(?=\[)", ""), r"\]\s*[,\]]?\s*$", "]")
+
+
+def scan_json_row_lines(spark: SparkSession, path: str) -> DataFrame:
+    """JSON tables (an array of arrays, the header first) whose rows stand on lines of their own.
+
+    A line break never stands inside a JSON string, so it is a record boundary
+    at which Spark splits a file: one large document is read by many tasks.
+    The header is the first line of the first file; rows equal to it are the
+    headers of further files. A row of another length or a line that is no
+    row is an error when the rows are read. Values stay text.
+
+    Defined cases: blank lines and lines of the outer brackets alone are
+    skipped; no file with a row gives an error.
+    """
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*[\[\]]?\s*$"))
+    first = lines.select(F.from_json(_row_line("value"), "array<string>").alias("row")).head(1)
+    if not first or first[0]["row"] is None:
+        raise ValueError(f"no header row in {path}")
+    header = first[0]["row"]
+    rows = lines.select("value", F.from_json(_row_line("value"), "array<string>").alias("row"))
+    bad = F.raise_error(F.concat(F.lit(f"not a row of {len(header)} values: "), F.substring("value", 1, 200)))
+    whole = F.col("row").isNotNull() & (F.size("row") == len(header))
+    rows = rows.select(F.when(whole, F.col("row")).otherwise(bad.cast("array<string>")).alias("row"))
+    rows = rows.where(~F.col("row").eqNullSafe(F.array(*[F.lit(h) for h in header])))
+    return rows.select(*[F.col("row")[i].alias(h) for i, h in enumerate(header)])
+
+
 def scan_json_rows(spark: SparkSession, path: str, *, whole_file: bool = False) -> DataFrame:
     """JSON tables stored as an array of arrays whose first row is the header.
 
+    A document is one record here; ``scan_json_row_lines`` reads one large
+    document, written with a row a line, in many tasks.
+
     One document per line (or per file with ``whole_file``); every document
     must carry the same header. Values stay text (codes, no-data markers);
     typing is the caller's step. The header is collected once (one short row

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 
 from panelforge.operators import columns as C
@@ -112,3 +113,39 @@ def test_join_helpers(spark):
     lat = spark.createDataFrame([(2019, 1), (2020, 2), (2020, 3)], "yr int, v int")
     assert sorted(r["v"] for r in J.filter_latest(lat, "yr").collect()) == [2, 3]
 
+
+
+def test_json_row_lines_are_split_inside_a_document(spark, tmp_path):
+    import json
+    header = ["NAME", "a]", "b"]
+    rows = [[f'x],\n["{i}"]', None if i % 7 == 0 else f"[{i}],", str(i)] for i in range(5000)]
+    text = "[" + ",\n".join(json.dumps(r) for r in [header, *rows]) + "]"
+    path = tmp_path / "one.json"
+    path.write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        df = IO.scan_json_row_lines(spark, str(path))
+        assert df.rdd.getNumPartitions() > 3 and df.columns == header
+        assert sorted((list(r) for r in df.collect()), key=lambda r: int(r[2])) == rows
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    # brackets on lines of their own, blank lines, two files with the same header
+    (tmp_path / "two").mkdir()
+    for n in (1, 2):
+        (tmp_path / "two" / f"{n}.json").write_text(f'[\n\n  ["h", "k"] ,\n ["{n}", "v"]\n]\n')
+    got = IO.scan_json_row_lines(spark, str(tmp_path / "two"))
+    assert sorted(map(tuple, got.collect())) == [("1", "v"), ("2", "v")]
+    (tmp_path / "bad.json").write_text('[["h", "k"],\n["1"]]')
+    with pytest.raises(Exception, match="not a row of 2 values"):
+        IO.scan_json_row_lines(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_observed_categories_are_bounded(spark):
+    from panelforge.operators import columns as C
+    df = spark.range(30).select((F.col("id") % 3).alias("a"), F.when(F.col("id") > 2, F.col("id")).alias("b"))
+    assert C.observed_categories(df, "a", most=3) == [0, 1, 2]
+    with pytest.raises(C.TooManyCategories):
+        C.observed_categories(df, "b", most=26)
+    assert len(C.observed_categories(df, "b", most=27)) == 27

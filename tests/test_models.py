@@ -322,3 +322,24 @@ def test_svr_raises_when_out_of_passes(spark):
     df = spark.createDataFrame(_reg_data(100, seed=3))
     with pytest.raises(SVR.SVRNotConverged):
         SVR.fit_linear_svr(df, features=["x1", "x2"], C=0.5, epsilon=0.1, max_passes=3)
+
+
+@pytest.mark.parametrize("fan_in", [256, 1])
+def test_gram_blocks_do_not_cancel(spark, fan_in, monkeypatch):
+    monkeypatch.setattr(L, "GRAM_FAN_IN", fan_in)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 2)) + 1e8
+    y = (x[:, 0] - 1e8) * 2 - (x[:, 1] - 1e8) + rng.normal(size=3000) * 0.1 + 1e8
+    pdf = pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y, "g": np.where(np.arange(3000) % 3 == 0, "p", "q")})
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame(
+        [(None, 1.0, 1.0, "p"), (1.0, 1.0, None, "q"), (5.0, 6.0, 7.0, None)],
+        "a double, b double, y double, g string")).repartition(5)
+    got = L.gram_by_group(df, ["a", "b"], "y", "g")
+    assert set(got) == {"p", "q", None} and got[None][0] == 1 and not got[None][3].any()
+    for g in ("p", "q"):
+        z = pdf[pdf.g == g][["a", "b", "y"]].to_numpy() - 1e8        # exact: the shift is a whole number
+        c = np.cov(z.T, bias=True) * len(z)
+        n, mx, my, sxx, sxy = got[g]
+        assert n == len(z) and np.allclose(sxx, c[:2, :2], rtol=1e-6) and np.allclose(sxy, c[:2, 2], rtol=1e-6)
+        assert np.allclose([*mx, my], z.mean(axis=0) + 1e8, rtol=1e-14)
+    assert L.gram_by_group(df.limit(0), ["a", "b"], "y", "g") == {}
