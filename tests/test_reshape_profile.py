@@ -98,7 +98,8 @@ def test_exact_quantiles_match_pandas(spark):
     n = 3001
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], n), "x": rng.normal(size=n),
                         "y": np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n))})   # a hot value
-    got = exact_quantiles(spark.createDataFrame(pdf), ["x", "y"], 0.5, by="g", n_buckets=8, small=20)
+    got = exact_quantiles(spark.createDataFrame(pdf), ["x", "y"], 0.5, by="g", n_buckets=8, small=20, counted=0)
+    assert got == exact_quantiles(spark.createDataFrame(pdf), ["x", "y"], 0.5, by="g")       # counted by value
     for (g, c), v in got.items():
         assert v == pdf[pdf.g == g][c].median()
     assert exact_quantiles(spark.createDataFrame(pdf), ["x"], 0.3)[(None, "x")] == pdf.x.quantile(0.3)
