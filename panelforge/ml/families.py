@@ -41,13 +41,6 @@ def _named(df: DataFrame, model: str, params: dict, keys: Sequence[str]) -> Data
     return df.select(F.lit(model).alias("model"), F.lit(params_text(params)).alias("params"), *keys, "y", "y_hat")
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 class _Weights:
     """Families whose fitted points are weight vectors, the intercept last: {(model, params text): weights}."""
 
@@ -134,8 +127,8 @@ class AdaBoost:
         return [(t, r["weight"]) for t, r in zip(trees, rows)]
 
     def predict(self, fitted, df, features, keys, unit) -> DataFrame:
-        return _union([_named(TR.predict_adaboost(fitted, df, features, n_estimators=p["n_estimators"]),
-                              "adaboost", p, keys) for p in unit])
+        found = TR.predict_adaboost_sizes(fitted, df, features, {params_text(p): p["n_estimators"] for p in unit})
+        return found.select(F.lit("adaboost").alias("model"), F.col("name").alias("params"), *keys, "y", "y_hat")
 
 
 class Knn:

@@ -121,24 +121,41 @@ def fit_adaboost(train: DataFrame, *, features: Sequence[str], label: str = "y",
     return ensemble
 
 
-def predict_adaboost(ensemble, df: DataFrame, features: Sequence[str], n_estimators: int | None = None,
-                     out: str = "y_hat") -> DataFrame:
-    """Weighted median of the first ``n_estimators`` trees' predictions."""
-    use = ensemble[: n_estimators or len(ensemble)]
+def _tree_predictions(ensemble, df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """df with one column per tree."""
     cur = VectorAssembler(inputCols=list(features), outputCol="__f").transform(df)
-    pcols = []
-    for i, (tree, _) in enumerate(use):
+    for i, (tree, _) in enumerate(ensemble):
         t = tree.copy()
         t.setFeaturesCol("__f").setPredictionCol(f"__p{i}")
         cur = t.transform(cur)
-        pcols.append(f"__p{i}")
-    pairs = F.array(*[F.struct(F.col(p).alias("p"), F.lit(w).alias("w")) for p, (_, w) in zip(pcols, use)])
-    half = 0.5 * sum(w for _, w in use)
-    # one running sum over the sorted predictions; the first to reach half of the weight is the median
+    return cur, [f"__p{i}" for i in range(len(ensemble))]
+
+
+def _weighted_median(columns: Sequence[str], weights: Sequence[float]):
+    """One running sum over the sorted values; the first to reach half of the weight is the median."""
+    pairs = F.array(*[F.struct(F.col(p).alias("p"), F.lit(w).alias("w")) for p, w in zip(columns, weights)])
+    half = 0.5 * sum(weights)
     start = F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("double").alias("p"))
-    med = F.aggregate(F.array_sort(pairs), start, lambda a, s: F.struct(
+    return F.aggregate(F.array_sort(pairs), start, lambda a, s: F.struct(
         (a["c"] + s["w"]).alias("c"),
         F.when(a["p"].isNull() & (a["c"] + s["w"] >= F.lit(half)), s["p"]).otherwise(a["p"]).alias("p")),
         lambda a: a["p"])
-    keep = [c for c in df.columns]
-    return cur.select(*keep, med.alias(out))
+
+
+def predict_adaboost(ensemble, df: DataFrame, features: Sequence[str], n_estimators: int | None = None,
+                     out: str = "y_hat") -> DataFrame:
+    """Weighted median of the first ``n_estimators`` trees' predictions."""
+    use = ensemble[: n_estimators or len(ensemble)]
+    cur, columns = _tree_predictions(use, df, features)
+    return cur.select(*df.columns, _weighted_median(columns, [w for _, w in use]).alias(out))
+
+
+def predict_adaboost_sizes(ensemble, df: DataFrame, features: Sequence[str], sizes: dict[str, int]) -> DataFrame:
+    """df's rows once per size ({name: trees}), with ``name`` and ``y_hat``; each tree is applied once."""
+    use = ensemble[:max(sizes.values())]
+    cur, columns = _tree_predictions(use, df, features)
+    weights = [w for _, w in use]
+    cells = [F.struct(F.lit(name).alias("name"), _weighted_median(columns[:n], weights[:n]).alias("y_hat"))
+             for name, n in sizes.items()]
+    return cur.select(*df.columns, F.explode(F.array(*cells)).alias("__s")).select(
+        *df.columns, "__s.name", "__s.y_hat")

@@ -221,6 +221,11 @@ def test_stored_models_predict_unseen_rows_like_the_fitted_ones(spark, tmp_path,
     assert len(made) == n and len(got) == 50 * 11
     for a, b in zip(sorted(got), sorted(want)):
         assert a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-12
+    entry = next(e for e in store.entries("model", "s", "f") if e["family"] == "adaboost")
+    trees = families.FAMILIES["adaboost"].load(spark, entry["path"])
+    for n in (2, 4):                                             # a prefix of the ensemble, by itself
+        own = {r["d"]: r["y_hat"] for r in TR.predict_adaboost(trees, test, features, n_estimators=n).collect()}
+        assert {d: v for m, p, d, _, v in got if p == f'{{"n_estimators": {n}}}' and m == "adaboost"} == own
     some = G.predict_stored(store, "s", "f", test, features=features, grids={"knn": FAMILY_GRIDS["knn"]})
     assert {r["model"] for r in some.select("model").distinct().collect()} == {"knn"}
     with pytest.raises(ValueError, match="no stored model"):
