@@ -5,13 +5,14 @@ per-bucket totals whose count is fixed by a parameter."""
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranges as R
+
 
 def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
@@ -82,125 +83,69 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = 6) -
     return row.select(F.explode(F.array(*cells)).alias("s")).select("s.a", "s.b", "s.r")
 
 
-def _bucket_bounds(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.approxQuantile(col, qs, 0.001) if qs else []
-    return sorted(set(b for b in bounds if b is not None))
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(c, v): every value that is not missing, with its column."""
+    return (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
+                                          for c in cols])).alias("s"))
+            .select("s.c", "s.v").where(F.col("v").isNotNull()))
+
+
+def _long_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(p, x, y, c): distinct value pairs of every column pair's complete rows, with their counts."""
+    return (df.select(F.explode(F.array(*[
+        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(),
+               F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")))
+        for i, (a, b) in enumerate(pairs)])).alias("s")).where(F.col("s").isNotNull()).select("s.*")
+        .groupBy("p", "x", "y").agg(F.count(F.lit(1)).alias("c")))
 
 
-def average_rank(df: DataFrame, col: str, out: str = "rank", n_buckets: int = 64) -> DataFrame:
-    """Average rank of ``col`` (ties share the mean of their positions).
+def average_rank(df: DataFrame, col: str, out: str = "rank", **ranges) -> DataFrame:
+    """Average rank of ``col`` (ties share the mean of their positions); a missing value gets no rank."""
+    return average_ranks(df, [col], "__r_", **ranges).withColumnRenamed(f"__r_{col}", out)
 
-    Distributed prefix sum: distinct values with counts (partial aggregate),
-    cut into value ranges by approximate quantiles; per-range totals (one row
-    per range) give each range its offset; within a range, a window sums the
-    counts of smaller values. A hot value is one row of the distinct table,
-    so no task holds a large group. Rows with a missing value get no rank.
+
+def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", *, held: list | None = None,
+                  **ranges) -> DataFrame:
+    """Average ranks of several columns with shared jobs.
+
+    Distributed prefix sum over distinct values with counts (a partial
+    aggregate, so a hot value is one row): value ranges of bounded size
+    (``ranges``: ``bound`` and ``fanout`` of ``ranges.cut_ranges``), a prefix
+    sum over the ranges, and a window inside each range.
     """
-    vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__cnt"))
-    bounds = _bucket_bounds(df.where(F.col(col).isNotNull()), col, n_buckets)
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    v = F.col(col).cast("double")
-    bucket = F.size(F.filter(arr, lambda b: b < v))
-    vals = vals.withColumn("__b", bucket)
-    totals = {r["__b"]: r["t"] for r in vals.groupBy("__b").agg(F.sum("__cnt").alias("t")).collect()}
-    offsets, run = {}, 0
-    for b in sorted(totals):
-        offsets[b] = run
-        run += totals[b]
-    off_map = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in offsets.items()))
-    w = Window.partitionBy("__b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = vals.select(col, (off_map[F.col("__b")] + F.coalesce(F.sum("__cnt").over(w), F.lit(0))
-                               + (F.col("__cnt") + 1) / 2.0).alias(out))
-    return df.join(ranked, col, "left")
-
-
-def average_ranks(df: DataFrame, cols: Sequence[str], prefix: str = "__r_", n_buckets: int | None = 64,
-                  values_per_bucket: int = 2_000_000, max_buckets: int = 1024) -> DataFrame:
-    """Average ranks of several columns with shared jobs (same method as
-    ``average_rank``: distinct values, quantile ranges, per-range offsets).
-    ``n_buckets=None`` sizes the ranges so one window partition holds about
-    ``values_per_bucket`` distinct values."""
     cols = list(cols)
-    long = (df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
-                                          for c in cols])).alias("s"))
-              .select("s.c", "s.v").where(F.col("v").isNotNull()))
-    vals = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("__cnt")).persist(StorageLevel.MEMORY_AND_DISK)
-    if n_buckets is None:
-        most = vals.groupBy("c").count().agg(F.max("count")).first()[0] or 0
-        n_buckets = int(min(max_buckets, max(64, -(-most // values_per_bucket))))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, qs, 0.001)
-    bucket = None
-    for c, bs in zip(cols, bounds):
-        arr = F.array(*[F.lit(float(b)) for b in sorted(set(bs))]) if bs else F.array().cast("array<double>")
-        e = F.size(F.filter(arr, lambda b: b < F.col("v")))
-        bucket = F.when(F.col("c") == c, e) if bucket is None else bucket.when(F.col("c") == c, e)
-    vals = vals.withColumn("__b", bucket)
-    totals = vals.groupBy("c", "__b").agg(F.sum("__cnt").alias("t")).collect()
-    offsets, run = {}, {}
-    for r in sorted(totals, key=lambda r: (r["c"], r["__b"])):
-        offsets[f"{r['c']}|{r['__b']}"] = run.get(r["c"], 0)
-        run[r["c"]] = run.get(r["c"], 0) + r["t"]
-    off_map = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in offsets.items()))
-    w = Window.partitionBy("c", "__b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = vals.select("c", "v", (off_map[F.concat_ws("|", F.col("c"), F.col("__b").cast("string"))]
-                                    + F.coalesce(F.sum("__cnt").over(w), F.lit(0))
-                                    + (F.col("__cnt") + 1) / 2.0).alias("__rank"))
+    values = _long(df, cols).groupBy("c", "v").agg(F.count(F.lit(1)).alias("__cnt"))
+    ranked = R.value_ranks(values, "c", "v", "__cnt", held=held, **ranges)
     out = df
     for c in cols:
-        rc = ranked.where(F.col("c") == c).select(F.col("v").alias(f"__v_{c}"), F.col("__rank").alias(prefix + c))
+        rc = ranked.where(F.col("c") == c).select(F.col("v").alias(f"__v_{c}"), F.col("rank").alias(prefix + c))
         out = (out.join(rc, F.col(c).cast("double") == F.col(f"__v_{c}"), "left").drop(f"__v_{c}"))
     return out
 
 
-def _pair_ranks(long: DataFrame, side: str, pairs, bounds: dict) -> DataFrame:
-    """Average ranks of one side ('x' or 'y') within each pair: distinct
-    (pair, value) counts, quantile ranges per pair, per-range offsets and a
-    window inside each range (a hot value is one row of the distinct table)."""
-    vals = long.groupBy("p", side).agg(F.count(F.lit(1)).alias("__cnt"))
-    b = None
-    for i, pr in enumerate(pairs):
-        col = pr[0] if side == "x" else pr[1]
-        arr = F.array(*[F.lit(float(v)) for v in bounds[col]]) if bounds[col] else F.array().cast("array<double>")
-        e = F.size(F.filter(arr, lambda t: t < F.col(side)))
-        b = F.when(F.col("p") == i, e) if b is None else b.when(F.col("p") == i, e)
-    vals = vals.withColumn("__b", b).persist(StorageLevel.MEMORY_AND_DISK)
-    offsets, run = {}, {}
-    for r in sorted(vals.groupBy("p", "__b").agg(F.sum("__cnt").alias("t")).collect(),
-                    key=lambda r: (r["p"], r["__b"])):
-        offsets[f"{r['p']}|{r['__b']}"] = run.get(r["p"], 0)
-        run[r["p"]] = run.get(r["p"], 0) + r["t"]
-    off_map = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in offsets.items()))
-    w = Window.partitionBy("p", "__b").orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = vals.select("p", side, (off_map[F.concat_ws("|", F.col("p").cast("string"), F.col("__b").cast("string"))]
-                                     + F.coalesce(F.sum("__cnt").over(w), F.lit(0))
-                                     + (F.col("__cnt") + 1) / 2.0).alias(f"r{side}"))
-    return ranked, vals
-
-
-def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], n_buckets: int = 64) -> dict:
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], **ranges) -> dict:
     """Spearman correlation of several column pairs, each on its own complete
-    rows, in shared jobs (ranks per pair, joined back once per side)."""
-    pairs = list(pairs)
-    cols = sorted({c for p in pairs for c in p})
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bnd = dict(zip(cols, df.select(*[F.col(c).cast("double").alias(c) for c in cols]).approxQuantile(cols, qs, 0.001)))
-    bnd = {c: sorted(set(v)) for c, v in bnd.items()}
-    long = (df.select(F.explode(F.array(*[
-        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(),
-               F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")))
-        for i, (a, b) in enumerate(pairs)])).alias("s")).where(F.col("s").isNotNull()).select("s.*"))
-    (rx, vx), (ry, vy) = _pair_ranks(long, "x", pairs, bnd), _pair_ranks(long, "y", pairs, bnd)
-    joined = long.join(rx, ["p", "x"]).join(ry, ["p", "y"])
-    got = {r["p"]: r["r"] for r in joined.groupBy("p").agg(F.corr("rx", "ry").alias("r")).collect()}
-    vx.unpersist()
-    vy.unpersist()
+    rows, in shared jobs: distinct value pairs with counts, ranks per pair
+    joined to them, and weighted moments about the known mean rank."""
+    pairs, held = list(pairs), []
+    cells = _long_pairs(df, pairs).persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(cells)
+    joined = cells
+    for side in ("x", "y"):
+        values = cells.groupBy("p", side).agg(F.sum("c").alias("__cnt"))
+        ranked = R.value_ranks(values, "p", side, "__cnt", held=held, **ranges)
+        joined = joined.join(ranked.withColumnRenamed("rank", f"r{side}"), ["p", side])
+    total = cells.groupBy("p").agg(((F.sum("c") + 1) / 2.0).alias("m"))          # one row per pair of columns
+    u, v, c = F.col("rx") - F.col("m"), F.col("ry") - F.col("m"), F.col("c")
+    got = {r["p"]: r["r"] for r in joined.join(F.broadcast(total), "p").groupBy("p").agg(
+        F.sum(c * u * v).alias("uv"), F.sum(c * u * u).alias("uu"), F.sum(c * v * v).alias("vv"))
+        .select("p", F.try_divide(F.col("uv"), F.sqrt(F.col("uu") * F.col("vv"))).alias("r")).collect()}
+    for h in held:
+        h.unpersist()
     return {pr: got.get(i) for i, pr in enumerate(pairs)}
 
 
-def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
-                  n_buckets: int | None = None) -> DataFrame:
+def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6, **ranges) -> DataFrame:
     """Spearman correlation = Pearson correlation of average ranks.
 
     Columns without missing values are ranked together once (shared jobs); a
@@ -212,14 +157,17 @@ def corr_spearman(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
     complete = [c for c in cols if not nulls[c]]
     pairs = {}
     if len(complete) > 1:
-        ranked = average_ranks(df.select(*complete), complete, "__r_", n_buckets)
+        held: list = []
+        ranked = average_ranks(df.select(*complete), complete, "__r_", held=held, **ranges)
         exprs = [F.corr(f"__r_{a}", f"__r_{b}").alias(f"{a}|{b}")
                  for i, a in enumerate(complete) for b in complete[i + 1:]]
         row = ranked.agg(*exprs).first()
         pairs.update({tuple(k.split("|")): row[k] for k in row.asDict()})
+        for h in held:
+            h.unpersist()
     rest = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if (a, b) not in pairs]
     if rest:
-        pairs.update(spearman_pairs(df, rest, n_buckets or 64))
+        pairs.update(spearman_pairs(df, rest, **ranges))
     rows = []
     for a in cols:
         for b in cols:
@@ -398,76 +346,67 @@ def _selected_quantiles(rows: DataFrame, columns: Sequence[str], q: float, n_buc
 
 # ---- Kendall tau-b without a table of pairs --------------------------------
 
-def _weighted_inversions(xs, ys, ws) -> int:
-    """Weighted count of pairs with x_i < x_j and y_i > y_j (cells are distinct (x, y))."""
+def _weighted_inversions(xs, ys, ws) -> float:
+    """Weighted count of pairs with x_i < x_j and y_i > y_j (cells are distinct (x, y)).
+
+    Two different ranks of y first differ in one binary digit, below a common
+    prefix: for every digit, the weight of earlier cells of the same prefix
+    with a 1 there is summed over the cells with a 0 there.
+    """
     import numpy as np
-    order = np.lexsort((ys, xs))
-    ys, ws = np.asarray(ys)[order], np.asarray(ws)[order]
-    ranks = np.searchsorted(np.unique(ys), ys) + 1
-    size = int(ranks.max()) if len(ranks) else 0
-    tree = [0] * (size + 1)
-    total, seen = 0, 0
-    for r, w in zip(ranks.tolist(), ws.tolist()):
-        le, i = 0, r                       # weight already inserted with rank <= r
-        while i > 0:
-            le += tree[i]
-            i -= i & -i
-        total += w * (seen - le)
-        i = r
-        while i <= size:
-            tree[i] += w
-            i += i & -i
-        seen += w
+    order = np.lexsort((ys, xs))                          # equal x: y rises, no inversion
+    rank = np.unique(np.asarray(ys)[order], return_inverse=True)[1]
+    w = np.asarray(ws, np.float64)[order]
+    total = 0.0
+    for digit in range(int(rank.max(initial=0)).bit_length()):
+        o = np.argsort(rank >> (digit + 1), kind="stable")
+        node, one, weight = (rank >> (digit + 1))[o], ((rank >> digit) & 1)[o], w[o]
+        ones = weight * one
+        run = np.cumsum(ones)
+        first = np.searchsorted(node, node, "left")
+        total += float((weight * (1 - one) * (run - run[first] + ones[first])).sum())
     return total
 
 
-def _bucket(col: str, bounds: list[float]):
-    """Monotone bucket id: values equal to a bound get their own (odd) bucket."""
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    v = F.col(col).cast("double")
-    return (F.size(F.filter(arr, lambda b: b < v)) * 2 + F.array_contains(arr, v).cast("int")).cast("int")
-
-
-def kendall_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], n_buckets: int | None = None,
-                  rows_per_bucket: int = 2_000_000, max_buckets: int = 1024) -> dict:
+def _grid_inversions(grid: DataFrame) -> dict:
+    """The same count over (p, xb, yb, c) cells of range numbers, in Spark: one
+    aggregate and one window serve all digits of yb. A window partition holds
+    at most one row per x range."""
+    top = grid.agg(F.max("yb")).first()[0]
+    if not top:
+        return {}
+    digits = F.sequence(F.lit(0), F.lit(int(top).bit_length() - 1))
+    at = (grid.select("p", "xb", "yb", F.col("c").cast("double").alias("c"), F.explode(digits).alias("digit"))
+          .select("p", "xb", "c", "digit", F.expr("shiftright(yb, digit + 1)").alias("node"),
+                  F.expr("shiftright(yb, digit) & 1").alias("one")))
+    sums = at.groupBy("p", "digit", "node", "xb").agg(F.sum(F.col("c") * F.col("one")).alias("ones"),
+                                                      F.sum(F.col("c") * (1 - F.col("one"))).alias("zeros"))
+    w = Window.partitionBy("p", "digit", "node").orderBy("xb").rowsBetween(Window.unboundedPreceding, -1)
+    met = sums.select("p", (F.col("zeros") * F.coalesce(F.sum("ones").over(w), F.lit(0.0))).alias("d"))
+    return {r["p"]: r["d"] for r in met.groupBy("p").agg(F.sum("d").alias("d")).collect()}
+
+
+def kendall_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], **ranges) -> dict:
     """Kendall's tau-b for several column pairs at once (pairwise-complete rows).
 
-    Discordant pairs = pairs in different x- and y-buckets (from the bucket
-    count matrix, (2B+1)^2 cells, with 2-D prefix sums on the driver) + pairs
-    inside one y-bucket + pairs inside one x-bucket - pairs inside one
-    (x, y)-bucket cell. The inside counts are weighted inversion counts over
-    distinct (x, y) cells of one bucket (``applyInPandas``); quantile buckets
-    bound their size, and a hot value sits alone in an exact-value bucket
-    (which holds no discordant pair, so it is never shipped). Any monotone
-    bucketing is exact, so the bounds come from each column once and serve
-    every pair. All pairs share the same jobs.
+    Distinct (x, y) cells with counts are cut into x and y ranges of bounded
+    size (``ranges``: ``bound`` and ``fanout`` of ``ranges.cut_ranges``).
+    Discordant pairs = pairs in different x and y ranges (prefix sums over the
+    cells of range numbers, in Spark) + pairs inside one y range + pairs inside
+    one x range - pairs inside both. The inside counts are weighted inversion
+    counts of one range (``applyInPandas``); a hot value is a range of its own,
+    holds no discordant pair and is never shipped. All pairs share the jobs.
     """
-    import numpy as np
     import pandas as pd
-    pairs = list(pairs)
-    cols = sorted({c for p in pairs for c in p})
-    if n_buckets is None:
-        n = df.count()
-        n_buckets = int(min(max_buckets, max(32, -(-n // rows_per_bucket))))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = dict(zip(cols, df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-                              .approxQuantile(cols, qs, 0.001)))
-    bounds = {c: sorted(set(b)) for c, b in bounds.items()}
-    long = (df.select(F.explode(F.array(*[
-        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(),
-               F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")))
-        for i, (a, b) in enumerate(pairs)])).alias("s")).where(F.col("s").isNotNull()).select("s.*"))
-    cells = long.groupBy("p", "x", "y").agg(F.count(F.lit(1)).alias("c"))
-
-    def bucket_of(side: str):
-        e = None
-        for i, pr in enumerate(pairs):
-            col = pr[0] if side == "x" else pr[1]
-            b = _bucket(side, bounds[col])
-            e = F.when(F.col("p") == i, b) if e is None else e.when(F.col("p") == i, b)
-        return e
-    cells = (cells.withColumn("xb", bucket_of("x")).withColumn("yb", bucket_of("y"))
-                  .persist(StorageLevel.MEMORY_AND_DISK))
+    pairs, held = list(pairs), []
+    cells = R.cut_ranges(_long_pairs(df, pairs), "p", "x", out="__xr", held=held, **ranges)
+    cells = R.cut_ranges(cells, "p", "y", out="__yr", held=held, **ranges)
+    for side in ("x", "y"):
+        t = R.range_table(cells, "p", side, F.col("c"), name=f"__{side}r")
+        cells = cells.join(t.select("p", f"__{side}r", F.col("__no").alias(f"{side}b"),
+                                    F.col("__single").alias(f"{side}1")), ["p", f"__{side}r"])
+    cells = cells.drop("__xr", "__yr").persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(cells)
     tie = lambda t: F.sum(F.col(t) * (F.col(t) - 1) / 2)
     n_all = {r["p"]: (r["n"], r["n3"]) for r in cells.groupBy("p").agg(
         F.sum("c").alias("n"), tie("c").alias("n3")).collect()}
@@ -475,56 +414,46 @@ def kendall_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]], n_buckets: in
           .groupBy("p").agg(tie("t").alias("v")).collect()}
     n2 = {r["p"]: r["v"] for r in cells.groupBy("p", "y").agg(F.sum("c").alias("t"))
           .groupBy("p").agg(tie("t").alias("v")).collect()}
-    grids: dict = {}
-    for r in cells.groupBy("p", "xb", "yb").agg(F.sum("c").alias("c")).collect():
-        grids.setdefault(r["p"], []).append((r["xb"], r["yb"], r["c"]))
-    size_y = {i: 2 * len(bounds[b]) + 1 for i, (_, b) in enumerate(pairs)}
-    keys = F.array(
-        F.when(F.col("xb") % 2 == 0, F.struct(F.lit(0).alias("k"), F.col("xb").cast("long").alias("i"))),
-        F.when(F.col("yb") % 2 == 0, F.struct(F.lit(1).alias("k"), F.col("yb").cast("long").alias("i"))),
-        F.when((F.col("xb") % 2 == 0) & (F.col("yb") % 2 == 0),
-               F.struct(F.lit(2).alias("k"), (F.col("xb").cast("long") * 100_000 + F.col("yb")).alias("i"))))
-    grouped = (cells.select("p", "x", "y", "c", F.explode(keys).alias("g")).where(F.col("g").isNotNull())
-               .select("p", F.col("g.k").alias("k"), F.col("g.i").alias("i"), "x", "y", "c"))
+    apart = _grid_inversions(cells.groupBy("p", "xb", "yb").agg(F.sum("c").alias("c")))
+    none = F.lit(-1)
+    groups = F.array(
+        F.when(~F.col("x1"), F.struct(F.lit(1).alias("sign"), F.col("xb").alias("i"), none.alias("j"))),
+        F.when(~F.col("y1"), F.struct(F.lit(1).alias("sign"), none.alias("i"), F.col("yb").alias("j"))),
+        F.when(~F.col("x1") & ~F.col("y1"),
+               F.struct(F.lit(-1).alias("sign"), F.col("xb").alias("i"), F.col("yb").alias("j"))))
+    grouped = (cells.select("p", "x", "y", "c", F.explode(groups).alias("g")).where(F.col("g").isNotNull())
+               .select("p", "g.*", "x", "y", "c"))
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
         d = _weighted_inversions(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["c"].to_numpy())
-        return pd.DataFrame({"p": [int(pdf["p"].iat[0])], "k": [int(pdf["k"].iat[0])], "d": [float(d)]})
-    parts: dict = {}
-    for r in (grouped.groupBy("p", "k", "i").applyInPandas(inside, "p int, k int, d double")
-              .groupBy("p", "k").agg(F.sum("d").alias("d")).collect()):
-        parts[(r["p"], r["k"])] = r["d"]
-    cells.unpersist()
+        return pd.DataFrame({"p": [int(pdf["p"].iat[0])], "d": [int(pdf["sign"].iat[0]) * d]})
+    within = {r["p"]: r["d"] for r in grouped.groupBy("p", "sign", "i", "j").applyInPandas(inside, "p int, d double")
+              .groupBy("p").agg(F.sum("d").alias("d")).collect()}
+    for h in held:
+        h.unpersist()
     out = {}
     for i, pr in enumerate(pairs):
         if i not in n_all or n_all[i][0] < 2:
             out[pr] = None
             continue
         n, n3 = n_all[i]
-        sx = 2 * len(bounds[pr[0]]) + 1
-        m = np.zeros((sx, size_y[i]))
-        for xb, yb, c in grids[i]:
-            m[xb, yb] = c
-        before = np.cumsum(m, axis=0) - m                              # sum over a < b
-        above = np.cumsum(before[:, ::-1], axis=1)[:, ::-1] - before   # sum over c > d
-        n_d = float((m * above).sum()) + parts.get((i, 0), 0.0) + parts.get((i, 1), 0.0) - parts.get((i, 2), 0.0)
+        n_d = apart.get(i, 0.0) + within.get(i, 0.0)
         n0 = n * (n - 1) / 2
         den = ((n0 - (n1.get(i) or 0)) * (n0 - (n2.get(i) or 0))) ** 0.5
         out[pr] = None if den == 0 else (n0 - (n1.get(i) or 0) - (n2.get(i) or 0) + (n3 or 0) - 2 * n_d) / den
     return out
 
 
-def kendall_tau_b(df: DataFrame, a: str, b: str, n_buckets: int | None = None) -> float | None:
+def kendall_tau_b(df: DataFrame, a: str, b: str, **ranges) -> float | None:
     """Kendall's tau-b of two columns over their complete rows."""
-    return kendall_pairs(df, [(a, b)], n_buckets)[(a, b)]
+    return kendall_pairs(df, [(a, b)], **ranges)[(a, b)]
 
 
-def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6,
-                 n_buckets: int | None = None) -> DataFrame:
+def corr_kendall(df: DataFrame, columns: Sequence[str], digits: int | None = 6, **ranges) -> DataFrame:
     """Kendall tau-b matrix (pairwise-complete rows) as (a, b, r); all pairs in shared jobs."""
     cols = list(columns)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    vals = kendall_pairs(df, pairs, n_buckets) if pairs else {}
+    vals = kendall_pairs(df, pairs, **ranges) if pairs else {}
     rows = [(a, b, 1.0 if a == b else vals.get((a, b), vals.get((b, a)))) for a in cols for b in cols]
     out = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     return out.withColumn("r", F.round("r", digits)) if digits is not None else out

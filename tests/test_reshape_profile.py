@@ -67,7 +67,7 @@ def test_spearman_matches_pandas(spark):
     pdf["c"] = pdf["a"] * 2 + rng.normal(size=300)
     pdf.loc[::17, "c"] = np.nan                  # pairwise-complete path
     df = spark.createDataFrame(pdf)
-    got = {(r["a"], r["b"]): r["r"] for r in A.corr_spearman(df, ["a", "b", "c"], n_buckets=8).collect()}
+    got = {(r["a"], r["b"]): r["r"] for r in A.corr_spearman(df, ["a", "b", "c"], bound=20, fanout=4).collect()}
     exp = pdf.corr(method="spearman")
     for (x, y), v in got.items():
         assert abs(v - exp.loc[x, y]) < 1e-6
@@ -82,10 +82,30 @@ def test_pearson_matrix(spark):
 
 def test_average_rank_ties(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0), (4, 7.0)], "k int, v double")
-    got = {r["k"]: r["rank"] for r in A.average_rank(df, "v", n_buckets=2).collect()}
+    got = {r["k"]: r["rank"] for r in A.average_rank(df, "v", bound=1, fanout=2).collect()}
     assert got == {1: 2.5, 2: 2.5, 3: 1.0, 4: 4.0}
 
 
+def test_ranges_are_cut_again_until_small(spark):
+    """Three levels at least: every range is under the bound or one value, and ranges are in order."""
+    from panelforge.operators import ranges as R
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.lognormal(0, 4, 600), np.full(200, 3.0)])
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, len(v)), "v": v})
+    held: list = []
+    rows = R.cut_ranges(spark.createDataFrame(pdf), "g", "v", bound=10, fanout=4, held=held)
+    assert len(held) >= 4                                   # uncut, then one table per level
+    got = rows.toPandas()
+    for g, part in got.groupby("g"):
+        sizes = part.groupby("__range").agg(n=("v", "size"), lo=("v", "min"), hi=("v", "max")).sort_index()
+        assert ((sizes.n <= 10) | (sizes.lo == sizes.hi)).all()
+        assert (sizes.hi.to_numpy()[:-1] < sizes.lo.to_numpy()[1:]).all()
+        ranked = A.average_rank(spark.createDataFrame(part[["v"]]), "v", bound=10, fanout=4).toPandas()
+        assert (ranked["rank"] == ranked["v"].rank()).all()
+    for h in held:
+        h.unpersist()
+
+
 def test_histogram_last_bin_closed(spark):
     df = spark.createDataFrame([(float(i),) for i in range(11)], "x double")
     got = {r["bin"]: r["count"] for r in A.histogram(df, ["x"], n_bins=5).collect()}
@@ -113,7 +133,7 @@ def test_kendall_tau_b_matches_pandas(spark):
                         "c": rng.normal(size=n)})
     pdf.loc[::13, "c"] = np.nan
     got = {(r["a"], r["b"]): r["r"] for r in A.corr_kendall(spark.createDataFrame(pdf), ["a", "b", "c"],
-                                                            n_buckets=4).collect()}
+                                                            bound=30, fanout=4).collect()}
     def tau_b(u, v):                       # brute force over all pairs (scipy is not available)
         m = ~(np.isnan(u) | np.isnan(v))
         u, v = u[m], v[m]
