@@ -35,7 +35,7 @@ def county_weather(spark: SparkSession, daily: DataFrame, stations: DataFrame, p
     wide = daily_wide(daily)
     # locate each station once (stations << station-days), then attach counties by id
     st = stations.select("id", "lat", "lon")
-    where = GEO.spatial_join(st, polygons, point_id="id", x="lon", y="lat", cell=cell) \
+    where = GEO.spatial_join(st, polygons, x="lon", y="lat", cell=cell) \
         .select("id", F.col("poly_id").alias("fips"))
     located = wide.join(where, "id", "inner")
     agg = located.groupBy("fips", "date").agg(*[F.avg(c).alias(c) for c in VARS])

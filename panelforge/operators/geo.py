@@ -3,13 +3,13 @@
 Polygons are rows ``(poly_id, ring_id, seq, x, y, is_hole)``; a ring closes
 from its last vertex back to its first. Points are two double columns.
 
-Point-in-polygon is two equi-joins instead of a spatial index:
-1. candidates: grid cells of each polygon's bounding box (``explode`` of a
-   ``sequence``) joined to the cell of each point;
-2. exact test: edges are exploded to the horizontal bands they span and
-   joined to the candidate's band, so each point meets only the edges that
-   can cross its ray. Even-odd crossings decide inside (holes included);
-   points on an edge count as inside.
+Point-in-polygon is one equi-join of points to a grid index of the polygons:
+a polygon has an entry for every grid cell of its bounding box, with the array
+of those of its edges that reach the cell's row, the only ones that a ray from
+a point of the cell can cross. Even-odd crossings over that array decide inside
+(holes included); points on an edge count as inside. An index whose size in
+bytes is under a bound is broadcast, and points are not shuffled at all; a
+larger one is joined on the grid cell.
 """
 
 from __future__ import annotations
@@ -47,45 +47,58 @@ def poly_area(vertices: DataFrame, **cols) -> DataFrame:
     return rings.groupBy("poly_id").agg(F.sum(signed).alias("area"))
 
 
-def spatial_join(points: DataFrame, vertices: DataFrame, *, point_id: str, x: str = "x", y: str = "y",
-                 cell: float = 1.0, band: float | None = None) -> DataFrame:
-    """Inner join of points to the polygons containing them (boundary counts as in).
+#: Bytes of a grid index that are sent to every executor.
+INDEX_BYTES = 32 << 20
+
+
+def polygon_index(vertices: DataFrame, *, cell: float = 1.0) -> DataFrame:
+    """(gx, gy, poly_id, bounding box, edges): one row per grid cell of each polygon's bounding box.
 
-    Returns the point columns plus ``poly_id``. ``cell`` is the grid size for
-    candidates, ``band`` the height of edge bands (default cell / 4).
+    ``edges`` are the edges whose height range meets the cell's row of the grid.
     """
-    band = band or cell / 4.0
-    pts = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    def at(v):
+        return F.floor(v / F.lit(cell)).cast("long")
     bbox = (vertices.groupBy("poly_id")
             .agg(F.min("x").alias("bx0"), F.max("x").alias("bx1"), F.min("y").alias("by0"), F.max("y").alias("by1")))
-    def cx(v):
-        return F.floor(v / F.lit(cell)).cast("long")
-    cy = cx
-    poly_cells = (bbox.select("poly_id", "bx0", "bx1", "by0", "by1",
-                              F.explode(F.sequence(cx(F.col("bx0")), cx(F.col("bx1")))).alias("gx"),
-                              F.sequence(cy(F.col("by0")), cy(F.col("by1"))).alias("gys"))
-                  .select("*", F.explode("gys").alias("gy")).drop("gys"))
-    pc = pts.select(point_id, F.col(x).alias("__px"), F.col(y).alias("__py"),
-                    cx(F.col(x)).alias("gx"), cy(F.col(y)).alias("gy"))
-    cand = (pc.join(poly_cells, ["gx", "gy"])
-              .where((F.col("__px") >= F.col("bx0")) & (F.col("__px") <= F.col("bx1"))
-                     & (F.col("__py") >= F.col("by0")) & (F.col("__py") <= F.col("by1")))
-              .select(point_id, "__px", "__py", "poly_id",
-                      F.floor(F.col("__py") / F.lit(band)).cast("long").alias("band")))
-    edges = ring_edges(vertices)
-    bands = edges.select("poly_id", "x1", "y1", "x2", "y2",
-                         F.explode(F.sequence(F.floor(F.least("y1", "y2") / F.lit(band)).cast("long"),
-                                              F.floor(F.greatest("y1", "y2") / F.lit(band)).cast("long")))
-                         .alias("band"))
-    j = cand.join(bands, ["poly_id", "band"])
-    px, py = F.col("__px"), F.col("__py")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    spans = (y1 > py) != (y2 > py)
-    crosses = F.when(spans, px < x1 + F.try_divide((py - y1) * (x2 - x1), y2 - y1)).otherwise(F.lit(False))
-    on_edge = (((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) == 0) \
-        & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2))
-    hits = (j.groupBy(point_id, "poly_id")
-             .agg(F.sum(crosses.cast("int")).alias("__n"), F.max(on_edge.cast("int")).alias("__on")))
-    inside = hits.where(((F.col("__n") % 2) == 1) | (F.col("__on") == 1)).select(point_id, "poly_id")
-    return points.join(inside, point_id)
+    rows = (ring_edges(vertices)
+            .select("poly_id", F.struct("x1", "y1", "x2", "y2").alias("edge"),
+                    F.explode(F.sequence(at(F.least("y1", "y2")), at(F.greatest("y1", "y2")))).alias("gy"))
+            .groupBy("poly_id", "gy").agg(F.collect_list("edge").alias("edges")))     # bounded by a polygon's edges
+    return rows.join(bbox, "poly_id").select(
+        "poly_id", "bx0", "bx1", "by0", "by1", "edges", "gy",
+        F.explode(F.sequence(at(F.col("bx0")), at(F.col("bx1")))).alias("gx"))
+
 
+def _holds(edges, px, py):
+    """Whether the even-odd rule over the edges puts the point inside, or it lies on an edge."""
+    def crosses(e):
+        spans = (e["y1"] > py) != (e["y2"] > py)
+        at = e["x1"] + F.try_divide((py - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
+        return F.when(spans, px < at).otherwise(F.lit(False))
+
+    def touches(e):
+        return ((((e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])) == 0)
+                & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+                & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+    return F.exists(edges, touches) | (F.size(F.filter(edges, crosses)) % 2 == 1)
+
+
+def spatial_join(points: DataFrame, vertices: DataFrame, *, x: str = "x", y: str = "y",
+                 cell: float = 1.0, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """Inner join of points to the polygons containing them (boundary counts as in).
+
+    Returns the point columns plus ``poly_id``, one row per point row and polygon; points with a missing
+    coordinate match nothing. ``cell`` is the grid size. An index of at most ``index_bytes`` is broadcast.
+    """
+    index = polygon_index(vertices, cell=cell)
+    cells, edges = index.agg(F.count(F.lit(1)), F.sum(F.size("edges"))).first()
+    fits = cells * 96 + (edges or 0) * 48 <= index_bytes
+    index = index.select("gx", "gy", *[F.col(c).alias(f"__{c}") for c in ("poly_id", "bx0", "bx1", "by0", "by1",
+                                                                         "edges")])
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    placed = points.where(px.isNotNull() & py.isNotNull()).select(
+        *points.columns, F.floor(px / F.lit(cell)).cast("long").alias("gx"),
+        F.floor(py / F.lit(cell)).cast("long").alias("gy"))
+    met = placed.join(F.broadcast(index) if fits else index, ["gx", "gy"])
+    near = met.where(px.between(F.col("__bx0"), F.col("__bx1")) & py.between(F.col("__by0"), F.col("__by1")))
+    return near.where(_holds(F.col("__edges"), px, py)).select(*points.columns, F.col("__poly_id").alias("poly_id"))

@@ -18,25 +18,30 @@ def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
-BROADCAST_MAX_ROWS = 1_000_000
+#: Bytes of a table that is sent to every executor by hint.
+BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the side's size (one count of a
-    small table); beyond ``max_rows`` the plain DataFrame is returned and the
-    join stays a shuffle join that AQE may still convert from run-time sizes."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan (files read, columns kept); nothing is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint where the estimated size is at most ``max_bytes``; beyond it the plain DataFrame is
+    returned and the join stays a shuffle join that AQE may still convert from run-time sizes."""
+    return F.broadcast(dim) if estimated_bytes(dim) <= max_bytes else dim
 
 
 def dim_join(fact: DataFrame, dim: DataFrame, on, how: str = "left", *, bounded: bool = False,
-             max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a fact table to a per-entity dimension.
 
     ``bounded=True`` marks a dimension bounded by a fixed hierarchy (e.g. 50
     states, 25 nations): it is broadcast after a size check; otherwise AQE
     decides from run-time sizes.
     """
-    return fact.join(broadcast_if_small(dim, max_rows) if bounded else dim, _keys(on), how)
+    return fact.join(broadcast_if_small(dim, max_bytes) if bounded else dim, _keys(on), how)
 
 
 def join_with_indicator(left: DataFrame, right: DataFrame, on, *, indicator: str = "_merge") -> DataFrame:

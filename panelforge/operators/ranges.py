@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Rows of a range that one task sorts.
-RANGE_ROWS = 2_000_000
+RANGE_ROWS = 200_000
 #: Quantiles at which a range above the bound is cut.
 FANOUT = 64
 #: Bytes of cut points or offsets that are sent to every executor.
@@ -46,7 +46,9 @@ def cut_ranges(rows: DataFrame, group: str, value: str, *, out: str = "__range",
     while True:
         large = (rows.where("__open").groupBy(*key)
                  .agg(F.count(F.lit(1)).alias("__n"), F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-                 .where((F.col("__n") > bound) & (F.col("__lo") < F.col("__hi"))).select(*key).checkpoint())
+                 .where((F.col("__n") > bound) & (F.col("__lo") < F.col("__hi"))).select(*key)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        held.append(large)
         n = large.count()
         if n == 0:
             return rows.drop("__open")
@@ -78,10 +80,14 @@ def range_table(rows: DataFrame, group: str, value: str, weight: Column, *, name
 def value_ranks(values: DataFrame, group: str, value: str, count: str, *, bound: int = RANGE_ROWS,
                 fanout: int = FANOUT, held: list | None = None) -> DataFrame:
     """(group, value, rank): average rank of every distinct value, which occurs ``count`` times in its group."""
+    held = [] if held is None else held
     rows = cut_ranges(values, group, value, bound=bound, fanout=fanout, held=held)
     w = Window.partitionBy(group, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     inner = F.coalesce(F.sum(count).over(w), F.lit(0)) + (F.col(count) + 1) / 2.0
     ranked = rows.select(group, value, "__range", inner.alias("__inner"))
     offsets = range_table(rows, group, value, F.col(count)).select(group, "__range", "__before")
-    return (ranked.join(offsets, [group, "__range"])
-            .select(group, value, (F.col("__before") + F.col("__inner")).alias("rank")))
+    out = (ranked.join(offsets, [group, "__range"])
+           .select(group, value, (F.col("__before") + F.col("__inner")).alias("rank"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    held.append(out)
+    return out

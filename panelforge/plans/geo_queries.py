@@ -52,7 +52,7 @@ def spatial_join(spark, sf_dir):
                    F.col("embedding")[1].cast("double").alias("y"))
     # the polygon set is a fixed literal (21 vertices): broadcast is size-bounded
     polys = F.broadcast(spark.createDataFrame(POLYGONS, _VSCHEMA))
-    return GEO.spatial_join(pts, polys, point_id="vec_id", cell=0.1).select("vec_id", "poly_id")
+    return GEO.spatial_join(pts, polys, cell=0.1).select("vec_id", "poly_id")
 
 
 # vertex layout taken from each embedding: outer ring of 4 points, hole of 3

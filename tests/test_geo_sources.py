@@ -27,9 +27,21 @@ def test_spatial_join_holes_borders_concave(spark):
     v = spark.createDataFrame(SQUARE_HOLE, SCHEMA)
     pts = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 4.0, 2.0), (4, 12.0, 3.0), (5, 12.0, 0.5),
                                  (6, None, 1.0), (7, 1.0, 1.5)], "pid int, x double, y double")
-    got = sorted(tuple(r) for r in GEO.spatial_join(pts, v, point_id="pid", cell=1.5).select("pid", "poly_id").collect())
+    got = sorted(tuple(r) for r in GEO.spatial_join(pts, v, cell=1.5).select("pid", "poly_id").collect())
     # 2 in the hole; 3 on the shared border -> both; 4 in the concave notch; 7 on the hole's edge -> in
     assert got == [(1, 1), (3, 1), (3, 2), (5, 3), (7, 1)]
+    for cell, size in ((0.25, 1 << 20), (1.5, 0), (100.0, 1 << 20)):       # any grid, joined or broadcast
+        j = GEO.spatial_join(pts, v, cell=cell, index_bytes=size)
+        assert sorted(tuple(r) for r in j.select("pid", "poly_id").collect()) == got
+
+
+def test_spatial_join_does_not_shuffle_points(spark):
+    v = spark.createDataFrame(SQUARE_HOLE, SCHEMA)
+    pts = spark.range(50).select(F.col("id").alias("pid"), (F.rand(1) * 14).alias("x"), (F.rand(2) * 4).alias("y"))
+    plan = GEO.spatial_join(pts, v)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("BroadcastExchange")[0]
+    points_side = [ln for ln in plan.splitlines() if "Exchange" in ln and "pid" in ln]
+    assert points_side == []
 
 
 def test_fixed_width_short_lines(spark):

@@ -47,13 +47,13 @@ def test_no_single_partition_exchange_outside_one_row_aggregates(spark):
 
 def test_broadcast_only_after_size_check(spark):
     from panelforge.operators import joins as J
-    small = spark.createDataFrame([(i, i) for i in range(5)], "k int, v int")
+    small = spark.range(5).selectExpr("id AS k", "id AS v")
     fact = spark.createDataFrame([(i % 5, i) for i in range(50)], "k int, x int")
-    hinted = fact.join(J.broadcast_if_small(small, max_rows=10), "k")
+    hinted = fact.join(J.broadcast_if_small(small, max_bytes=1 << 10), "k")
     assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plain = fact.join(J.broadcast_if_small(small, max_rows=2), "k")    # over the bound: no hint
+        plain = fact.join(J.broadcast_if_small(small, max_bytes=8), "k")    # over the bound: no hint
         assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

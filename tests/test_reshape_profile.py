@@ -94,8 +94,8 @@ def test_ranges_are_cut_again_until_small(spark):
     pdf = pd.DataFrame({"g": rng.integers(0, 2, len(v)), "v": v})
     held: list = []
     rows = R.cut_ranges(spark.createDataFrame(pdf), "g", "v", bound=10, fanout=4, held=held)
-    assert len(held) >= 4                                   # uncut, then one table per level
     got = rows.toPandas()
+    assert got["__range"].str.len().max() >= 3              # one digit per level
     for g, part in got.groupby("g"):
         sizes = part.groupby("__range").agg(n=("v", "size"), lo=("v", "min"), hi=("v", "max")).sort_index()
         assert ((sizes.n <= 10) | (sizes.lo == sizes.hi)).all()
