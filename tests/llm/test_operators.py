@@ -1,9 +1,12 @@
 """Each operator against a brute-force version on small tables, and on odd rows."""
 
 import hashlib
+import math
+import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -178,6 +181,70 @@ def test_secrets_random_runs(spark, odd, none):
     assert secret_scan.scan(odd).count() == odd.count() and secret_scan.scan(none).count() == 0
 
 
+def _random_spans(texts, least, model):
+    """All spans of the method, restated: runs outside base spans, e-value and battery."""
+    def base(t):
+        assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+        return ([m.span() for m in assign.finditer(t) if len(m[2]) >= 12]
+                + [m.span() for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+                + [m.span() for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16])
+    out = []
+    for t in texts:
+        taken, spans = base(t), []
+        for m in re.finditer("[A-Za-z0-9+/_-]{20,}", t):
+            if any(a < m.end() and b > m.start() for a, b in taken):
+                continue
+            x = m[0].replace("-", "") if re.fullmatch("[0-9a-f]+(-[0-9a-f]+)+|[0-9A-F]+(-[0-9A-F]+)+", m[0]) else m[0]
+            e = next(e for e in secret_scan.ENCODINGS if set(x) <= set(e))
+            a, n, at = len(e), len(x), [e.index(c) for c in x]
+            place = [secret_scan.ALL.index(c) for c in x]
+            k = sum((p >= a / 2) != (q >= a / 2) for p, q in zip(at, at[1:]))
+            alone = sum(model.one[c] for c in place) - n * math.log(a)
+            after = model.one[place[0]] + sum(model.two[p * 66 + q] for p, q in zip(place, place[1:])) - n * math.log(a)
+            halves = k * model.changes[e][0] + (n - 1 - k) * model.changes[e][1]
+            top = max(alone, after, halves)
+            score = top + math.log(sum(math.exp(v - top) for v in (alone, after, halves)) / 3)
+            z = [(sum(x.count(c) ** 2 for c in set(x)) * a / n - n - (a - 1)) / math.sqrt(2 * (a - 1) * (n - 1) / n)]
+            up = sum(p >= a / 2 for p in at)
+            mean = 2 * up * (n - up) / n + 1
+            spread = (mean - 1) * (mean - 2) / (n - 1)
+            z.append(abs(1 + k - mean) / math.sqrt(spread) if spread > 0 else 99)
+            mid = sum(at) / n
+            power = sum((p - mid) ** 2 for p in at)
+            z.append(abs(sum((p - mid) * (q - mid) for p, q in zip(at, at[1:])) / power) * math.sqrt(n) if power else 99)
+            if score >= least and max(z) <= secret_scan.ACCEPT:
+                spans.append(f"random:{m.start()}:{m.end()}")
+        out.append(spans)
+    return out
+
+
+def test_secrets_method_spans(spark):
+    """Planted random strings of every encoding are found, words and names are not; spans equal a restatement."""
+    rng = random.Random(3)
+    lower, digit = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = [lower, lower + digit, lower.upper() + "234567", "0123456789ABCDEF", lower + lower.upper() + digit + "+/"]
+    plain = [r["text"] or "" for r in docs(spark).values()]
+    names = ["configuration_manager_factory", "state-of-the-art-methods-here", "HTTP_SERVER_ERROR_CODE_TABLE",
+             "usr/local/lib/python/site-packages", "x" * 40, "ab" * 15]
+    planted = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (20, 24, 32, 48, 64) for _ in range(4)]
+    h = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(8)]
+    planted += ["-".join((x[:8], x[8:12], x[12:16], x[16:20], x[20:])) for x in h]
+    texts = plain + [f"see {x} here" for x in names + planted]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secret_scan.word_model(d)
+    words = {w for t in texts for w in re.split("[^A-Za-z0-9+/_-]+", t) if 0 < len(w) <= 19}
+    pairs = Counter((secret_scan.ALL.index(w[i - 1]) if i else -1, secret_scan.ALL.index(c))
+                    for w in words for i, c in enumerate(w))
+    want = secret_scan.WordModel([(*k, n) for k, n in pairs.items()])
+    assert (model.one, model.two, model.changes) == (want.one, want.two, want.changes)
+    least = secret_scan.evidence_threshold(d, model)
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("random")]
+           for r in secret_scan.scan(d).collect()}
+    assert [got[i] for i in range(len(texts))] == _random_spans(texts, least, model)
+    assert not any(got[i] for i in range(len(plain) + len(names)))
+    assert sum(len(got[i]) for i in range(len(plain) + len(names), len(texts))) >= 0.9 * len(planted)
+
+
 # ---- 3 and 8 ---------------------------------------------------------
 
 def test_language_held_out(spark, odd, none):
