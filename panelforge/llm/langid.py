@@ -13,9 +13,10 @@ all documents of a piece.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; so
 is every text if no language was learned. Rows without text or language are
-not learned from. Ties in frequency go by the n-gram, ties in distance by the
-language's name. Repeated rows count and are returned each. A text longer than
-a piece is counted in windows; the n-grams across a cut are left out.
+not learned from. Ties in frequency go by the n-gram's length, then its text, in
+documents as in languages; ties in distance go by the language's name. Repeated
+rows count and are returned each. A text longer than a piece is counted in
+windows that end between words, so that no n-gram is cut.
 """
 
 from __future__ import annotations
@@ -125,18 +126,33 @@ class _Piece:
         return np.where(there.all(1), code, -1)
 
 
+def _windows(text: str):
+    """Code points of the windows of a long text: about PIECE_CHARS each, cut after a character that is no letter."""
+    at, size = 0, PIECE_CHARS
+    while at < len(text):
+        end = min(at + size, len(text))
+        cp = _code_points([text[at:end]])
+        if end < len(text):
+            gaps = np.flatnonzero(cp == 0)
+            if len(gaps) == 0:                              # one word so far
+                size *= 2
+                continue
+            cp = cp[:gaps[-1] + 1]
+        yield cp
+        at, size = at + len(cp), PIECE_CHARS
+
+
 def _pieces(column):
-    """Yield (first document, _Piece, documents) over a column of lower-cased texts."""
+    """Yield (first document, _Piece, documents, whether it is a window) over a column of lower-cased texts."""
     lowered = pc.utf8_lower(pc.fill_null(column.cast(pa.string()), ""))
     sizes = np.r_[0, np.cumsum(pc.utf8_length(lowered).to_numpy(zero_copy_only=False).astype(np.int64))]
     for i, j in pieces(sizes, PIECE_CHARS):
         texts = lowered.slice(i, j - i).to_pylist()
         if j - i > 1 or len(texts[0]) <= PIECE_CHARS:
-            yield i, _Piece(_code_points(texts), np.diff(sizes[i:j + 1])), j - i
+            yield i, _Piece(_code_points(texts), np.diff(sizes[i:j + 1])), j - i, False
             continue
-        for at in range(0, len(texts[0]), PIECE_CHARS):
-            part = texts[0][at:at + PIECE_CHARS]
-            yield i, _Piece(_code_points([part]), np.array([len(part)])), 1
+        for cp in _windows(texts[0]):
+            yield i, _Piece(cp, np.array([len(cp)])), 1, True
 
 
 def _counted(group: np.ndarray, codes: np.ndarray, span: int):
@@ -159,7 +175,7 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", profile: i
             names = b.column("lang").dictionary_encode()
             langs, at = names.dictionary.to_pylist(), names.indices.to_numpy()
             parts = []                                      # (language, packed n-gram, count)
-            for first, piece, n in _pieces(b.column("text")):
+            for first, piece, n, _ in _pieces(b.column("text")):
                 doc, codes = piece.grams()
                 g, c, k = _counted(at[first + doc] if n else doc, codes, piece.span())
                 s = piece.slots(c)
@@ -176,7 +192,7 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", profile: i
                     ["lang", "gram", "n"])
 
     counts = thin.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), F.char_length("gram"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= profile)
     rows = top.select("lang", "gram", "rank").limit(MAX_LANGUAGES * profile + 1).collect()
     if len(rows) > MAX_LANGUAGES * profile:
@@ -212,10 +228,10 @@ class Profiles:
         names, score = [UNKNOWN] * len(column), np.zeros(len(column))
         held: list = []                                     # windows of one long text
         done = -1
-        for first, piece, n in _pieces(column):
+        for first, piece, _, window in _pieces(column):
             doc, codes = piece.grams()
             d, c, k = _counted(doc, codes, piece.span())
-            if n == 1 and (held or len(piece.line) > PIECE_CHARS):
+            if window:
                 if first != done and held:
                     self._long(held, done, names, score)
                     held = []
