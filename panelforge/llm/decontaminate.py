@@ -19,8 +19,8 @@ the share of an item's distinct word shingles that a document holds.
 Words are runs of letters and digits of the lower-cased text (every non-ASCII
 character counts as a letter). Defined cases: a null or empty text has no
 words, matches nothing and is kept; an item of fewer words than a shingle is
-one shingle of its whole word sequence and matches documents that consist of
-that sequence; an item without words matches nothing; repeated rows of an item
+one shingle of its own length and matches every document that holds its word
+sequence; an item without words matches nothing; repeated rows of an item
 count once, repeated documents are all reported; null ids are carried along.
 """
 
@@ -51,8 +51,6 @@ def _lower(col):
 
 def shingle_texts(lowered: str, k: int) -> set[str]:
     words = _WORDS.findall(lowered)
-    if 0 < len(words) < k:
-        return {" ".join(words) + "\n"}                   # a whole short text is no prefix of a long one
     return {" ".join(words[i:i + k]) for i in range(len(words) - k + 1)}
 
 
@@ -66,14 +64,21 @@ class ItemBlock:
 
     def __init__(self, ids: list, texts: list[str], k: int, threshold: float):
         self.k, self.threshold = k, threshold
-        self.ids, self.shingles = ids, []
+        self.ids = ids
         lowered = _lower(pa.array(texts, pa.string()))
-        self.shingles = [shingle_texts(t, k) for t in lowered.to_pylist()]
+        words = [len(_WORDS.findall(t)) for t in lowered.to_pylist()]
+        self.lengths = [min(k, max(1, n)) for n in words]   # words in a shingle of the item
+        self.shingles = [shingle_texts(t, n) for t, n in zip(lowered.to_pylist(), self.lengths)]
+        self.tables = {n: self._table(lowered, n) for n in sorted(set(self.lengths))}
+
+    def _table(self, lowered, length: int):
+        """(sketch entries in order, their items, filter on the top bits) of the items of one shingle length."""
         raw, offsets = string_buffer(lowered)
-        found: list[list[np.ndarray]] = [[] for _ in ids]
-        for doc, h in word_shingles(raw, offsets, k):
+        found: list[list[np.ndarray]] = [[] for _ in self.ids]
+        for doc, h in word_shingles(raw, offsets, length):
             for d in np.unique(doc):
-                found[d].append(h[doc == d])
+                if self.lengths[d] == length:
+                    found[d].append(h[doc == d])
         keys, owner = [], []
         for d, hs in enumerate(found):
             if hs:
@@ -83,9 +88,10 @@ class ItemBlock:
         keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
         order = np.argsort(keys, kind="stable")
-        self.keys, self.owner = keys[order], owner[order]
-        self.bits = np.zeros(1 << 20, bool)               # first filter on the top bits of a hash
-        self.bits[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        keys, owner = keys[order], owner[order]
+        bits = np.zeros(1 << 20, bool)
+        bits[(keys >> np.uint64(44)).astype(np.int64)] = True
+        return keys, owner, bits
 
     def sketch_size(self, n: int) -> int:
         """Sketch length of the size partition of an item with n shingles."""
@@ -95,25 +101,27 @@ class ItemBlock:
     def candidates(self, lowered) -> set[tuple[int, int]]:
         """(document index, item index) pairs that share a sketch entry."""
         out: set[tuple[int, int]] = set()
-        if len(self.keys) == 0:
-            return out
         raw, offsets = string_buffer(lowered)
-        for doc, h in word_shingles(raw, offsets, self.k):
-            on = np.flatnonzero(self.bits[(h >> np.uint64(44)).astype(np.int64)])
-            h, doc = h[on], doc[on]
-            lo = np.searchsorted(self.keys, h, "left")
-            hi = np.searchsorted(self.keys, h, "right")
-            for i in np.flatnonzero(hi > lo):
-                out.update((int(doc[i]), int(o)) for o in self.owner[lo[i]:hi[i]])
+        for length, (keys, owner, bits) in self.tables.items():
+            if len(keys) == 0:
+                continue
+            for doc, h in word_shingles(raw, offsets, length):
+                on = np.flatnonzero(bits[(h >> np.uint64(44)).astype(np.int64)])
+                h, doc = h[on], doc[on]
+                lo = np.searchsorted(keys, h, "left")
+                hi = np.searchsorted(keys, h, "right")
+                for i in np.flatnonzero(hi > lo):
+                    out.update((int(doc[i]), int(o)) for o in owner[lo[i]:hi[i]])
         return out
 
     def matches(self, col) -> list[tuple[int, int, int, int]]:
         """(document index, item index, item shingles, shingles held), verified."""
         lowered = _lower(col)
         out, at, held = [], None, set()
-        for d, o in sorted(self.candidates(lowered)):
-            if d != at:
-                at, held = d, shingle_texts(lowered[d].as_py(), self.k)
+        for d, o in sorted(self.candidates(lowered), key=lambda x: (x[0], self.lengths[x[1]], x[1])):
+            if (d, self.lengths[o]) != at:
+                at = d, self.lengths[o]
+                held = shingle_texts(lowered[d].as_py(), self.lengths[o])
             n, shared = len(self.shingles[o]), len(self.shingles[o] & held)
             if shared >= _needed(n, self.threshold):
                 out.append((d, o, n, shared))

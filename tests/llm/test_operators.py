@@ -87,6 +87,20 @@ def test_decontaminate_odd(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
 
 
+def test_short_items_inside_documents(spark):
+    """Items of one to four words are found wherever their words follow each other."""
+    items = {1: "Alpha beta, gamma", 2: "zeta", 3: "one two three four", 4: "beta alpha", 5: "a b c d e f"}
+    texts = {1: "x y alpha beta gamma z", 2: "alpha beta x gamma", 3: "zeta", 4: "zetas one two three", 5: "q one two THREE four",
+             6: "alpha", 7: "", 8: "ab c d e f", 9: "beta. alpha beta gamma " * 3, 10: "word " * 400000 + "zeta"}
+    words = {k: re.findall("[a-z]+", t.lower()) for k, t in texts.items()}
+    want = {(d, i) for i, t in items.items() for d, w in words.items()
+            for x in [re.findall("[a-z]+", t.lower())] if any(w[j:j + len(x)] == x for j in range(len(w)))}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    b = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert {(r[0], r[1]) for r in rows(decontaminate.find_contamination(d, b))} == want
+    assert {r[0] for r in rows(decontaminate.drop_contaminated(d, b))} == set(texts) - {d for d, _ in want}
+
+
 # ---- 2 and 9 ---------------------------------------------------------
 
 def digits(m):
@@ -260,6 +274,32 @@ def test_language_held_out(spark, odd, none):
     assert {x[1] for x in rows(langid.identify(odd, {}))} == {"und"}
 
 
+@pytest.mark.parametrize("limit", [langid.PIECE_CHARS, 50])
+def test_language_equals_brute_force(spark, monkeypatch, limit):
+    """Profiles and out-of-place distances restated word by word, whole and in windows; own text has distance 0."""
+    def profile(texts):
+        n = Counter()
+        for t in texts:
+            for w in re.findall(r"[^\W\d_]+", t.lower()):
+                w = f"_{w}_"
+                n.update(w[i:i + k] for k in (1, 2, 3) for i in range(len(w) - k + 1)
+                         if w[i:i + k] != "_" and not (k == 3 and w[i + 1] == "_"))
+        return [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], len(x[0]), x[0]))][:langid.PROFILE]
+    known = [(r["lang"], r["text"]) for r in docs(spark).values() if r["lang"] and r["text"]][:60]
+    given = known + [("xx", "banana bandana, ananas"), ("yy", "Straße über größe " * 40), ("zz", "ab" * 300)]
+    learned = langid.learn(spark.createDataFrame(given, "lang string, text string"))
+    names = sorted({n for n, _ in given})
+    want = {n: profile([t for m, t in given if m == n]) for n in names}
+    assert learned == want
+    monkeypatch.setattr(langid, "PIECE_CHARS", limit)
+    got, score = langid.Profiles.of(learned).predict(pa.array([t for _, t in given]))
+    for (_, t), lang, s in zip(given, got, score):
+        mine = profile([t])
+        away = [sum(abs(want[n].index(g) - r) if g in want[n] else langid.PROFILE for r, g in enumerate(mine)) for n in names]
+        assert lang == names[away.index(min(away))] and abs(s - (1 - min(away) / (len(mine) * langid.PROFILE))) < 1e-12
+    assert list(score[-3:]) == [1.0] * 3
+
+
 def test_long_text_ranks_like_a_short_one(monkeypatch):
     texts = ["the cat and the dog of the house " * 30, "der hund und die katze " * 40]
     p = langid.Profiles.of({"en": ["t", "h", "e", "the", "_t"], "de": ["d", "e", "er_", "_d"]}, 5)
