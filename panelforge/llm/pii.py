@@ -6,19 +6,29 @@ Over the N different lines of the corpus, with c the number of lines,
 
     disclosure(e, t) = log(N c(e, t) / (c(e) c(t))) / log(N / c(e))
 
-is the share of an entity's information that seeing the term reveals. Terms at
-or over ``remove_at`` are removed, those at or over ``generalise_at`` are
-replaced by a general word, by the largest disclosure over all entities and in
-every document, whether it holds the entity or not.
+is the share of an entity's information that seeing the term reveals; it is 1
+plus the logarithm of c(e, t) / c(t) over that of N / c(e). Few lines prove
+little: a term counts as revealing where the disclosure with the lower Wilson
+bound (``z`` standard errors) of c(e, t) / c(t) in its place reaches
+``generalise_at``. Of the revealing terms, those whose disclosure reaches
+``remove_at`` for some entity are removed and the others generalised, in every
+document, whether it holds the entity or not.
+
+A term is generalised to the corpus's own broader term: of the terms that
+stand in at least ``BROADER_SHARE`` of its lines, in more lines than it, and that
+reveal no entity themselves, the one in the fewest lines (ties: the smallest).
+Where there is none, a fixed mark is put.
 
 All four count each different line once, so copies prove nothing and hide
-nothing; c(e) and c(e, t) must reach ``support``. Terms are lower-cased words of
-three letters or more outside protected spans.
+nothing; c(e, t) must reach ``support``, since a term seen once beside an entity
+stood there by chance as often as not. Terms are lower-cased words of three
+letters or more outside protected spans.
 
 Everything is built-in expressions. Lines are shuffled as text once, after each
 task has dropped its own repeats; the counts of terms are pre-aggregated to one
 row per term and task. A common entity or term is pre-aggregated before each
-shuffle, and its joins are split by the skew handling. Up to ``LITERALS``
+shuffle, and its joins are split by the skew handling. Broader terms are counted
+over the lines of generalised terms only. Up to ``LITERALS``
 revealing terms are found in a document by a set in the plan; more of them are
 joined with the documents' terms.
 
@@ -49,9 +59,11 @@ KINDS = list(PATTERNS)
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "removed": ""}
 TERM = r"\p{L}{3,}"
 
-SUPPORT = 3
+SUPPORT = 2
 GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
+Z = 1.0
+BROADER_SHARE = 0.8
 #: Most revealing terms that are held in the plan.
 LITERALS = 4096
 
@@ -110,65 +122,120 @@ def _outside(text: Column) -> Column:
     return F.when(text.contains("@"), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
 
 
-def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
-                remove_at: float = REMOVE_AT) -> DataFrame:
-    """(entity, term, disclosure, removed) of all terms at or over the lower threshold."""
+def _wilson(hits: Column, of: Column, z: float) -> Column:
+    """Lower Wilson bound of the share hits / of."""
+    p, z2 = hits / of, z * z
+    return (p + z2 / (2 * of) - z * F.sqrt(p * (1 - p) / of + z2 / (4 * of * of))) / (1 + z2 / of)
+
+
+def _line_terms() -> Column:
+    return F.array_distinct(_terms(_outside(F.col("t"))))
+
+
+def _lines(docs: DataFrame, text: str) -> DataFrame:
+    """Column ``t``: every line of every text."""
+    return docs.select(F.col(text).alias("t")).where("t IS NOT NULL").select(F.explode(F.split("t", "\n")).alias("t"))
+
+
+def _revealing(docs: DataFrame, text: str, support: int, generalise_at: float, remove_at: float,
+               z: float) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, disclosure, removed) of the revealing terms, and (term, c_t) of all terms."""
     checkpoint_dir(docs.sparkSession)
-    texts = docs.select(F.col(text).alias("t")).where(F.col("t").isNotNull())
-    bearing = _with_spans(texts).where(F.size("entities") > 0).select(F.explode(F.split("t", "\n")).alias("t"))
-    lines = _with_spans(bearing).where(F.size("entities") > 0).select("t", "entities").distinct()
-    terms = F.array_distinct(_terms(_outside(F.col("t"))))
-    found = lines.select(F.explode("entities").alias("entity"), terms.alias("terms"))
-    entities = found.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).where(F.col("c_e") >= support)
-    pairs = (found.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("c_et")).where(F.col("c_et") >= support))
-    # the empty term stands in every line: its count is N
-    every = texts.select(F.explode(F.split("t", "\n")).alias("t")).distinct()
-    corpus = (every.select(F.explode(F.array_append(terms, F.lit(""))).alias("term")).groupBy("term")
+    bearing = _with_spans(docs.select(F.col(text).alias("t")).where("t IS NOT NULL")).where(F.size("entities") > 0)
+    lines = _with_spans(_lines(bearing, "t")).where(F.size("entities") > 0).select("t", "entities").distinct()
+    # the empty term stands in every line: its counts are N and c(e)
+    terms = F.array_append(_line_terms(), F.lit(""))
+    pairs = (lines.select(F.explode("entities").alias("entity"), terms.alias("terms"))
+             .select("entity", F.explode("terms").alias("term")).groupBy("entity", "term")
+             .agg(F.count(F.lit(1)).alias("c_et")).where(F.col("c_et") >= support).checkpoint())
+    corpus = (_lines(docs, text).distinct().select(F.explode(terms).alias("term")).groupBy("term")
               .agg(F.count(F.lit(1)).alias("c_t")).checkpoint())
     whole = corpus.where("term = ''").first()
     n = F.lit(float(whole["c_t"] if whole else 0))
-    joined = pairs.join(entities, "entity").join(corpus, "term")
-    score = F.ln(n * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / F.ln(n / F.col("c_e"))
-    return (joined.where(n > F.col("c_e")).select("entity", "term", score.alias("disclosure"))
-            .where(F.col("disclosure") >= generalise_at).withColumn("removed", F.col("disclosure") >= remove_at))
+    entities = pairs.where("term = ''").select("entity", F.col("c_et").alias("c_e")).where(n > F.col("c_e"))
+    joined = pairs.where("term <> ''").join(entities, "entity").join(corpus, "term")
+    told = F.ln(n / F.col("c_e"))
+    score = 1 + F.ln(F.col("c_et") / F.col("c_t")) / told
+    bound = 1 + F.ln(_wilson(F.col("c_et"), F.col("c_t"), z)) / told
+    found = joined.where(bound >= generalise_at).select("entity", "term", score.alias("disclosure"))
+    return found.withColumn("removed", F.col("disclosure") >= remove_at), corpus
+
+
+def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
+                remove_at: float = REMOVE_AT, z: float = Z) -> DataFrame:
+    """(entity, term, disclosure, removed) of all revealing terms."""
+    return _revealing(docs, text, support, generalise_at, remove_at, z)[0]
+
+
+def broader_terms(docs: DataFrame, flagged: DataFrame, corpus: DataFrame, *, text: str = "text") -> DataFrame:
+    """(term, broader) of the generalised ones of flagged (term, removed) that have a broader term."""
+    given = flagged.where("NOT removed").select("term")
+    few = given.limit(LITERALS + 1).collect()
+    lines = _lines(docs, text).select(F.sha2("t", 256).alias("line"), _line_terms().alias("terms"))
+    if len(few) <= LITERALS:
+        own = F.filter("terms", lambda x: x.isin([r["term"] for r in few]))
+        held = lines.select("line", "terms", F.explode(own).alias("term"))
+    else:
+        held = lines.select("line", "terms", F.explode("terms").alias("term")).join(broadcast_if_small(given), "term")
+    counts = (held.dropDuplicates(["line", "term"]).select("term", F.explode("terms").alias("broader"))
+              .groupBy("term", "broader").agg(F.count(F.lit(1)).alias("c")).checkpoint())
+    total = counts.where("term = broader").select("term", F.col("c").alias("c_t"))
+    wide = counts.where("term <> broader").join(total, "term").where(F.col("c") >= BROADER_SHARE * F.col("c_t"))
+    wide = (wide.join(corpus.select(F.col("term").alias("broader"), F.col("c_t").alias("c_b")), "broader")
+            .where("c_b > c_t").join(flagged.select(F.col("term").alias("broader")), "broader", "left_anti"))
+    return (wide.groupBy("term").agg(F.min(F.struct("c_b", "broader")).alias("b"))
+            .select("term", F.col("b.broader").alias("broader")))
 
 
 def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
-         remove_at: float = REMOVE_AT) -> DataFrame:
-    """docs with the columns ``_pf_<kind>`` of the base kinds, ``_pf_general`` and ``_pf_removed``: arrays of spans."""
-    flagged = (disclosures(docs, text=text, support=support, generalise_at=generalise_at, remove_at=remove_at)
-               .groupBy("term").agg(F.max("removed").alias("removed")).checkpoint())
+         remove_at: float = REMOVE_AT, z: float = Z) -> DataFrame:
+    """docs with the columns ``_pf_<kind>`` of the base kinds, ``_pf_general`` and ``_pf_removed``: arrays of spans.
+
+    The spans of ``_pf_general`` hold the word to put in the term's place.
+    """
+    found, corpus = _revealing(docs, text, support, generalise_at, remove_at, z)
+    flagged = found.groupBy("term").agg(F.max("removed").alias("removed")).checkpoint()
     names = [f"_pf_{k}" for k in [*KINDS, "general", "removed"]]
     body = F.coalesce(F.col(text), F.lit(""))
     spanned = docs.select("*", *[c.alias(f"_pf_{k}") for k, c in base_spans(body).items()])
-    few = flagged.limit(LITERALS + 1).collect()
-    if not few:                                            # no term of the corpus reaches a threshold
+    if flagged.isEmpty():                                  # no term of the corpus reaches a threshold
         return spanned.select("*", S.none().alias(names[-2]), S.none().alias(names[-1]))
+    if not flagged.where("NOT removed").isEmpty():
+        flagged = flagged.join(broader_terms(docs, flagged, corpus, text=text), "term", "left")
+    else:
+        flagged = flagged.withColumn("broader", F.lit(None).cast("string"))
+    acts = flagged.select("term", F.when(F.col("removed"), "").otherwise(
+        F.coalesce("broader", F.lit(LABELS["general"]))).alias("put"), "removed").checkpoint()
+    few = acts.limit(LITERALS + 1).collect()
     own = F.array_distinct(_terms(body))
     if len(few) <= LITERALS:
-        def among(terms: Column, removed: list[bool]) -> Column:
-            return F.filter(terms, lambda x: x.isin([r["term"] for r in few if r["removed"] in removed]))
-        held = spanned.select("*", among(own, [False, True]).alias("_pf_own"))
-        joined = held.select("*", among(F.col("_pf_own"), [False]).alias("_pf_g"),
-                             among(F.col("_pf_own"), [True]).alias("_pf_r")).drop("_pf_own")
+        put = {r["term"]: r["put"] for r in few}
+        gone = [r["term"] for r in few if r["removed"]]
+        held = spanned.select("*", F.filter(own, lambda x: x.isin(list(put))).alias("_pf_own"))
+        pairs = F.create_map(*[F.lit(x) for pair in put.items() for x in pair])
+        joined = held.select("*", F.transform("_pf_own", lambda x: F.struct(
+            x.alias("term"), F.element_at(pairs, x).alias("put"), x.isin(gone).alias("removed"))).alias("_pf_acts"))
+        joined = joined.drop("_pf_own")
     else:
         # the terms to act on depend on the text alone
         keyed = docs.select(F.sha2(body, 256).alias("_pf_key"), F.explode(own).alias("term"))
-        acts = (keyed.join(broadcast_if_small(flagged), "term")
-                .groupBy("_pf_key").agg(F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("_pf_g"),
-                                        F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("_pf_r")))
-        joined = spanned.withColumn("_pf_key", F.sha2(body, 256)).join(acts, "_pf_key", "left").drop("_pf_key")
+        by_text = (keyed.join(broadcast_if_small(acts), "term").groupBy("_pf_key")
+                   .agg(F.collect_set(F.struct("term", "put", "removed")).alias("_pf_acts")))
+        joined = spanned.withColumn("_pf_key", F.sha2(body, 256)).join(by_text, "_pf_key", "left").drop("_pf_key")
     base = F.concat(*[F.col(f"_pf_{k}") for k in KINDS])
 
-    def of(terms: Column) -> Column:
+    def of(removed: bool) -> Column:
+        acts = F.filter("_pf_acts", lambda a: a["removed"] == removed)
+        named = lambda x: F.filter(acts, lambda a: a["term"] == F.lower(x["m"]))
+
         def pick(base):
-            return F.filter(S.matches(body, TERM), lambda x: F.array_contains(terms, F.lower(x["m"]))
-                            & ~F.exists(base, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
-        return F.when(F.size(terms) > 0, S.let(base, pick)).otherwise(S.none())
+            kept = F.filter(S.matches(body, TERM), lambda x: (F.size(named(x)) > 0) & ~F.exists(
+                base, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
+            return F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"),
+                                                        F.get(named(x), F.lit(0))["put"].alias("m"))).cast(S.SPAN)
+        return F.when(F.size(acts) > 0, S.let(base, pick)).otherwise(S.none())
 
-    return joined.select("*", of(F.col("_pf_g")).alias(names[-2]), of(F.col("_pf_r")).alias(names[-1])).drop(
-        "_pf_g", "_pf_r")
+    return joined.select("*", of(False).alias(names[-2]), of(True).alias(names[-1])).drop("_pf_acts")
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
@@ -188,8 +255,9 @@ def sanitise(docs: DataFrame, *, text: str = "text", **settings) -> DataFrame:
     found = find(docs, text=text, **settings)
 
     def labelled(kind):
-        return F.transform(f"_pf_{kind}", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("back"),
-                                                             F.lit(LABELS[kind]).alias("label")))
+        return F.transform(f"_pf_{kind}", lambda x: F.struct(
+            x["s"].alias("s"), (-x["e"]).alias("back"),
+            (x["m"] if kind == "general" else F.lit(LABELS[kind])).alias("label")))
 
     spans = F.sort_array(F.concat(*[labelled(k) for k in LABELS]))
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))

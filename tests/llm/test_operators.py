@@ -165,6 +165,74 @@ def test_pii_acts_in_every_document(spark, monkeypatch, literals):
     assert found[0] == "general:0:8" and found[1] == "email:0:9,general:14:22" and found[20] == ""
 
 
+@pytest.mark.parametrize("literals", [pii.LITERALS, 0])
+def test_pii_generalises_to_a_broader_term(spark, monkeypatch, literals):
+    monkeypatch.setattr(pii, "LITERALS", literals)
+    told = [f"write to bob@x.org about zanzibar island number {w}" for w in ("one", "two", "three", "four")]
+    texts = [*told, "Zanzibar, an island", "zanzibar island too", *(f"plain island line about {i} write number" for i in range(30)),
+             *(f"plain line about {i} write number" for i in range(200))]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(d).collect()}
+    assert clean[0] == "write to [EMAIL] about island island number one" and clean[4] == "island, an island"
+    assert all(clean[i] == texts[i] for i in range(6, len(texts)))
+
+
+def _pii_by_hand(texts, z=1.0):
+    """{term: (removed, broader)} of a list of texts, by the definition."""
+    def found(t):
+        return [(k, m.start(), m.end(), m[0]) for k, p, f in PII for m in re.finditer(p, t) if f(m[0])]
+
+    def words(t):
+        return set(re.findall(r"[^\W\d_]{3,}", re.sub(PII[0][1], " ", t).lower()))
+
+    lines = {x for t in texts for x in t.split("\n")}
+    n, has = len(lines), {x: words(x) for x in lines}
+    c_t = Counter(w for x in lines for w in has[x])
+    c_e, c_et = Counter(), Counter()
+    for x in lines:
+        for e in {k + ":" + (m.lower() if k in ("email", "ip") else digits(m)) for k, _, _, m in found(x)}:
+            c_e[e] += 1
+            c_et.update((e, w) for w in has[x])
+    got = {}
+    for (e, w), c in c_et.items():
+        p, m = c / c_t[w], c_t[w]
+        low = (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+        if c >= 2 and 1 + math.log(low) / math.log(n / c_e[e]) >= 0.8:
+            got[w] = got.get(w, False) or 1 + math.log(p) / math.log(n / c_e[e]) >= 0.95
+    out = {}
+    for w, removed in got.items():
+        beside = Counter(s for x in lines if w in has[x] for s in has[x])
+        wide = [(c_t[s], s) for s, c in beside.items() if c >= 0.8 * c_t[w] and c_t[s] > c_t[w] and s not in got]
+        out[w] = (removed, min(wide)[1] if wide and not removed else None)
+    return out
+
+
+@pytest.mark.parametrize("literals", [pii.LITERALS, 0])
+def test_pii_planted_terms_against_brute_force(spark, monkeypatch, literals):
+    monkeypatch.setattr(pii, "LITERALS", literals)
+    texts, rng = [r["text"] for r in docs(spark).values()], random.Random(5)
+    names = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=9)) for _ in range(40)]
+    for i, name in enumerate(names):
+        beside, alone = 2 + i % 4, i % 3
+        for k in range(beside + alone):
+            at = rng.randrange(len(texts))
+            who = f" user{i}@mail.example.org" if k < beside else ""
+            texts[at] += f"\n{rng.choice(['the', 'and', 'for'])} {name} project{who} {rng.random()}"
+    d = spark.createDataFrame([(i, t, str(i % 3)) for i, t in enumerate(texts)], "doc_id long, text string, spans string")
+    want = _pii_by_hand(texts)
+    assert len(set(names) & set(want)) >= 0.9 * len(names)          # recall of the planted terms
+    got = {r["doc_id"]: r["spans"] for r in pii.report(d).collect()}
+    for i, t in enumerate(texts):
+        base = [(k, m.start(), m.end()) for k, p, f in PII for m in re.finditer(p, t) if f(m[0])]
+        acts = [("removed" if want[m[0].lower()][0] else "general", m.start(), m.end())
+                for m in re.finditer(r"[^\W\d_]{3,}", t) if m[0].lower() in want
+                and not any(a < m.end() and b > m.start() for _, a, b in base)]
+        assert got[i] == ",".join(f"{k}:{a}:{b}" for k, a, b in base + sorted(acts))
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(d).collect()}
+    some = [(w, s) for w, (removed, s) in want.items() if s]
+    assert some and all(not re.search(rf"\b{w}\b", t, re.I) for w in set(names) & set(want) for t in clean.values())
+
+
 def test_pii_odd(odd, none):
     got = rows(pii.report(odd))
     assert len(got) == odd.count() and all(r[1:5] == (0, 0, 0, 0) for r in got)
