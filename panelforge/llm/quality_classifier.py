@@ -1,8 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 A document is the average of learned vectors of its hashed features: words
-(runs of bytes other than white space) and character n-grams of 3 and 4 UTF-8
-bytes. A softmax layer over the average gives the class probabilities; vectors
+(runs of characters other than ASCII white space) and character n-grams of 3 and
+4 characters. A softmax layer over the average gives the class probabilities; vectors
 and layer are trained together by numpy stochastic gradient descent.
 
 Training uses a bounded sample of the labelled rows (``max_train_rows``, taken
@@ -13,8 +13,9 @@ so scoring a whole text is one table look-up per feature, map-only.
 
 Defined cases: a null, empty or blank text has no features and gets the score
 of the bias alone; without any labelled row every score is 0.5; null labels
-are ignored; of repeated ids in the sample one text (the smallest) is learned;
-n-grams across the cuts of texts over 1 MiB (cut at white space) are left out.
+are ignored; of repeated ids in the sample one text (the smallest) is learned. A
+text over 1 MiB is viewed in windows that end at white space and see the first
+characters of the next one, so its features are those of the whole text.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 
 from .arrow_text import PIECE_BYTES, pieces, string_buffer, trimmed, word_hashes
 
+#: Bytes after a window that its last n-grams may reach into: three characters of four bytes.
+_TAIL = 12
+
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 NGRAMS = (3, 4)
@@ -36,16 +40,13 @@ DIM = 8
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_ODD = np.uint32(0x9E3779B1)
 
 
-def _ngram_buckets(raw: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of the n-gram that starts at each byte (n <= 4)."""
-    m = len(raw) - n + 1
-    code = np.zeros(max(m, 0), np.uint32)
-    for t in range(n if m > 0 else 0):
-        code |= raw[t:m + t].astype(np.uint32) << np.uint32(8 * t)
-    return (code * _ODD) >> np.uint32(32 - BUCKET_BITS)
+def _ngram_buckets(raw: np.ndarray, chars: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of the n-gram that starts at each character (given by its first byte)."""
+    m = max(len(chars) - n + 1, 0)
+    ends = np.r_[chars[n:], len(raw)][:m]
+    return (word_hashes(raw, chars[:m], ends) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def _words(raw: np.ndarray, offsets: np.ndarray):
@@ -61,34 +62,49 @@ def _words(raw: np.ndarray, offsets: np.ndarray):
 
 
 def _runs(offsets: np.ndarray, raw: np.ndarray):
-    """(first document, piece start, piece offsets): runs of documents, or windows of a long one."""
-    for i, j in pieces(offsets):
+    """(first document, start, offsets, end with tail): runs of documents, or windows of a long one."""
+    for i, j in pieces(offsets, PIECE_BYTES):
         lo, hi = int(offsets[i]), int(offsets[j])
         if hi - lo <= PIECE_BYTES:
-            yield i, lo, offsets[i:j + 1] - lo
+            yield i, lo, offsets[i:j + 1] - lo, hi
             continue
+        window = PIECE_BYTES
         while lo < hi:
-            end = min(lo + PIECE_BYTES, hi)
-            if end < hi and len(space := np.flatnonzero(_SPACE[raw[lo:end]])):
+            end = min(lo + window, hi)
+            if end < hi:
+                space = np.flatnonzero(_SPACE[raw[lo:end]])
+                if not len(space):                        # a word longer than the window
+                    window *= 2
+                    continue
                 end = lo + int(space[-1]) + 1
-            yield i, lo, np.array([0, end - lo])
-            lo = end
+            yield i, lo, np.array([0, end - lo]), min(end + _TAIL, hi)
+            lo, window = end, PIECE_BYTES
+
+
+def _features(raw: np.ndarray, offsets: np.ndarray):
+    """(first document, [(features, first, end)]) of each run: per kind of feature, those of each document."""
+    for i, lo, off, hi in _runs(offsets, raw):
+        part, size = raw[lo:hi], int(off[-1])
+        words, at = _words(part[:size], off)
+        kinds = [(words, np.searchsorted(at, off[:-1]), np.searchsorted(at, off[1:]))]
+        chars = np.flatnonzero((part & 0xC0) != 0x80)
+        a, b = np.searchsorted(chars, off[:-1]), np.searchsorted(chars, off[1:])
+        last = b if len(part) == size else len(chars)     # an n-gram ends inside its document
+        for k, n in enumerate(NGRAMS):
+            grams = _ngram_buckets(part, chars, n) + BUCKETS * (k + 1)
+            first = np.minimum(a, len(grams))
+            kinds.append((grams, first, np.maximum(first, np.minimum(b, last - n + 1))))
+        yield i, kinds
 
 
 def feature_counts(col) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, counts) of each text."""
     raw, offsets = string_buffer(col)
     totals: list[dict] = [{} for _ in range(len(offsets) - 1)]
-    for i, lo, off in _runs(offsets, raw):
-        part = raw[lo:lo + int(off[-1])]
-        words, at = _words(part, off)
-        grams = [_ngram_buckets(part, n) for n in NGRAMS]
-        for d in range(len(off) - 1):
-            a, b = int(off[d]), int(off[d + 1])
-            found = [words[np.searchsorted(at, a):np.searchsorted(at, b)]]
-            found += [g[a:max(a, b - n + 1)].astype(np.int64) + BUCKETS * (k + 1)
-                      for k, (n, g) in enumerate(zip(NGRAMS, grams))]
-            for f, c in zip(*np.unique(np.concatenate(found), return_counts=True)):
+    for i, kinds in _features(raw, offsets):
+        for d in range(len(kinds[0][1])):
+            found = np.concatenate([f[a[d]:b[d]] for f, a, b in kinds])
+            for f, c in zip(*np.unique(found, return_counts=True)):
                 totals[i + d][f] = totals[i + d].get(f, 0) + c
     return [(np.fromiter(t.keys(), np.int32, len(t)), np.fromiter(t.values(), np.float32, len(t))) for t in totals]
 
@@ -103,17 +119,10 @@ class QualityModel:
         """Probability of label 1 of each text."""
         raw, offsets = string_buffer(col)
         total, count = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
-        for i, lo, off in _runs(offsets, raw):
-            part, docs = raw[lo:lo + int(off[-1])], slice(i, i + len(off) - 1)
-            words, at = _words(part, off)
-            sums = np.r_[0.0, np.cumsum(self.weights[words])]
-            a, b = np.searchsorted(at, off[:-1]), np.searchsorted(at, off[1:])
-            total[docs] += sums[b] - sums[a]
-            count[docs] += b - a
-            for k, n in enumerate(NGRAMS):
-                sums = np.r_[0.0, np.cumsum(self.weights[BUCKETS * (k + 1):][_ngram_buckets(part, n)])]
-                a, b = np.minimum(off[:-1], len(sums) - 1), np.clip(off[1:] - n + 1, 0, len(sums) - 1)
-                b = np.maximum(a, b)
+        for i, kinds in _features(raw, offsets):
+            docs = slice(i, i + len(kinds[0][1]))
+            for features, a, b in kinds:
+                sums = np.r_[0.0, np.cumsum(self.weights[features])]
                 total[docs] += sums[b] - sums[a]
                 count[docs] += b - a
         z = total / np.maximum(count, 1) + self.bias

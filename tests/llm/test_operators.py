@@ -376,6 +376,41 @@ def test_long_text_ranks_like_a_short_one(monkeypatch):
     assert p.predict(pa.array(texts))[0] == whole[0] == ["en", "de"]
 
 
+def _quality_features(text):
+    """The features of a text by their definition: words, then 3 and 4 characters."""
+    found = [re.findall("[^ \t\n\v\f\r]+", text), *([text[i:i + n] for i in range(len(text) - n + 1)] for n in (3, 4))]
+    bits, size = 64 - quality_classifier.BUCKET_BITS, quality_classifier.BUCKETS
+    out = Counter()
+    for k, parts in enumerate(found):
+        for x in parts:
+            raw = np.frombuffer(x.encode(), np.uint8)
+            h = arrow_text.word_hashes(raw, np.array([0]), np.array([len(raw)]))[0]
+            out[int(h >> np.uint64(bits)) + size * k] += 1
+    return out
+
+
+@pytest.mark.parametrize("piece", [16, 50, 1 << 20])
+def test_quality_features_of_whole_texts(monkeypatch, piece):
+    monkeypatch.setattr(quality_classifier, "PIECE_BYTES", piece)
+    rng = random.Random(3)
+    texts = ["", "ab", "é中😀", "Straße 中文字符 élève 😀😀😀😀 año", "x" * 70 + " y", "中" * 40 + " " + "😀" * 9,
+             *("".join(rng.choices("abcé中😀 \n\x00", k=rng.randrange(200))) for _ in range(60))]
+    for t, (f, c) in zip(texts, quality_classifier.feature_counts(pa.array(texts))):
+        assert dict(zip(f.tolist(), c.tolist())) == _quality_features(t), t
+
+
+def test_quality_scores_by_brute_force(spark):
+    d, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
+    model = quality_classifier.train(d, labels)
+    got = {r["doc_id"]: r for r in queries.QUERIES["op8_quality"](spark, SF).collect()}
+    kept = {r["doc_id"] for r in quality_classifier.drop_rejected(d, model).collect()}
+    for i, r in docs(spark).items():
+        f = _quality_features(r["text"] or "")
+        z = sum(model.weights[k] * c for k, c in f.items()) / max(sum(f.values()), 1) + model.bias
+        assert got[i]["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+        assert got[i]["predicted"] == (got[i]["score"] >= 0.5) == (i in kept)
+
+
 def test_quality_held_out(spark, odd, none):
     r = queries.QUERIES["op8_quality"](spark, "/root/testdata/sf0.01").collect()
     known = {x["doc_id"]: x["quality"] for x in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
