@@ -224,18 +224,23 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, general
         joined = spanned.withColumn("_pf_key", F.sha2(body, 256)).join(by_text, "_pf_key", "left").drop("_pf_key")
     base = F.concat(*[F.col(f"_pf_{k}") for k in KINDS])
 
-    def of(removed: bool) -> Column:
-        acts = F.filter("_pf_acts", lambda a: a["removed"] == removed)
-        named = lambda x: F.filter(acts, lambda a: a["term"] == F.lower(x["m"]))
+    # as columns of their own: an expression inside a lambda would run once per word
+    joined = joined.select("*", F.filter("_pf_acts", lambda a: ~a["removed"]).alias("_pf_g"),
+                           F.filter("_pf_acts", lambda a: a["removed"]).alias("_pf_r")).drop("_pf_acts")
 
-        def pick(base):
-            kept = F.filter(S.matches(body, TERM), lambda x: (F.size(named(x)) > 0) & ~F.exists(
+    def of(acts: Column) -> Column:
+        terms = F.transform(acts, lambda a: a["term"])
+
+        def pick(base: Column, terms: Column) -> Column:
+            kept = F.filter(S.matches(body, TERM), lambda x: F.array_contains(terms, F.lower(x["m"])) & ~F.exists(
                 base, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"])))
-            return F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"),
-                                                        F.get(named(x), F.lit(0))["put"].alias("m"))).cast(S.SPAN)
-        return F.when(F.size(acts) > 0, S.let(base, pick)).otherwise(S.none())
+            return F.transform(kept, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.get(F.filter(
+                acts, lambda a: a["term"] == F.lower(x["m"])), F.lit(0))["put"].alias("m"))).cast(S.SPAN)
+        return F.when(F.size(acts) > 0, S.let(base, lambda base: S.let(terms, lambda terms: pick(
+            base, terms)))).otherwise(S.none())
 
-    return joined.select("*", of(False).alias(names[-2]), of(True).alias(names[-1])).drop("_pf_acts")
+    return joined.select("*", of(F.col("_pf_g")).alias(names[-2]), of(F.col("_pf_r")).alias(names[-1])).drop(
+        "_pf_g", "_pf_r")
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
