@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -348,3 +349,45 @@ def test_gram_blocks_do_not_cancel(spark, fan_in, monkeypatch):
         assert n == len(z) and np.allclose(sxx, c[:2, :2], rtol=1e-6) and np.allclose(sxy, c[:2, 2], rtol=1e-6)
         assert np.allclose([*mx, my], z.mean(axis=0) + 1e8, rtol=1e-14)
     assert L.gram_by_group(df.limit(0), ["a", "b"], "y", "g") == {}
+
+
+def test_svr_search_asks_for_few_steps_and_finds_the_best_of_all():
+    """A search pass sums the loss at 4 step lengths (25 before), the shorter ones only when the least may be there."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(50, 20, 400), np.ones(400)])
+    y = 3 * x[:, 0] + rng.normal(0, 30, 400)
+    f, asked = SVR._Fit(2, 1.0, 0.1, float(np.abs(y).max())), []
+    for _ in range(100):
+        if f.done:
+            break
+        w, step, eps, mu, lengths = f.task()
+        sums = SVR._partial_sums({("all", 0): f.task()}, 2)
+        batch = pa.RecordBatch.from_arrays([pa.array(["all"] * 400), pa.array(x[:, 0]), pa.array(y)], ["g", "x0", "y"])
+        out, = sums([batch])
+        v = np.array(out.column(2)[0].as_py())
+        if lengths:
+            asked.append(len(lengths))
+            known = f.losses + list(v[len(v) - len(lengths):])
+            every = []
+            for t in (0.0, *SVR.STEPS):
+                u = np.maximum(np.abs(y - x @ (w + t * step)) - eps, 0.0)
+                every.append(0.5 * float((w + t * step) @ (w + t * step))
+                             + float(np.where(u <= mu, u * u / (2 * mu), u - mu / 2).sum()))
+            f.update(v, 1e-6)
+            if not f.lengths:
+                seen = every[:len(known)]
+                assert min(seen) <= min(every) * (1 + 1e-12)
+        else:
+            f.update(v, 1e-6)
+    assert f.done and asked and set(asked) <= {4, 21}
+
+
+def test_held_frame_uses_every_core(spark):
+    """A frame that its windows leave in one partition is dealt out for the passes of a fit."""
+    from panelforge.plans import ml_queries as Q
+
+    def one_partition(spark, sf_dir):
+        return spark.range(100_000).coalesce(1)
+
+    with Q.held_frame(spark, "", one_partition) as frame:
+        assert frame.count() == 100_000 and frame.rdd.getNumPartitions() == 4
