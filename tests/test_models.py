@@ -391,3 +391,25 @@ def test_held_frame_uses_every_core(spark):
 
     with Q.held_frame(spark, "", one_partition) as frame:
         assert frame.count() == 100_000 and frame.rdd.getNumPartitions() == 4
+
+
+def test_knn_by_boxes_equals_all_pairs(spark, monkeypatch):
+    """Boxes leave out far training rows and give the same neighbours, with copies and ties."""
+    rng = np.random.default_rng(8)
+    xy = np.r_[np.round(rng.normal(50, 20, (1500, 2)), 1), np.full((300, 2), 50.0)]
+    rows = pd.DataFrame({"id": np.arange(1800), "v": list(xy), "y": rng.normal(size=1800)})
+    train, query = (spark.createDataFrame(rows[m]) for m in (rows.id % 4 != 0, rows.id % 4 == 0))
+    monkeypatch.setattr(KNN, "BOX_ROWS", {"t_": 20, "q_": 10})
+    compared = []
+    near_blocks = KNN._near_blocks
+
+    def seen(t, q, *args):
+        out = near_blocks(t, q, *args)
+        compared.append((out.count(), t.select("__block").distinct().count() * q.select("__block").distinct().count()))
+        return out
+    monkeypatch.setattr(KNN, "_near_blocks", seen)
+    got, want = (sorted(KNN.knn_neighbours(train, query, id_col="id", vec_col="v", label="y", kmax=7, box_pairs=b)
+                        .select("id", "best_d", "best_id", "best_y").collect()) for b in (0, 1e18))
+    assert got == want and len(got) == 450
+    (near, every), = compared
+    assert near < every / 2
