@@ -389,7 +389,7 @@ def test_held_frame_uses_every_core(spark):
     def one_partition(spark, sf_dir):
         return spark.range(100_000).coalesce(1)
 
-    with Q.held_frame(spark, "", one_partition) as frame:
+    with Q.held_frame(spark, "", frame=one_partition) as frame:
         assert frame.count() == 100_000 and frame.rdd.getNumPartitions() == 4
 
 
