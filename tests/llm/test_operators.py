@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on small tables, and on odd rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -467,6 +468,32 @@ def test_encoder_equals_library(path, texts):
     assert got == [library(path, t) for t in texts]
 
 
+def test_words_between_signs_are_encoded_together(monkeypatch):
+    """Words joined by signs go to the library once, as one text, whatever stands between them."""
+    words = ["".join(w) for w in itertools.product("abcdefgh", repeat=3)]
+    texts = ["(" + "-".join(words[:256]) + ")", ", ".join(words), '"' + '" "'.join(words[256:]).title() + '".', "", None]
+    encoder, sent = tokens.Encoder(WORD), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda part: sent.extend(part) or encode(part))
+    want = [library(WORD, t) for t in texts]
+    assert [x.tolist() for x in encoder.ids(pa.array(texts))] == want
+    assert len(sent) < 10 and sum(map(len, sent)) < 5 * len(words)
+    sent.clear()
+    assert [x.tolist() for x in encoder.ids(pa.array(texts))] == want and not sent
+
+
+@pytest.mark.parametrize("memory, ends", [(0, True), (2000, True), (1 << 20, False)])
+def test_encoder_forgets_and_falls_back(monkeypatch, memory, ends):
+    """A memory that overflows at every slice, and words that can't be told apart by their ends."""
+    monkeypatch.setattr(tokens, "MEMO_BYTES", memory)
+    monkeypatch.setitem(tokens.SLICE_BYTES, "words", 40)
+    encoder, texts = tokens.Encoder(WORD), [f"common w{'abcdefghij'[i]}rd, {i}=x it's É{i}<|endoftext|>a-b" for i in range(10)] * 2
+    encoder.word_end &= ends
+    want = {t: encoder.lib.encode(t, add_special_tokens=False).ids for t in ["", *texts, "é"]}
+    assert [x.tolist() for x in encoder.ids(pa.array(["", *texts, "é"]))] == [want[t] for t in ["", *texts, "é"]]
+    assert len(encoder.known) == len(set(encoder.known.to_pylist()))
+
+
 def test_token_counts_and_cache(spark, odd, none, tmp_path):
     cache = str(tmp_path / "cache")
     got = rows(tokens.count_tokens(odd, BYTE, cache_path=cache))
