@@ -28,9 +28,11 @@ Everything is built-in expressions. Lines are shuffled as text once, after each
 task has dropped its own repeats; the counts of terms are pre-aggregated to one
 row per term and task. A common entity or term is pre-aggregated before each
 shuffle, and its joins are split by the skew handling. Broader terms are counted
-over the lines of generalised terms only. Up to ``LITERALS``
-revealing terms are found in a document by a set in the plan; more of them are
-joined with the documents' terms.
+over the lines of generalised terms only. Revealing terms are found in a line
+or a document by a hash table in the plan (an array of buckets), so neither the
+lines nor the documents are shuffled for it. More than ``LITERALS`` terms, or
+``TABLE_BYTES`` of them, take a pass over the documents per table, and the hits
+of the passes are joined with the documents.
 
 Defined cases: a null text counts as empty; without matches the counts are 0,
 base_sha256 is that of the empty string and spans are empty; repeated rows are
@@ -43,7 +45,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_small
 from ..session import checkpoint_dir
 from . import spans as S
 
@@ -64,8 +65,10 @@ GENERALISE_AT = 0.8
 REMOVE_AT = 0.95
 Z = 1.0
 BROADER_SHARE = 0.8
-#: Most revealing terms that are held in the plan.
-LITERALS = 4096
+#: Most revealing terms that are held in the plan, their bytes, and the buckets for each.
+LITERALS = 1 << 18
+TABLE_BYTES = 8 << 20
+BUCKETS = 2
 
 
 def _luhn(number: Column) -> Column:
@@ -167,16 +170,56 @@ def disclosures(docs: DataFrame, *, text: str = "text", support: int = SUPPORT,
     return _revealing(docs, text, support, generalise_at, remove_at, z)[0]
 
 
+def _tables(acts: DataFrame) -> tuple[int, list[DataFrame]]:
+    """The number of terms of acts (term, put, removed), and acts cut into parts of at most about TABLE_BYTES."""
+    size = acts.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("term") + F.octet_length("put") + 4).alias("b")).first()
+    parts = -(-(size["b"] or 0) // TABLE_BYTES)
+    if parts < 2:
+        return size["n"], [acts]
+    part = F.pmod(F.xxhash64(F.lit(1), "term"), F.lit(parts))
+    return size["n"], [acts.where(part == i) for i in range(parts)]
+
+
+def _look_up(acts: DataFrame):
+    """Function of an array of words: the rows of acts (term, put, removed) whose term is one of them.
+
+    The rows go into an array of buckets by hash, each a text of its rows. Terms and what is put in their place hold
+    no control characters.
+    """
+    n = max(1, BUCKETS * acts.count())
+    row = F.concat(F.lit("\1"), "term", F.lit("\2"), "put", F.lit("\2"), F.col("removed").cast("int").cast("string"))
+    cells = [""] * n
+    for r in (acts.groupBy(F.pmod(F.xxhash64("term"), F.lit(n)).alias("cell"))
+              .agg(F.concat_ws("", F.sort_array(F.collect_list(row))).alias("rows")).collect()):
+        cells[r["cell"]] = r["rows"]
+    table = F.split(F.lit("\n".join(cells)), "\n")
+
+    def found(words: Column, table: Column) -> Column:
+        def cell(x):
+            return F.get(table, F.pmod(F.xxhash64(x), F.lit(n)).cast("int"))
+
+        def key(x):
+            return F.concat(F.lit("\1"), x, F.lit("\2"))
+
+        def parsed(x):
+            return S.let(F.substring_index(F.split_part(cell(x), key(x), F.lit(2)), "\1", 1), lambda rest: F.struct(
+                x.alias("term"), F.substring_index(rest, "\2", 1).alias("put"),
+                (F.substring_index(rest, "\2", -1) == "1").alias("removed")))
+        return F.transform(F.filter(words, lambda x: (cell(x) != "") & F.contains(cell(x), key(x))), parsed)
+
+    return lambda words: S.let(table, lambda t: found(words, t))
+
+
 def broader_terms(docs: DataFrame, flagged: DataFrame, corpus: DataFrame, *, text: str = "text") -> DataFrame:
     """(term, broader) of the generalised ones of flagged (term, removed) that have a broader term."""
-    given = flagged.where("NOT removed").select("term")
-    few = given.limit(LITERALS + 1).collect()
-    lines = _lines(docs, text).select(F.sha2("t", 256).alias("line"), _line_terms().alias("terms"))
-    if len(few) <= LITERALS:
-        own = F.filter("terms", lambda x: x.isin([r["term"] for r in few]))
-        held = lines.select("line", "terms", F.explode(own).alias("term"))
-    else:
-        held = lines.select("line", "terms", F.explode("terms").alias("term")).join(broadcast_if_small(given), "term")
+    given = flagged.where("NOT removed").select("term", F.lit("").alias("put"), "removed")
+    held = None
+    for part in _tables(given)[1]:
+        lines = _lines(docs, text).select("t", _line_terms().alias("terms"))
+        # explode_outer: no test is pushed down that would cut and look up the words a second time
+        own = lines.select("t", "terms", F.explode_outer(_look_up(part)(F.col("terms"))["term"]).alias("term"))
+        own = own.where("term IS NOT NULL").select(F.sha2("t", 256).alias("line"), "terms", "term")
+        held = own if held is None else held.unionByName(own)
     counts = (held.dropDuplicates(["line", "term"]).select("term", F.explode("terms").alias("broader"))
               .groupBy("term", "broader").agg(F.count(F.lit(1)).alias("c")).checkpoint())
     total = counts.where("term = broader").select("term", F.col("c").alias("c_t"))
@@ -206,21 +249,18 @@ def find(docs: DataFrame, *, text: str = "text", support: int = SUPPORT, general
         flagged = flagged.withColumn("broader", F.lit(None).cast("string"))
     acts = flagged.select("term", F.when(F.col("removed"), "").otherwise(
         F.coalesce("broader", F.lit(LABELS["general"]))).alias("put"), "removed").checkpoint()
-    few = acts.limit(LITERALS + 1).collect()
     own = F.array_distinct(_terms(body))
-    if len(few) <= LITERALS:
-        put = {r["term"]: r["put"] for r in few}
-        gone = [r["term"] for r in few if r["removed"]]
-        held = spanned.select("*", F.filter(own, lambda x: x.isin(list(put))).alias("_pf_own"))
-        pairs = F.create_map(*[F.lit(x) for pair in put.items() for x in pair])
-        joined = held.select("*", F.transform("_pf_own", lambda x: F.struct(
-            x.alias("term"), F.element_at(pairs, x).alias("put"), x.isin(gone).alias("removed"))).alias("_pf_acts"))
-        joined = joined.drop("_pf_own")
+    terms, parts = _tables(acts)
+    if len(parts) == 1 and terms <= LITERALS:
+        joined = spanned.select("*", _look_up(acts)(own).alias("_pf_acts"))
     else:
         # the terms to act on depend on the text alone
-        keyed = docs.select(F.sha2(body, 256).alias("_pf_key"), F.explode(own).alias("term"))
-        by_text = (keyed.join(broadcast_if_small(acts), "term").groupBy("_pf_key")
-                   .agg(F.collect_set(F.struct("term", "put", "removed")).alias("_pf_acts")))
+        hits = None
+        for part in parts:
+            hit = (docs.select(body.alias("t"), F.explode_outer(_look_up(part)(own)).alias("act"))
+                   .where("act IS NOT NULL").select(F.sha2("t", 256).alias("_pf_key"), "act").distinct().checkpoint())
+            hits = hit if hits is None else hits.unionByName(hit)
+        by_text = hits.groupBy("_pf_key").agg(F.collect_list("act").alias("_pf_acts"))
         joined = spanned.withColumn("_pf_key", F.sha2(body, 256)).join(by_text, "_pf_key", "left").drop("_pf_key")
     base = F.concat(*[F.col(f"_pf_{k}") for k in KINDS])
 
