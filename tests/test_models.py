@@ -393,6 +393,21 @@ def test_held_frame_uses_every_core(spark):
         assert frame.count() == 100_000 and frame.rdd.getNumPartitions() == 4
 
 
+def test_knn_block_group_gives_one_list_per_query():
+    """The nearest rows over all blocks of a group, and rows as far as the last of them, not a list per block."""
+    rng = np.random.default_rng(3)
+    q, blocks = rng.integers(-20, 20, (40, 2)) / 8, [rng.integers(-9, 9, (n, 2)) / 4 for n in (5, 30, 200, 90)]
+    pairs = pd.DataFrame([{"part": 0, "q_id": [f"q{i}" for i in range(40)], "q_vec": q.ravel(),
+                           "t_id": [f"{b}-{i:03d}" for i in range(len(t))], "t_vec": t.ravel(), "t_y": np.arange(len(t)) + 0.5}
+                          for b, t in enumerate(blocks)])
+    got = KNN._group_lists(7)(pairs)
+    rows = [(x, f"{b}-{i:03d}", i + 0.5) for b, t in enumerate(blocks) for i, x in enumerate(t)]
+    assert got["id"].tolist() == [f"q{i}" for i in range(40)]
+    for x, r in zip(q, got.itertuples()):
+        want = sorted((float((x - v) @ (x - v)), i, y) for v, i, y in rows)[:7]
+        assert sorted(zip(r.d, r.i, r.y))[:7] == want and max(r.d) == want[-1][0]
+
+
 def test_knn_by_boxes_equals_all_pairs(spark, monkeypatch):
     """Boxes leave out far training rows and give the same neighbours, with copies and ties."""
     rng = np.random.default_rng(8)
